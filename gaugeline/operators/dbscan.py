@@ -8,13 +8,14 @@ copies of a point count as one box, and the result is exact.
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeline.plans.components import connected_components
 from gaugeline.plans.joins import HOT_ROWS, broadcast_if_small, hot_safe_join
-from gaugeline.plans.scratch import materialize
+from gaugeline.plans.scratch import materialize, spread_work
 
 EPS = 0.5
 MIN_POINTS = 5
@@ -37,6 +38,7 @@ class Grid:
         self.block = [group, *[f"b{i}" for i in self.dims]]
         self.box = [group, *[f"m{i}" for i in self.dims]]
         self.bounds = [f"{e}{i}" for i in self.dims for e in ("lo", "hi")]
+        self.spot = [f"s{i}" for i in self.dims]
 
     def slices(self, level: int) -> list[Column]:
         """Box number per dimension with 2**level slices of a cell."""
@@ -50,8 +52,11 @@ class Grid:
         return [F.floor(F.col(f"c{i}") / self.reach).alias(f"b{i}") for i in self.dims]
 
     def extent(self) -> list[Column]:
-        ends = [(F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")) for i, c in enumerate(self.columns)]
-        return [F.count("*").alias("n"), F.min("id").alias("min_id"), *[e for pair in ends for e in pair]]
+        """Number of points, bounds, and the point with the smallest id as a known spot inside."""
+        out = [F.count("*").alias("n"), F.min("id").alias("min_id")]
+        for i, c in enumerate(self.columns):
+            out += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.min_by(c, "id").alias(f"s{i}")]
+        return out
 
     def near2(self, p: str, q: str) -> Column:
         """Squared distance of the nearest points two boxes can hold."""
@@ -67,12 +72,16 @@ class Grid:
             for i in self.dims
         )
 
+    def touch(self, p: str, q: str) -> Column:
+        """Two boxes surely hold points within the radius of each other: all of them are, or the known spots are."""
+        apart = self._sum(F.col(f"{p}s{i}") - F.col(f"{q}s{i}") for i in self.dims)
+        return (self.far2(p, q) <= self.eps2) | (apart <= self.eps2)
+
     @staticmethod
     def _sum(parts) -> Column:
-        total = None
-        for d in parts:
-            total = d * d if total is None else total + d * d
-        return total
+        # pow(d, 2) is d * d exactly, and names the long expression once.
+        squares = [F.pow(d, F.lit(2.0)) for d in parts]
+        return reduce(lambda a, b: a + b, squares)
 
     def renamed(self, df: DataFrame, prefix: str) -> DataFrame:
         return df.toDF(*[c if c == self.group else f"{prefix}{c}" for c in df.columns])
@@ -81,7 +90,7 @@ class Grid:
 def _neighbours(grid: Grid, left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of rows (p…, q…) with boxes at most the radius apart. Rows carry their cell; a block holds a bounded
     number of cells and a cell a bounded number of boxes, so no join key is crowded."""
-    left, right = (df.select("*", *grid.blocks()) for df in (left, right))
+    left, right = (df.select("*", *grid.blocks()) for df in (spread_work(left), right))
     offsets = F.array(*[F.array(*[F.lit(o) for o in step]) for step in product((-1, 0, 1), repeat=len(grid.columns))])
     around = left.select(*grid.block).distinct().select("*", F.explode(offsets).alias("_o"))
     around = around.select(
@@ -93,9 +102,10 @@ def _neighbours(grid: Grid, left: DataFrame, right: DataFrame) -> DataFrame:
     p_block = [grid.group, *[f"pb{i}" for i in grid.dims]]
     occupied = around.join(grid.renamed(right.select(*grid.block).distinct(), "q"), q_block)
     pairs = grid.renamed(left, "p").join(occupied, p_block).join(grid.renamed(right, "q"), q_block)
+    # The cheap comparison of cell numbers goes first.
     close = grid.near2("p", "q") <= grid.eps2
-    for i in grid.dims:
-        close = close & (F.abs(F.col(f"pc{i}") - F.col(f"qc{i}")) <= grid.reach)
+    for i in reversed(grid.dims):
+        close = F.col(f"pc{i}").between(F.col(f"qc{i}") - grid.reach, F.col(f"qc{i}") + grid.reach) & close
     return pairs.filter(close).drop(*q_block[1:], *p_block[1:])
 
 
@@ -105,10 +115,14 @@ def _boxes(grid: Grid, points: DataFrame, level: int) -> DataFrame:
     return sliced.groupBy(*grid.box).agg(*grid.extent()).select("*", *grid.cells(level))
 
 
-def _smaller_boxes(grid: Grid, points: DataFrame, parents: DataFrame, level: int) -> DataFrame:
+def _smaller_boxes(
+    grid: Grid, points: DataFrame, parents: DataFrame, level: int, without: DataFrame | None
+) -> DataFrame:
     """Boxes inside `parents` (boxes of `level`) that are DEEPER levels smaller; m… stays the parent."""
     sliced = points.select(grid.group, "id", *grid.columns, *grid.slices(level))
     inside = sliced.join(broadcast_if_small(parents.select(*grid.box).distinct()), grid.box, "left_semi")
+    if without is not None:
+        inside = inside.join(without, "id", "left_anti")
     finer = [F.floor(F.col(c) * (2 ** (level + DEEPER) / grid.side)).alias(f"k{i}") for i, c in enumerate(grid.columns)]
     keys = [f"k{i}" for i in grid.dims]
     return inside.select("*", *finer).groupBy(*grid.box, *keys).agg(*grid.extent())
@@ -119,8 +133,11 @@ def _as_boxes(grid: Grid, points: DataFrame) -> DataFrame:
     return points.select(grid.group, "id", *ends, *[f"c{i}" for i in grid.dims])
 
 
-def _found(grid: Grid, probes: DataFrame, points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """For every probe point and cell: how many of `points` (summed up in `boxes`) lie within the radius."""
+def _found(
+    grid: Grid, probes: DataFrame, points: DataFrame, boxes: DataFrame, without: DataFrame | None = None
+) -> DataFrame:
+    """For every probe point and cell: how many of `points` (less the ids of `without`), which `boxes` sum up, lie
+    within the radius."""
     level = FIRST_LEVEL
     q_cell, q_box = [f"qc{i}" for i in grid.dims], [f"qm{i}" for i in grid.dims]
     probe = [grid.group, "pid", *[f"p{b}" for b in grid.bounds]]
@@ -136,7 +153,7 @@ def _found(grid: Grid, probes: DataFrame, points: DataFrame, boxes: DataFrame) -
         if open_pairs.isEmpty():
             break
         parents = open_pairs.select(grid.group, *[F.col(f"qm{i}").alias(f"m{i}") for i in grid.dims])
-        small = _smaller_boxes(grid, points, parents, level)
+        small = _smaller_boxes(grid, points, parents, level, without)
         level += DEEPER
         split = open_pairs.drop("n", "sure").join(grid.renamed(small, "q"), [grid.group, *q_box])
         finer = [F.col(f"qk{i}").alias(f"qm{i}") for i in grid.dims]
@@ -151,12 +168,11 @@ def _found(grid: Grid, probes: DataFrame, points: DataFrame, boxes: DataFrame) -
     )
 
 
-def _linked(grid: Grid, pairs: DataFrame, points: DataFrame, boxes: DataFrame) -> DataFrame:
+def _linked(grid: Grid, pairs: DataFrame, points: DataFrame, boxes: DataFrame, without: DataFrame) -> DataFrame:
     """Those of the cell `pairs` (a, b and their cells) that hold two points within the radius."""
     level, p_box, q_box = FIRST_LEVEL, [f"pm{i}" for i in grid.dims], [f"qm{i}" for i in grid.dims]
     p_cell, q_cell = [f"pc{i}" for i in grid.dims], [f"qc{i}" for i in grid.dims]
-    sure = grid.far2("p", "q") <= grid.eps2
-    close = grid.near2("p", "q") <= grid.eps2
+    sure, close = grid.touch("p", "q"), grid.near2("p", "q") <= grid.eps2
     sides = [grid.renamed(boxes, s) for s in "pq"]
     met = pairs.join(sides[0], [grid.group, *p_cell]).join(sides[1], [grid.group, *q_cell])
     met = met.filter(close).select(grid.group, "a", "b", *p_box, *q_box, sure.alias("sure"))
@@ -171,7 +187,7 @@ def _linked(grid: Grid, pairs: DataFrame, points: DataFrame, boxes: DataFrame) -
         parents = [
             open_pairs.select(grid.group, *[F.col(f"{s}m{i}").alias(f"m{i}") for i in grid.dims]) for s in "pq"
         ]
-        small = materialize(_smaller_boxes(grid, points, parents[0].union(parents[1]), level), "boxes")
+        small = materialize(_smaller_boxes(grid, points, parents[0].union(parents[1]), level, without), "boxes")
         level += DEEPER
         met = open_pairs.drop("sure")
         for s, box in (("p", p_box), ("q", q_box)):
@@ -184,41 +200,35 @@ def _linked(grid: Grid, pairs: DataFrame, points: DataFrame, boxes: DataFrame) -
     return merged.distinct()
 
 
-def _cell_labels(grid: Grid, core_cells: DataFrame, core_points: DataFrame, core_boxes: DataFrame) -> DataFrame:
+def _cell_labels(
+    grid: Grid, core_cells: DataFrame, points: DataFrame, core_boxes: DataFrame, without: DataFrame
+) -> DataFrame:
     """Cluster label (its smallest core id) per cell with core points."""
     nodes = core_cells.select(F.col("min_id").alias("node"))
-    wide = [grid.group, "min_id", *grid.cell[1:], *grid.bounds]
-    pairs = _neighbours(grid, core_cells.select(*wide), core_cells.select(*wide)).filter("pmin_id < qmin_id")
+    cells = core_cells.select(grid.group, "min_id", *grid.cell[1:], *grid.bounds, *grid.spot)
+    pairs = _neighbours(grid, cells, cells).filter("pmin_id < qmin_id")
     pairs = materialize(
         pairs.select(
             grid.group,
             F.col("pmin_id").alias("a"),
             F.col("qmin_id").alias("b"),
             *[f"{s}c{i}" for s in "pq" for i in grid.dims],
-            (grid.far2("p", "q") <= grid.eps2).alias("sure"),
+            grid.touch("p", "q").alias("sure"),
         ),
         "cell-pairs",
     )
-    # One known point of each cell settles most pairs of a crowded region.
-    spots = core_points.select("id", *[F.col(c).alias(f"x{i}") for i, c in enumerate(grid.columns)])
-    spots = materialize(spots.join(nodes.withColumnRenamed("node", "id"), "id", "left_semi"), "spots")
-    at_a = spots.toDF("a", *[f"ax{i}" for i in grid.dims])
-    at_b = spots.toDF("b", *[f"bx{i}" for i in grid.dims])
-    apart = grid._sum(F.col(f"ax{i}") - F.col(f"bx{i}") for i in grid.dims)
-    met = pairs.join(at_a, "a").join(at_b, "b").withColumn("sure", F.col("sure") | (apart <= grid.eps2))
-    met = materialize(met.select(*pairs.columns), "cell-pairs")
-    edges = met.filter("sure").select("a", "b")
-    labels = connected_components(nodes, edges)
+    labels = connected_components(nodes, pairs.filter("sure").select("a", "b"))
     # Only pairs of cells still in different clusters need the boxes inside them.
     roots = [labels.toDF(side, f"root_{side}") for side in "ab"]
-    open_pairs = met.filter("NOT sure").drop("sure").join(roots[0], "a").join(roots[1], "b").filter("root_a <> root_b")
-    open_pairs = materialize(open_pairs, "cell-pairs")
-    if not open_pairs.isEmpty():
-        more = _linked(grid, open_pairs.drop("root_a", "root_b"), core_points, core_boxes)
-        links = open_pairs.join(more, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    still = pairs.filter("NOT sure").drop("sure").join(roots[0], "a").join(roots[1], "b").filter("root_a <> root_b")
+    still = materialize(still, "cell-pairs")
+    if not still.isEmpty():
+        more = _linked(grid, still.drop("root_a", "root_b"), points, core_boxes, without)
+        links = still.join(more, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
         merged = connected_components(labels.select(F.col("root").alias("node")).distinct(), links)
         labels = labels.join(merged.toDF("root", "_root"), "root").select("node", F.col("_root").alias("root"))
-    return core_cells.join(labels, core_cells["min_id"] == labels["node"]).select(*grid.cell, F.col("root").alias("label"))
+    keyed = labels.select(F.col("node").alias("min_id"), F.col("root").alias("label"))
+    return core_cells.join(keyed, "min_id").select(*grid.cell, "label")
 
 
 def dbscan(
@@ -241,36 +251,38 @@ def dbscan(
         boxes.groupBy(*grid.cell).agg(F.sum("n").alias("n"), (F.sum("n") >= min_points).alias("dense")), "cells"
     )
     placed = points.select("*", *grid.slices(FIRST_LEVEL)).select(group, "id", *columns, *grid.cells(FIRST_LEVEL))
-    dense = cells.filter("dense").select(*grid.cell)
-    # A sparse cell has fewer than min_points points, so this side of the join has no crowded key.
-    dense_rows = hot_safe_join(placed, cells.select(*grid.cell, "dense"), grid.cell, "inner", hot_rows)
-    sparse = materialize(dense_rows.filter("NOT dense").drop("dense"), "sparse")
+    placed = hot_safe_join(placed, cells.drop("n"), grid.cell, "inner", hot_rows)
+    # A sparse cell has fewer than min_points points; from here on only dense cells can be crowded.
+    sparse = materialize(placed.filter("NOT dense").drop("dense"), "sparse")
+    crowd = placed.filter("dense").select(*grid.cell, "id")
 
     counted = _found(grid, sparse, points, boxes).groupBy(group, "id").agg(F.sum("n").alias("n"))
     judged = materialize(
         sparse.join(counted, [group, "id"]).withColumn("core", F.col("n") >= min_points).drop("n"), "judged"
     )
     lonely = judged.filter("NOT core")
-    lonely_ids = lonely.select("id")
-    sparse_core = _boxes(grid, judged.filter("core"), FIRST_LEVEL)
-    core_boxes = materialize(boxes.join(dense, grid.cell, "left_semi").unionByName(sparse_core), "core-boxes")
-    core_points = points.join(broadcast_if_small(lonely_ids), "id", "left_anti")
-    reached = _found(grid, lonely, core_points, core_boxes)
+    lonely_ids = broadcast_if_small(lonely.select("id"))
+    core_boxes = boxes.join(cells.filter("dense").select(*grid.cell), grid.cell, "left_semi")
+    core_boxes = materialize(
+        core_boxes.unionByName(_boxes(grid, judged.filter("core"), FIRST_LEVEL)), "core-boxes"
+    )
+    reached = _found(grid, lonely, points, core_boxes, lonely_ids)
 
     if not clusters:
-        border = reached.select(group, "id").distinct().withColumn("_border", F.lit(True))
-        flagged = lonely.join(border, [group, "id"], "left")
-        noise = flagged.filter("_border IS NULL").select(group, "id", F.lit(True).alias("is_anomaly"))
-        rest = points.select(group, "id").join(broadcast_if_small(noise.select("id")), "id", "left_anti")
-        return noise.unionByName(rest.withColumn("is_anomaly", F.lit(False)))
-
-    ends = [f(F.col(b)).alias(b) for b in grid.bounds for f in ((F.min,) if b.startswith("lo") else (F.max,))]
-    core_cells = materialize(core_boxes.groupBy(*grid.cell).agg(F.min("min_id").alias("min_id"), *ends), "core-cells")
-    labels = materialize(_cell_labels(grid, core_cells, core_points, core_boxes), "labels")
-    border = reached.join(labels, grid.cell).groupBy(group, "id").agg(F.min("label").alias("label"))
-    border = lonely.select(group, "id").join(border, [group, "id"], "left")
-    core = placed.join(broadcast_if_small(lonely_ids), "id", "left_anti").select(*grid.cell, "id")
-    core = hot_safe_join(core, labels, grid.cell, "inner", hot_rows)
-    every = core.select(group, "id", "label").unionByName(border)
+        near = reached.select("id").distinct().withColumn("_near", F.lit(True))
+        single = lonely.join(near, "id", "left").select(group, "id", F.col("_near").isNull().alias("is_anomaly"))
+        core = crowd.select(group, "id").unionByName(judged.filter("core").select(group, "id"))
+        return single.unionByName(core.withColumn("is_anomaly", F.lit(False)))
+
+    ends = [e for i in grid.dims for e in (F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"))]
+    spot = [F.min_by(s, "min_id").alias(s) for s in grid.spot]
+    core_cells = core_boxes.groupBy(*grid.cell).agg(*ends, *spot, F.min("min_id").alias("min_id"))
+    core_cells = materialize(core_cells, "core-cells")
+    labels = materialize(_cell_labels(grid, core_cells, points, core_boxes, lonely_ids), "labels")
+    single = reached.join(labels, grid.cell).groupBy(group, "id").agg(F.min("label").alias("label"))
+    single = lonely.select(group, "id").join(single, [group, "id"], "left")
+    core = hot_safe_join(crowd, labels, grid.cell, "inner", hot_rows)
+    core = core.unionByName(judged.filter("core").select(*grid.cell, "id").join(labels, grid.cell))
+    every = single.unionByName(core.select(group, "id", "label"))
     label = F.coalesce("label", F.lit(NOISE)).alias("label")
     return every.select(group, "id", label).withColumn("is_anomaly", F.col("label") == NOISE)

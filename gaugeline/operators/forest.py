@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gaugeline.plans.scratch import spread_work
+
 TREES = 100
 SAMPLE = 256
 CONTAMINATION = 0.1
@@ -162,6 +164,6 @@ def score_rows(scaled: DataFrame, nodes: DataFrame, columns: Sequence[str], max_
     scored = []
     for kinds in slices:
         table = nodes.filter(F.col("sensor_type").isin(kinds)).toPandas()
-        rows = scaled.filter(F.col("sensor_type").isin(kinds))
+        rows = spread_work(scaled.filter(F.col("sensor_type").isin(kinds)))
         scored.append(rows.withColumn("score_sample", _scorer(table, columns)))
     return reduce(DataFrame.unionByName, scored)
