@@ -10,7 +10,7 @@ from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.rolling import FEATURES
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans.joins import broadcast_if_small
-from gaugeline.plans.scratch import materialize
+from gaugeline.plans.scratch import materialize, path_exists
 
 ISOLATION, DBSCAN = "isolation", "dbscan"
 TABLES = ("scaler_params", "iforest_nodes", "iforest_meta", "dbscan_meta", "sensor_stats")
@@ -127,16 +127,11 @@ def save_models(models: Models, path: str) -> None:
         )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
-
-
 def load_models(spark: SparkSession, path: str) -> Models:
     """Stored models; a store without sensor statistics gives an empty table of them."""
     tables = {}
     for name in TABLES:
-        if name == "sensor_stats" and not _exists(spark, f"{path}/{name}"):
+        if name == "sensor_stats" and not path_exists(spark, f"{path}/{name}"):
             tables[name] = spark.createDataFrame([], "sensor_id string")
         else:
             tables[name] = spark.read.parquet(f"{path}/{name}").drop("saved_at")

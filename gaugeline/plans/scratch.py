@@ -39,3 +39,33 @@ def spread_work(df: DataFrame) -> DataFrame:
     if df.count() > SMALL_ROWS:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _path(spark, path)
+    return fs.exists(where)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, where = _path(spark, path)
+    fs.delete(where, True)
+
+
+def publish(df: DataFrame, path: str, staging: str) -> None:
+    """Write `df` so that `path` either holds all of it or does not exist; an existing `path` is left alone.
+
+    A repeated micro-batch therefore changes nothing that a reader may have seen.
+    """
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        return
+    df.write.mode("overwrite").parquet(staging)
+    fs, target = _path(spark, path)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_path(spark, staging)[1], target):
+        raise RuntimeError(f"cannot publish {path}")
