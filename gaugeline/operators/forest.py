@@ -5,15 +5,20 @@ and walking rows through trees are Python, on Arrow batches.
 """
 
 import math
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeline.plans.scratch import spread_work
 
+# The functions below travel to the executors, which need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 100
 SAMPLE = 256
 CONTAMINATION = 0.1
@@ -59,7 +64,10 @@ def sample_rows(
 
     cut = (per_type(chances) * scale).cast("bigint")
     hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < cut)
-    candidates = pool.withColumn("tree", F.explode(hits))
+    # Ranking and growing share one shuffle. It is split by number: the rows are few, but the work on them is not, and
+    # adaptive execution would merge them by size.
+    tasks = min(MAX_GROW_TASKS, 2 * scaled.sparkSession.sparkContext.defaultParallelism)
+    candidates = pool.withColumn("tree", F.explode(hits)).repartition(tasks, "sensor_type", "tree")
     first = Window.partitionBy("sensor_type", "tree").orderBy(drawn(F.col("tree")), key)
     return candidates.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= sample).drop("_n")
 
@@ -95,11 +103,9 @@ def grow_forest(samples: DataFrame, columns: Sequence[str], seed: int = SEED) ->
         pdf = pdf.sort_values("id")
         return _grow(pdf["sensor_type"].iloc[0], int(pdf["tree"].iloc[0]), pdf[columns].to_numpy(float), seed)[names]
 
-    # A group is one tree's sample: a few hundred rows, whatever the size of the table. The rows are small but the work
-    # is not, so the groups are spread by number; adaptive execution would merge them by size.
+    # A group is one tree's sample: a few hundred rows, whatever the size of the table.
     return (
         samples.select("sensor_type", "tree", "id", *columns)
-        .repartition(min(MAX_GROW_TASKS, 2 * samples.sparkSession.sparkContext.defaultParallelism), "sensor_type", "tree")
         .groupBy("sensor_type", "tree")
         .applyInPandas(grow_tree, NODE_SCHEMA)
     )
