@@ -137,11 +137,13 @@ def split_groups(
     starts = [(*k, *[None] * len(order)) for k in hot_keys]
     cuts = sorted({*starts, *map(tuple, picked)}, key=_nulls_first)
     cut_type = T.StructType([T.StructField(f.name, f.dataType) for f in slim.schema.fields])
-    cut_points = _literal(cuts, T.ArrayType(cut_type))
+    cut_points = _literal([dict(zip(cut_type.fieldNames(), c)) for c in cuts], T.ArrayType(cut_type))
     piece = _position(cut_points, len(cuts), F.struct(*keys, *[_sortable(df, o) for o in order]))
 
     located = only_hot(df.select(*keys, *order)).withColumn("_piece", piece)
     counts = dict(located.groupBy("_piece").count().collect())
+    if not counts.get(len(cuts)):  # the last cut point is itself a row
+        raise RuntimeError(f"cut points do not fit the order columns {order}")
     opens = set(starts)
     dests: list[list[int]] = [[0]]
     first = 1
