@@ -1,6 +1,7 @@
 """Training and applying the outlier models of all sensor types at once, and storing them as Parquet tables."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,10 @@ from gaugeline.plans.scratch import materialize, path_exists
 
 ISOLATION, DBSCAN = "isolation", "dbscan"
 TABLES = ("scaler_params", "iforest_nodes", "iforest_meta", "dbscan_meta", "sensor_stats")
-PREDICTIONS = ("id", "sensor_id", "sensor_type", "model", "prediction", "score", "is_anomaly")
+PREDICTION_SCHEMA = (
+    "id bigint, sensor_id string, sensor_type string, model string, prediction bigint, score double, is_anomaly boolean"
+)
+PREDICTIONS = tuple(f.split()[0] for f in PREDICTION_SCHEMA.split(", "))
 
 
 @dataclass(frozen=True)
@@ -98,22 +102,27 @@ def predict(models: Models, readings: DataFrame) -> DataFrame:
     scaled = apply_scaler(features, models.scaler_params, FEATURES).select("id", "sensor_id", "sensor_type", *FEATURES)
     scaled = materialize(scaled, "scaled")
 
-    known = models.iforest_meta.select("sensor_type", "threshold")
-    rows = scaled.join(broadcast_if_small(known), "sensor_type")
-    scored = rows.withColumn("score_sample", F.lit(None).cast("double"))
-    if not models.iforest_nodes.isEmpty():
-        scored = forest.score_rows(rows, models.iforest_nodes, FEATURES)
-    score = F.col("score_sample") - F.col("threshold")
-    by_forest = scored.withColumns({"model": F.lit("isolation_forest"), "score": score, "is_anomaly": score < 0})
-    by_forest = by_forest.withColumn("prediction", F.when(F.col("is_anomaly"), -1).otherwise(1).cast("bigint"))
-
-    dense = scaled.join(broadcast_if_small(models.dbscan_meta.select("sensor_type")), "sensor_type")
-    names = dense.select("id", "sensor_id")
-    labels = dbscan.dbscan(materialize(dense.select("sensor_type", "id", *dbscan.FEATURES), "points"))
-    by_density = labels.join(names, "id").withColumns(
-        {"model": F.lit("dbscan"), "prediction": F.col("label"), "score": F.lit(None).cast("double")}
-    )
-    return by_forest.select(*PREDICTIONS).unionByName(by_density.select(*PREDICTIONS))
+    # Each model answers only where the store holds one.
+    answers = [readings.sparkSession.createDataFrame([], PREDICTION_SCHEMA)]
+    if not models.iforest_meta.isEmpty():
+        known = models.iforest_meta.select("sensor_type", "threshold")
+        rows = scaled.join(broadcast_if_small(known), "sensor_type")
+        score = F.col("score_sample") - F.col("threshold")
+        by_forest = forest.score_rows(rows, models.iforest_nodes, FEATURES).withColumns(
+            {"model": F.lit("isolation_forest"), "score": score, "is_anomaly": score < 0}
+        )
+        answers.append(
+            by_forest.withColumn("prediction", F.when(F.col("is_anomaly"), -1).otherwise(1).cast("bigint"))
+        )
+    if not models.dbscan_meta.isEmpty():
+        dense = scaled.join(broadcast_if_small(models.dbscan_meta.select("sensor_type")), "sensor_type")
+        labels = dbscan.dbscan(materialize(dense.select("sensor_type", "id", *dbscan.FEATURES), "points"))
+        answers.append(
+            labels.join(dense.select("id", "sensor_id"), "id").withColumns(
+                {"model": F.lit("dbscan"), "prediction": F.col("label"), "score": F.lit(None).cast("double")}
+            )
+        )
+    return reduce(DataFrame.unionByName, [a.select(*PREDICTIONS) for a in answers])
 
 
 def count_anomalies(predictions: DataFrame) -> DataFrame:
