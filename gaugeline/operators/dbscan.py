@@ -90,7 +90,7 @@ class Grid:
 def _neighbours(grid: Grid, left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of rows (p…, q…) with boxes at most the radius apart. Rows carry their cell; a block holds a bounded
     number of cells and a cell a bounded number of boxes, so no join key is crowded."""
-    left, right = (df.select("*", *grid.blocks()) for df in (spread_work(left), right))
+    left, right = (df.select("*", *grid.blocks()) for df in (spread_work(left, left.count()), right))
     offsets = F.array(*[F.array(*[F.lit(o) for o in step]) for step in product((-1, 0, 1), repeat=len(grid.columns))])
     around = left.select(*grid.block).distinct().select("*", F.explode(offsets).alias("_o"))
     around = around.select(

@@ -64,6 +64,7 @@ def sample_rows(
 
     cut = (per_type(chances) * scale).cast("bigint")
     hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < cut)
+    pool = spread_work(pool, sum(min(n, pool_size) for n in sizes.values()))
     # Ranking and growing share one shuffle. It is split by number: the rows are few, but the work on them is not, and
     # adaptive execution would merge them by size.
     tasks = min(MAX_GROW_TASKS, 2 * scaled.sparkSession.sparkContext.defaultParallelism)
@@ -85,8 +86,9 @@ def _grow(sensor_type: str, tree: int, rows: np.ndarray, seed: int) -> pd.DataFr
         if depth >= depth_limit or len(members) <= 1 or not len(varying):
             nodes.append((-1, 0.0, -1, -1, depth + float(average_path(len(members)))))
             continue
-        f = int(rng.choice(varying))
-        at = float(rng.uniform(lo[f], hi[f]))
+        f = int(varying[rng.integers(len(varying))])
+        # Below the maximum, so that both sides get rows even when only rounding tells the values apart.
+        at = min(float(rng.uniform(lo[f], hi[f])), float(np.nextafter(hi[f], lo[f])))
         goes_left = part[:, f] <= at
         nodes.append((f, at, len(todo), len(todo) + 1, 0.0))
         todo += [(members[goes_left], depth + 1), (members[~goes_left], depth + 1)]
@@ -153,8 +155,10 @@ def _scorer(nodes: pd.DataFrame, columns: Sequence[str]):
     return score_iforest(F.col("sensor_type"), F.struct(*columns))
 
 
-def score_rows(scaled: DataFrame, nodes: DataFrame, columns: Sequence[str], max_nodes: int = MAX_NODES) -> DataFrame:
-    """Add the anomaly score (lower is more anomalous) of every row whose type has a forest.
+def score_rows(
+    scaled: DataFrame, nodes: DataFrame, columns: Sequence[str], rows: int, max_nodes: int = MAX_NODES
+) -> DataFrame:
+    """Add the anomaly score (lower is more anomalous) of each of the `rows` rows whose type has a forest.
 
     Trees travel to the tasks. A type has at most trees x 2 x sample nodes; when all types together are above
     `max_nodes`, the types are scored in slices that each stay below it.
@@ -169,7 +173,7 @@ def score_rows(scaled: DataFrame, nodes: DataFrame, columns: Sequence[str], max_
         room -= n
     scored = []
     for kinds in slices:
-        table = nodes.filter(F.col("sensor_type").isin(kinds)).toPandas()
-        rows = spread_work(scaled.filter(F.col("sensor_type").isin(kinds)))
-        scored.append(rows.withColumn("score_sample", _scorer(table, columns)))
+        table = nodes.filter(F.col("sensor_type").isin(kinds)).toArrow().to_pandas()
+        chosen = spread_work(scaled.filter(F.col("sensor_type").isin(kinds)), rows)
+        scored.append(chosen.withColumn("score_sample", _scorer(table, columns)))
     return reduce(DataFrame.unionByName, scored)

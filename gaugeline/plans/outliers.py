@@ -75,8 +75,8 @@ def train(
         sizes = dict(features.groupBy("sensor_type").count().collect())
         drawn = forest.sample_rows(scaled, sizes, trees=trees, seed=seed)
         nodes = materialize(forest.grow_forest(drawn, FEATURES, seed), "nodes")
-        scores = forest.score_rows(scaled, nodes, FEATURES).select("sensor_type", "score_sample")
-        scores = materialize(scores, "scores")
+        scores = forest.score_rows(scaled, nodes, FEATURES, sum(sizes.values()))
+        scores = materialize(scores.select("sensor_type", "score_sample"), "scores")
         limits = quantile_table(scores, "sensor_type", "score_sample", contamination, approximate_threshold)
         limits = limits.withColumnRenamed("quantile", "threshold")
         judged = scores.join(broadcast_if_small(limits), "sensor_type")
@@ -100,15 +100,14 @@ def predict(models: Models, readings: DataFrame) -> DataFrame:
         prepare_features(readings.select("id", "sensor_id", "sensor_type", "ts", "value")), "features"
     )
     scaled = apply_scaler(features, models.scaler_params, FEATURES).select("id", "sensor_id", "sensor_type", *FEATURES)
-    scaled = materialize(scaled, "scaled")
-
     # Each model answers only where the store holds one.
     answers = [readings.sparkSession.createDataFrame([], PREDICTION_SCHEMA)]
     if not models.iforest_meta.isEmpty():
         known = models.iforest_meta.select("sensor_type", "threshold")
         rows = scaled.join(broadcast_if_small(known), "sensor_type")
         score = F.col("score_sample") - F.col("threshold")
-        by_forest = forest.score_rows(rows, models.iforest_nodes, FEATURES).withColumns(
+        scored = forest.score_rows(rows, models.iforest_nodes, FEATURES, features.count())
+        by_forest = scored.withColumns(
             {"model": F.lit("isolation_forest"), "score": score, "is_anomaly": score < 0}
         )
         answers.append(

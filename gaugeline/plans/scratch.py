@@ -33,10 +33,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 SMALL_ROWS = 1_000_000
 
 
-def spread_work(df: DataFrame) -> DataFrame:
-    """Spread a small table of rows that are costly to process over all cores; a large one already is. `df` should be a
-    written table, whose rows are counted from the file footers."""
-    if df.count() > SMALL_ROWS:
+def spread_work(df: DataFrame, rows: int) -> DataFrame:
+    """Spread a small table of rows that are costly to process over all cores; a large one already is."""
+    if rows > SMALL_ROWS:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 

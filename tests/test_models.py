@@ -168,7 +168,7 @@ def test_forest_is_reproducible_and_slices_agree(spark):
 
     def scores(d, **options):
         nodes = forest.grow_forest(forest.sample_rows(d, {"a": 900, "b": 400}, trees=9), columns)
-        scored = forest.score_rows(d, nodes, columns, **options)
+        scored = forest.score_rows(d, nodes, columns, 1300, **options)
         return {r["id"]: round(r["score_sample"], 9) for r in scored.select("id", "score_sample").collect()}
 
     first = scores(df.repartition(2))
@@ -184,7 +184,7 @@ def test_scores_follow_the_definition(spark):
     table = spark.createDataFrame(nodes)
     tree = {(t, n): row for t, n, row in zip(nodes["tree"], nodes["node"], nodes.itertuples())}
     norm = 2 * (np.log(255) + 0.5772156649015329) - 2 * 255 / 256
-    for r in forest.score_rows(df, table, columns).filter("id < 20").collect():
+    for r in forest.score_rows(df, table, columns, 300).filter("id < 20").collect():
         depth = 0.0
         for t in range(4):
             at = tree[t, 0]
