@@ -35,7 +35,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, hot_rows: int = HOT
         smallest = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_b"))
         up = materialize(smallest.select("node", F.least("_b", "node").alias("up")), "hooks")
         two = follow(up, "up", up)
+        if not small:  # a split join reads its input several times, so nested ones would multiply
+            two = materialize(two, "hooks")
         up = materialize(follow(two, "up", two), "hooks")
         labels = follow(labels, "root", up)
-        edges = both_ways(follow(follow(edges, "a", up), "b", up))
+        moved = follow(edges, "a", up)
+        if not small:
+            labels, moved = materialize(labels, "labels"), materialize(moved, "edges")
+        edges = both_ways(follow(moved, "b", up))
     return materialize(labels, "labels")

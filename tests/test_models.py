@@ -63,8 +63,8 @@ def test_dbscan_borders(spark):
 
 
 def test_components(spark):
-    chain = [(i, i + 1) for i in range(0, 60)]
-    star = [(100, 100 + i) for i in range(1, 40)]
+    chain = [(i, i + 1) for i in range(0, 25)]
+    star = [(100, 100 + i) for i in range(1, 20)]
     ring = [(200 + i, 200 + (i * 7 + 3) % 20) for i in range(20)]
     nodes = sorted({n for e in chain + star + ring for n in e} | {999})
     parent = {n: n for n in nodes}
