@@ -35,7 +35,7 @@ class FlowConfig:
     console: bool = True
 
 
-def session(app_name: str = "sensor-flow") -> SparkSession:
+def session(app_name: str = "gaugeline") -> SparkSession:
     return (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
