@@ -5,6 +5,7 @@ The ``events`` table is viewed as sensor readings (see ``gaugeline.sources.readi
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -481,11 +482,33 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
 )
 
 
+def _present(name: str) -> bool:
+    return importlib.util.find_spec(name) is not None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if _present("gaugeline.llm"):
+        from gaugeline.llm.queries import QUERIES
+
+        found |= QUERIES
+    if _present("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     from oracles import ORACLES
 
-    return dict(ORACLES)
+    found = dict(ORACLES)
+    if _present("gaugeline.llm"):
+        from gaugeline.llm.queries import ORACLES as MORE
+
+        found |= MORE
+    if _present("corpus_pipeline"):
+        import corpus_pipeline
+
+        found |= {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return found
