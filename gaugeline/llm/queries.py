@@ -1,6 +1,15 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import mixing, sharding, urls, warc
+from gaugeline.llm import mixing, sharding, simhash, urls, warc
 
-QUERIES = {q.__name__: q for q in (urls.op3_url_filters, mixing.op8_source_mix, warc.op9_warc, sharding.op10_shards)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        simhash.op2_simhash,
+        urls.op3_url_filters,
+        mixing.op8_source_mix,
+        warc.op9_warc,
+        sharding.op10_shards,
+    )
+}
 ORACLES = {"op3_url_filters": urls.SQL}
