@@ -1,12 +1,13 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import mixing, sharding, simhash, urls, warc
+from gaugeline.llm import chunking, mixing, sharding, simhash, urls, warc
 
 QUERIES = {
     q.__name__: q
     for q in (
         simhash.op2_simhash,
         urls.op3_url_filters,
+        chunking.op5_fingerprints,
         mixing.op8_source_mix,
         warc.op9_warc,
         sharding.op10_shards,
