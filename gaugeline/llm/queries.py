@@ -1,10 +1,11 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import chunking, mixing, sharding, simhash, urls, warc
+from gaugeline.llm import chunking, language, mixing, sharding, simhash, urls, warc
 
 QUERIES = {
     q.__name__: q
     for q in (
+        language.op1_language,
         simhash.op2_simhash,
         urls.op3_url_filters,
         chunking.op5_fingerprints,
