@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import chunking, language, mixing, sharding, simhash, urls, warc
+from gaugeline.llm import chunking, decontamination, language, mixing, sharding, simhash, urls, warc
 
 QUERIES = {
     q.__name__: q
@@ -8,6 +8,7 @@ QUERIES = {
         language.op1_language,
         simhash.op2_simhash,
         urls.op3_url_filters,
+        decontamination.op4_decontamination,
         chunking.op5_fingerprints,
         mixing.op8_source_mix,
         warc.op9_warc,
