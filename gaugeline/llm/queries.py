@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import chunking, decontamination, language, language_model, mixing, sharding, simhash, urls, warc
+from gaugeline.llm import chunking, decontamination, language, language_model, mixing, sharding, simhash, suffixes, urls, warc
 
 QUERIES = {
     q.__name__: q
@@ -10,6 +10,7 @@ QUERIES = {
         urls.op3_url_filters,
         decontamination.op4_decontamination,
         chunking.op5_fingerprints,
+        suffixes.op6_suffixes,
         language_model.op7_language_model,
         mixing.op8_source_mix,
         warc.op9_warc,
