@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugeline.llm.common import table
+from gaugeline.llm.common import fresh_name, table
 from gaugeline.llm.tokens import ALPHANUMERIC, batches_of, mixed, words_of
 
 GRAM, RUN = 3, 3
@@ -257,7 +257,8 @@ def find_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Data
 def without_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """`docs` without those that hold a copy of an item; columns stay."""
     for seeds in seed_blocks(docs, items):
-        docs = docs.withColumn("_copies", copies_column(seeds, "text", least)).filter(F.size("_copies") == 0).drop("_copies")
+        name = fresh_name(docs, "_copies")
+        docs = docs.withColumn(name, copies_column(seeds, "text", least)).filter(F.size(name) == 0).drop(name)
     return docs
 
 

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm.common import remainder, table, uniform
+from gaugeline.llm.common import fresh_name, remainder, table, uniform
 from gaugeline.plans.joins import broadcast_if_small
 
 UNKNOWN = "und"
@@ -272,7 +272,8 @@ def with_language(docs: DataFrame, field: Field | None, text: str = "text", lang
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["language", "score"])
 
     found = F.arrow_udf(predict, "struct<language:string,score:double>")(F.col(text))
-    return docs.withColumn("_found", found).withColumns({language: F.col("_found.language"), score: F.col("_found.score")}).drop("_found")
+    name = fresh_name(docs, "_found")
+    return docs.withColumn(name, found).withColumns({language: F.col(f"{name}.language"), score: F.col(f"{name}.score")}).drop(name)
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,5 +286,6 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
 def known_language(docs: DataFrame, at_least: float = 0.3) -> DataFrame:
     """`docs` without those whose language is unknown or whose words name no language clearly."""
     field = learn(docs.filter(remainder("doc_id") != 0))
-    found = with_language(docs, field, language="_language", score="_score")
-    return found.filter((F.col("_language") != UNKNOWN) & (F.col("_score") >= at_least)).drop("_language", "_score")
+    language, score = fresh_name(docs, "_language"), fresh_name(docs, "_score")
+    found = with_language(docs, field, language=language, score=score)
+    return found.filter((F.col(language) != UNKNOWN) & (F.col(score) >= at_least)).drop(language, score)

@@ -19,7 +19,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gaugeline.llm.common import table, uniform, word_count
+from gaugeline.llm.common import fresh_name, table, uniform, word_count
 from gaugeline.plans.joins import broadcast_if_small
 from gaugeline.plans.scratch import materialize
 
@@ -174,13 +174,14 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
 
 def copied_documents(docs: DataFrame) -> DataFrame:
     """`docs` with every row as often as the mix takes it, columns unchanged."""
-    mixed = mix_sources(docs).groupBy("doc_id", "fingerprint", "source").agg(F.sum("copies").alias("_copies"))
-    wide = docs.withColumn("_fingerprint", F.xxhash64("text")).dropDuplicates(["doc_id", "_fingerprint", "source"])
+    mixed = mix_sources(docs).groupBy("doc_id", "fingerprint", "source").agg(F.sum("copies").alias("copies"))
+    digest, nth = fresh_name(docs, "_digest"), fresh_name(docs, "_nth")
+    wide = docs.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest, "source"])
     on = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source"))
-    on &= F.col("d._fingerprint") == F.col("m.fingerprint")
-    joined = wide.alias("d").join(mixed.filter("_copies > 0").alias("m"), on)
-    rows = joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("m._copies"))).alias("_nth"))
-    return rows.drop("_nth")
+    on &= F.col(f"d.{digest}") == F.col("m.fingerprint")
+    joined = wide.alias("d").join(mixed.filter("copies > 0").alias("m"), on)
+    each = F.explode(F.sequence(F.lit(1), F.col("m.copies"))).alias(nth)
+    return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], each).drop(nth)
 
 
 def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:

@@ -17,4 +17,4 @@ QUERIES = {
         sharding.op10_shards,
     )
 }
-ORACLES = {"op3_url_filters": urls.SQL}
+ORACLES = {"op3_url_filters": urls.SQL, "op9_warc": warc.SQL}

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugeline.llm.common import WORD, table
+from gaugeline.llm.common import WORD, fresh_name, table
 from gaugeline.plans.components import connected_components
 from gaugeline.plans.scratch import materialize
 
@@ -136,13 +136,14 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     labelled = rows.join(components(rows), "fingerprint")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     best = labelled.groupBy("root").agg(F.min(first).alias("best")).select("best.doc_id", "best.text_hash")
-    kept = materialize(best.withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "simhash-kept")
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
+    kept_id, kept_hash = fresh_name(docs, "_id"), fresh_name(docs, "_hash")
+    kept = materialize(best.withColumnsRenamed({"doc_id": kept_id, "text_hash": kept_hash}), "simhash-kept")
+    on = F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_hash))
     left = docs.join(kept, on, "left_semi")
     repeated = rows.groupBy("doc_id", "text_hash").count().filter("count > 1")
     if repeated.isEmpty():
         return left
-    return left.withColumn("_hash", F.xxhash64(text)).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return left.withColumn(kept_hash, F.xxhash64(text)).dropDuplicates(["doc_id", kept_hash]).drop(kept_hash)
 
 
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:

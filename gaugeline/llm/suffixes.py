@@ -388,3 +388,4 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, shard_bytes:
 
 def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+

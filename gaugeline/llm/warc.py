@@ -265,3 +265,19 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     raw, members = f"{root}/raw", f"{root}/members"
     archives = normalise_archives(write_archives(pages, raw), raw, members)
     return read_archives(archives, members).drop("offset", "length")
+
+
+def _sql() -> str:
+    letters = [f"substr('{_ALPHABET}', ((('0x' || substr(h, {5 * i + 1}, 5))::int >> {s}) & 31) + 1, 1)" for i in range(8) for s in (15, 10, 5, 0)]
+    return f"""
+with p as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages),
+b as (select page_id, strlen(body) as payload_bytes, {" || ".join(letters)} as payload_digest from p),
+g as (select *, max(page_id) over (partition by payload_digest) as top from b)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when page_id = top then 'response' else 'revisit' end as record_type,
+  case when page_id = top then null else top end as refers_to
+from g
+"""
+
+
+SQL = _sql()
