@@ -27,7 +27,7 @@ from gaugeline.llm.eliasfano import Trie, quantised, shares_of
 from gaugeline.llm.tokens import NOT_SPACE, batches_of, mixed, words_of
 from gaugeline.plans.scratch import materialize
 
-GROUP_BYTES = SHARD_BYTES = 12 << 20
+GROUP_BYTES = SHARD_BYTES = 5 << 20
 PRIOR = 300.0
 START, END = np.uint64(0xD1B54A32D192ED03), np.uint64(0xABC98388FB8FAC03)
 _SHORT = 6  # bytes of a word's hash in a list of pairs
@@ -56,13 +56,15 @@ class Tokens:
         for first, part in batches_of(texts):
             w = words_of([t.lower() for t in part], NOT_SPACE)
             hashes.append(w.hashes)
-            owner.append(w.owner + first)
-        every = np.arange(len(texts))
+            owner.append((w.owner + first).astype(np.int32))
+        every = np.arange(len(texts), dtype=np.int32)
         owner = np.concatenate([*owner, every])
         order = np.argsort(owner, kind="stable")  # the end comes after the words of its text
         self.owner = owner[order]
         hashes = np.concatenate([*hashes, np.full(len(texts), END, np.uint64)])[order]
         self.words, word = np.unique(np.append(hashes, START), return_inverse=True)
+        del hashes, order
+        word = word.astype(np.int32)
         start, self.word = word[-1], word[:-1]
         self.context = np.concatenate([[start], self.word[:-1]])
         self.context[np.flatnonzero(np.diff(self.owner, prepend=-1))] = start
@@ -72,8 +74,8 @@ class Tokens:
         spread = np.isin(context, hot)
         shard = _shard(np.where(spread, mixed(context * np.uint64(3) + follower), context), shards)
         order = np.argsort(shard, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.pair = place[pair]
         self.pair_shard, self.contexts, self.followers = shard[order], context[order], follower[order]
 
