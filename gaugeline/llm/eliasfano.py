@@ -58,11 +58,11 @@ class Monotone:
         places, equal = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
         if not self.size:
             return places, equal
-        blocks = np.maximum(np.searchsorted(self.firsts, wanted, side="right") - 1, 0)
+        blocks = np.maximum(np.searchsorted(self.firsts, wanted) - 1, 0)
         edges = np.flatnonzero(np.diff(blocks, prepend=-1, append=-1))
         for at, to in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             b = int(blocks[at])
-            values = self.block(b)
+            values = np.append(self.block(b), self.firsts[b + 1 : b + 2])
             found = np.searchsorted(values, wanted[at:to])
             inner = np.minimum(found, len(values) - 1)
             places[at:to] = found + b * BLOCK
