@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
-The n-grams of three words of the test items are counted over all documents. Of every three n-grams that follow each other
-in an item the rarest is a seed, so any five unchanged words of an item hold one, and common phrases are seeds
-only where nothing rarer is near. A document that holds a seed is aligned with the item around it, word by word: a
+The n-grams of three words of the test items are counted over all documents. Seeds are the n-grams that hardly any document
+has (at most five occurrences, and one for every million n-grams), and of every three n-grams that follow each other in an item the
+rarest. So any five unchanged words of an item hold a seed, however often it leaked, and common phrases are seeds only
+where nothing rarer is near. A document that holds a seed is aligned with the item around it, word by word: a
 match gives 2, a mismatch or a gap costs 1. A copy counts if its score reaches `least` (one half) of the item's own, which edits and
 paraphrases of about a third of the words still do.
 
@@ -25,6 +26,7 @@ from gaugeline.llm.common import fresh_name, table
 from gaugeline.llm.tokens import ALPHANUMERIC, batches_of, mixed, words_of
 
 GRAM, RUN = 3, 3
+RARE, RARE_SHARE = 5, 1e-6
 MATCH, COST, LEAST = 2, 1, 0.5
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8 << 20
 FOUND = "array<struct<item_id:bigint,similarity:double,score:int,first_word:int,last_word:int>>"
@@ -116,32 +118,33 @@ def _document_grams(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.nd
         yield first, w.hashes, w.owner, g
 
 
-def gram_counts(docs: DataFrame, block: Block, text: str = "text") -> np.ndarray:
-    """How often each n-gram of the block occurs in all documents, in the order of its unique hashes."""
+def gram_counts(docs: DataFrame, block: Block, text: str = "text") -> tuple[np.ndarray, int]:
+    """How often each n-gram of the block occurs in all documents, in the order of its unique hashes, and all n-grams."""
     keys = np.unique(block.hashes)
     state: list[Lookup] = []
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.append(Lookup(keys))
-        total = np.zeros(len(keys), np.int64)
+        total, every = np.zeros(len(keys), np.int64), 0
         for batch in batches:
             for _, _, _, g in _document_grams(_lower(batch["text"].to_pylist())):
+                every += len(g)
                 total += np.bincount(state[0].find(g)[1], minlength=len(keys))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], every))], ["gram", "n"])
 
     rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(keys), np.int64)
-    for row in rows.collect():  # at most one row for each n-gram of the block
+    counts = np.zeros(len(keys) + 1, np.int64)
+    for row in rows.collect():  # at most one row for each n-gram of the block, and -1 for all
         counts[row["gram"]] = row["n"]
-    return counts
+    return counts[:-1], int(counts[-1])
 
 
-def rare_seeds(block: Block, counts: np.ndarray) -> Block:
-    """The block with the rarest of every `RUN` n-grams in a row as its only n-grams."""
+def rare_seeds(block: Block, counts: np.ndarray, total: int) -> Block:
+    """The block with its rare n-grams, and the rarest of every `RUN` in a row, as its only n-grams."""
     frequency = counts[np.searchsorted(np.unique(block.hashes), block.hashes)]
-    chosen = np.zeros(len(block.hashes), bool)
+    chosen = frequency <= RARE + RARE_SHARE * total
     sizes = np.bincount(block.item, minlength=len(block.ids))
     begin = 0
     for n in sizes.tolist():
@@ -238,7 +241,7 @@ def copies_column(seeds: Block, text: str, least: float = LEAST) -> Column:
 def seed_blocks(docs: DataFrame, items: DataFrame, text: str = "text") -> Iterator[Block]:
     for block in item_blocks(items):
         if block.ids:
-            yield rare_seeds(block, gram_counts(docs, block, text))
+            yield rare_seeds(block, *gram_counts(docs, block, text))
 
 
 def find_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
