@@ -35,7 +35,7 @@ from gaugeline.llm.tokens import prefix_sums, span_hashes
 
 LENGTH, GRAM = 50, 20
 STEPS = LENGTH - GRAM  # steps from the first to the last place of an anchor in a window
-GROUP_BYTES = SHARD_BYTES = 12 << 20
+GROUP_BYTES = SHARD_BYTES = 4 << 20
 PIECE_BYTES, PLACE_BITS = 2 << 20, 24
 HOT_RUNS = 20_000
 BLOCK_BYTES = 2 << 20
