@@ -44,7 +44,7 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 _TO_SAMPLE = np.array([next(d for d in range(PERIOD) if (r + d) % PERIOD in COVER) for r in range(PERIOD)])
 ANCHORS = "shard int, group int, anchors binary, runs binary"
 FLAGS = "group int, shard int, flags binary"
-RUNS = "shard int, group int, ids binary, rows binary, starts binary, counts binary, offsets binary, anchors binary, data binary, covered boolean"
+RUNS = "shard int, group int, ids binary, rows binary, starts binary, counts binary, offsets binary, data binary, covered boolean"
 MARKS = "group int, rows binary, starts binary, counts binary"
 RESULT = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_bytes", "n_removed", "n_spans")], ("kept_sha256", pa.string())])
 
@@ -197,7 +197,7 @@ def _sender(shards: int):
             smallest[digest] = min(doc, smallest.get(digest, doc))
         covered = [e for e in entries if e[1] > smallest[e[0]]]
         sent = [e for e in entries if e[1] == smallest[e[0]]]
-        out = [(number % shards, number, *_packed(covered), True)] if covered else []
+        out = [(number % shards, number, *_packed(covered)[:-1], b"", True)] if covered else []
         shard = _shard(np.array([e[6] for e in sent], np.uint64), shards)
         order = np.argsort(shard, kind="stable")
         at = np.searchsorted(shard[order], np.arange(shards + 1))
@@ -209,9 +209,19 @@ def _sender(shards: int):
 
 
 def _packed(entries: list[tuple]) -> tuple[bytes, ...]:
-    _, ids, rows, starts, counts, offsets, anchors, data = zip(*entries, strict=True)
-    numbers = [np.array(c, t).tobytes() for c, t in ((ids, np.int64), (rows, np.uint32), (starts, np.uint32), (counts, np.uint32), (offsets, np.int16), (anchors, np.uint64))]
-    return *numbers, b"".join(data)
+    _, ids, *numbers, _, data = zip(*entries, strict=True)
+    return _planes(ids, np.int64), *[_planes(c, np.uint32) for c in numbers], b"".join(data)
+
+
+def _planes(values, kind: type) -> bytes:
+    """Numbers with their first bytes together, then their second ones: bytes that hardly vary compress well."""
+    array = np.array(values, kind)
+    return array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes()
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _words(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -317,28 +327,29 @@ def _sort_runs(rows: pa.Table) -> pa.Table:
     """Marks (row, first window, windows) of every group, from the runs that met in a shard."""
     out: list[tuple] = []
     digests: dict[tuple[int, bytes], int] = {}  # offset and bytes to the number of the piece
+    anchor_of: dict[bytes, int] = {}
     pieces, offsets, anchors, smallest = [], [], [], []
     entries = []  # group, id, row, start, count, piece
     for r in rows.to_pylist():
-        columns = [np.frombuffer(r[c], t).tolist() for c, t in (("ids", np.int64), ("rows", np.uint32), ("starts", np.uint32), ("counts", np.uint32), ("offsets", np.int16), ("anchors", np.uint64))]
+        columns = [_numbers(r[c], np.int64 if c == "ids" else np.uint32).tolist() for c in ("ids", "rows", "starts", "counts", "offsets")]
         if r["covered"]:
             out.append((r["group"], r["rows"], r["starts"], r["counts"]))
             continue
         at = 0
-        for doc, row, start, count, offset, anchor in zip(*columns, strict=True):
+        for doc, row, start, count, offset in zip(*columns, strict=True):
             data = r["data"][at : at + count + LENGTH - 1]
             at += len(data)
             piece = digests.setdefault((offset, data), len(pieces))
             if piece == len(pieces):
                 pieces.append(data)
                 offsets.append(offset)
-                anchors.append(anchor)
+                anchors.append(anchor_of.setdefault(data[offset : offset + GRAM], len(anchor_of)))
                 smallest.append(doc)
             elif doc < smallest[piece]:
                 smallest[piece] = doc
             entries.append((r["group"], doc, row, start, count, piece))
     marks: dict[int, list[tuple[int, int, int]]] = {}
-    parts = covered_windows(pieces, np.array(offsets, np.int64), np.array(anchors, np.uint64), np.array(smallest, np.int64)) if pieces else {}
+    parts = covered_windows(pieces, np.array(offsets, np.int64), np.array(anchors, np.int64), np.array(smallest, np.int64)) if pieces else {}
     for group, doc, row, start, count, piece in entries:
         if doc > smallest[piece]:
             marks.setdefault(group, []).append((row, start, count))
@@ -346,7 +357,7 @@ def _sort_runs(rows: pa.Table) -> pa.Table:
             for first, n in parts.get(piece, ()):
                 marks.setdefault(group, []).append((row, start + first, n))
     for group, found in marks.items():
-        out.append((group, *[np.array(c, np.uint32).tobytes() for c in zip(*found, strict=True)]))
+        out.append((group, *[_planes(c, np.uint32) for c in zip(*found, strict=True)]))
     return _table(out, MARKS)
 
 
@@ -358,7 +369,7 @@ def _remove(rows: pa.Table, marks: pa.Table) -> pa.Table:
     begins = np.append(0, np.cumsum(sizes))
     change = np.zeros(int(begins[-1]) + 1, np.int32)
     for r in marks.to_pylist():
-        row, start, count = (np.frombuffer(r[c], np.uint32).astype(np.int64) for c in ("rows", "starts", "counts"))
+        row, start, count = (_numbers(r[c], np.uint32).astype(np.int64) for c in ("rows", "starts", "counts"))
         np.add.at(change, begins[row] + start, 1)
         np.add.at(change, begins[row] + start + count + LENGTH - 1, -1)
     gone = np.cumsum(change)[:-1] > 0
