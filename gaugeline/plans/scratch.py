@@ -50,6 +50,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in `path`; none if it does not exist."""
+    fs, where = _path(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def running_query(spark: SparkSession) -> str | None:
+    """Id of the streaming query whose micro-batch runs in this thread. It is the checkpoint's: a restart keeps it, a
+    new checkpoint has another one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, where = _path(spark, path)
     fs.delete(where, True)

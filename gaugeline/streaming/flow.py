@@ -6,14 +6,15 @@ read the written rows and set their own watermarks.
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators.aggregates import hour_aggregate, minute_aggregate
 from gaugeline.operators.rolling import only_anomalies
-from gaugeline.operators.validate import decode_and_enrich
+from gaugeline.operators.validate import check_messages, decode_and_enrich
 from gaugeline.schemas import ALERT_TOPIC, HOUR_TOPIC, MINUTE_TOPIC, READING_TOPICS
 from gaugeline.sources.topics import as_messages, place_key, read_topics, write_console, write_topic
+from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
 
 MINUTE_WATERMARK = "2 minutes"
@@ -38,8 +39,6 @@ class FlowConfig:
 def session(app_name: str = "gaugeline") -> SparkSession:
     return (
         SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.streaming.metricsEnabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
@@ -48,13 +47,17 @@ def session(app_name: str = "gaugeline") -> SparkSession:
 
 def identified(enriched: DataFrame) -> DataFrame:
     """Decoded readings with the columns scoring needs: the event time, and an id that orders equal times."""
-    same = [c for c in enriched.columns if c not in ("timestamp", "metadata")]
-    content = F.xxhash64(*[c for c in same if c != "processing_time"])
-    return enriched.select(*same, F.col("sensor_timestamp").alias("ts"), content.alias("id"))
+    same = [c for c in enriched.columns if c not in ("metadata", "processing_time")]
+    return enriched.select("*", F.col("sensor_timestamp").alias("ts"), F.xxhash64(*same).alias("id"))
 
 
-def minute_stream(scored: DataFrame, **options) -> DataFrame:
-    return minute_aggregate(scored.withWatermark("ts", MINUTE_WATERMARK), **options)
+def arrival() -> Column:
+    """Order in which messages arrived: the broker's time, then the place in the topic."""
+    return F.struct("kafka_timestamp", "kafka_partition", "kafka_offset")
+
+
+def minute_stream(scored: DataFrame, sensor_ids: str = "list", **options) -> DataFrame:
+    return minute_aggregate(scored.withWatermark("ts", MINUTE_WATERMARK), sensor_ids=sensor_ids, **options)
 
 
 def hour_stream(scored: DataFrame, **options) -> DataFrame:
@@ -62,8 +65,11 @@ def hour_stream(scored: DataFrame, **options) -> DataFrame:
 
 
 def start_flow(spark: SparkSession, config: FlowConfig) -> list[StreamingQuery]:
-    """Start scoring, alerts, minute and hour aggregates, and the console. With available_now the scoring is finished
-    before the other queries start."""
+    """Start scoring, registry, quarantine, alerts, minute and hour aggregates, and the console. With available_now
+    the scoring is finished before the queries that read its rows start.
+
+    Messages that fail the checks go to {folder}/quarantine with the reason, wherever scoring puts them.
+    """
     messages = read_topics(spark, config.source_format, config.topics, config.source_options)
     readings = identified(decode_and_enrich(messages))
     scorer = RollingScorer(config.folder)
@@ -71,6 +77,15 @@ def start_flow(spark: SparkSession, config: FlowConfig) -> list[StreamingQuery]:
     if config.available_now:
         scoring.awaitTermination()
 
+    keeper = RegistryKeeper(f"{config.folder}/registry", arrival="arrived")
+    arrived = readings.filter("sensor_id IS NOT NULL").withColumn("arrived", arrival())
+    registry = start_scoring(arrived, keeper, config.checkpoint, "sensor_registry", available_now=config.available_now)
+    rejected = check_messages(messages.select("topic", "partition", "offset", "timestamp", "value")).quarantine
+    quarantine = write_topic(
+        rejected, "quarantined_messages", config.checkpoint, fmt="parquet", available_now=config.available_now,
+        options={"path": f"{config.folder}/quarantine"},
+    )
+
     def scored() -> DataFrame:
         return scorer.read(spark, stream=True, reading=readings.schema)
 
@@ -83,6 +98,8 @@ def start_flow(spark: SparkSession, config: FlowConfig) -> list[StreamingQuery]:
 
     queries = [
         scoring,
+        registry,
+        quarantine,
         sink(only_anomalies(scored()), "sensor_id", ALERT_TOPIC, "anomaly_alerts"),
         sink(minute_stream(scored()), place_key(), MINUTE_TOPIC, "minute_aggregations"),
         sink(hour_stream(scored()), place_key(), HOUR_TOPIC, "hour_aggregations"),

@@ -13,21 +13,23 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators.rolling import ORDER, PRECEDING, flag_anomalies, rolling_zscore
 from gaugeline.plans.chunks import ROWS_PER_CHUNK
-from gaugeline.plans.scratch import path_exists, publish, remove_path
+from gaugeline.plans.scratch import path_exists, publish, remove_path, running_query
 from gaugeline.sources.topics import start
 
 SALTS = 32
 KEPT_EPOCHS = 3
-EPOCH = "epoch"
+RUN, EPOCH, REASON = "run", "epoch", "reject_reason"
 
 
 class RollingScorer:
     """Micro-batch function: scores what the watermark has passed and keeps the rest.
 
-    The watermark is the highest event time seen, less `delay`. Rows at or behind it on arrival are late and dropped,
-    rows up to it are released in (time, id) order. Scored rows go to {path}/scored/epoch=N and the state behind them
-    to {path}/state/epoch=N. Both appear by rename, and a repeated epoch reads the state before it, so a restart
-    repeats nothing.
+    The watermark is the highest event time seen, less `delay`. Rows at or behind it on arrival are late, rows up to
+    it are released in (time, id) order. Scored rows go to {path}/scored/run=R/epoch=N, the state behind them to
+    {path}/state/run=R/epoch=N, and late rows and rows without an event time, with the reason, to
+    {path}/rejected/run=R/epoch=N. All appear by rename, and a repeated epoch reads the state before it, so a restart
+    repeats nothing. R is the id of the query, which belongs to its checkpoint: epochs of another checkpoint
+    start cold in folders of their own and never meet those of this one.
     """
 
     def __init__(
@@ -41,17 +43,20 @@ class RollingScorer:
     ):
         self.path, self.keys, self.order, self.preceding = path, list(keys), list(order), preceding
         self.delay, self.rows_per_chunk = delay, rows_per_chunk
-        self.late_rows = 0
+        self.run: str | None = None
 
-    def _state_path(self, epoch: int) -> str:
-        return f"{self.path}/state/{EPOCH}={epoch}"
+    def _place(self, kind: str, epoch: int) -> str:
+        return f"{self.path}/{kind}/{RUN}={self.run}/{EPOCH}={epoch}"
+
+    def _publish(self, rows: DataFrame, kind: str, epoch: int) -> None:
+        publish(rows, self._place(kind, epoch), f"{self.path}/staging/{kind}-{self.run}-{epoch}")
 
     def _last_state(self, spark: SparkSession, epoch: int) -> DataFrame | None:
         for e in range(epoch - 1, max(epoch - 1 - KEPT_EPOCHS, -1), -1):
-            if path_exists(spark, self._state_path(e)):
-                return spark.read.parquet(self._state_path(e))
+            if path_exists(spark, self._place("state", e)):
+                return spark.read.parquet(self._place("state", e))
         if epoch > 0:
-            raise RuntimeError(f"no state before epoch {epoch} in {self.path}")
+            raise RuntimeError(f"no state before epoch {epoch} of run {self.run} in {self.path}")
         return None
 
     def _newest(self, rows: DataFrame) -> DataFrame:
@@ -65,26 +70,26 @@ class RollingScorer:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        if path_exists(spark, self._state_path(epoch)):
+        self.run = running_query(spark) or self.run or "direct"
+        if path_exists(spark, self._place("state", epoch)):
             return
         time = F.col(self.order[0])
         state = self._last_state(spark, epoch)
-        batch = batch.filter(time.isNotNull()).persist()
+        batch = batch.persist()
         try:
             passed = None if state is None else state.agg(F.max("_watermark")).first()[0]
             on_time = F.lit(True) if passed is None else time > F.lit(passed)
-            newest, late = batch.agg(
-                F.max(time) - F.expr(f"INTERVAL {self.delay}"), F.count_if(~on_time)
-            ).first()
-            self.late_rows += late
+            newest = batch.agg(F.max(time) - F.expr(f"INTERVAL {self.delay}")).first()[0]
+            reason = F.when(time.isNull(), "no event time").when(~on_time, "late")
+            self._publish(batch.withColumn(REASON, reason).filter(F.col(REASON).isNotNull()), "rejected", epoch)
             watermark = max((w for w in (passed, newest) if w is not None), default=None)
-            pool = batch.filter(on_time).withColumn("_released", F.lit(False))
+            pool = batch.filter(time.isNotNull() & on_time).withColumn("_released", F.lit(False))
             if state is not None:
                 pool = state.drop("_watermark").filter("_released IS NOT NULL").unionByName(pool)
             ready = pool.filter(time <= F.lit(watermark).cast("timestamp"))
             scored = rolling_zscore(ready, self.keys, self.order, self.preceding, self.rows_per_chunk)
             fresh = flag_anomalies(scored.filter("NOT _released").drop("_released"))
-            publish(fresh, f"{self.path}/scored/{EPOCH}={epoch}", f"{self.path}/staging/scored-{epoch}")
+            self._publish(fresh, "scored", epoch)
 
             history = self._newest(ready).withColumn("_released", F.lit(True))
             waiting = pool.filter(time > F.lit(watermark).cast("timestamp"))
@@ -94,17 +99,21 @@ class RollingScorer:
             )
             kept = history.unionByName(waiting).unionByName(marker)
             kept = kept.withColumn("_watermark", F.lit(watermark).cast("timestamp"))
-            publish(kept, self._state_path(epoch), f"{self.path}/staging/state-{epoch}")
-            remove_path(spark, self._state_path(epoch - KEPT_EPOCHS))
+            self._publish(kept, "state", epoch)
+            remove_path(spark, self._place("state", epoch - KEPT_EPOCHS))
         finally:
             batch.unpersist()
 
     def read(self, spark: SparkSession, stream: bool = False, reading: T.StructType | None = None) -> DataFrame:
         """Scored rows so far, or as a stream for the next stage (which needs the schema of the readings)."""
         if not stream:
-            return spark.read.parquet(f"{self.path}/scored").drop(EPOCH)
-        schema = T.StructType([*reading.fields, *SCORE_FIELDS, T.StructField(EPOCH, T.IntegerType())])
-        return spark.readStream.schema(schema).parquet(f"{self.path}/scored").drop(EPOCH)
+            return spark.read.parquet(f"{self.path}/scored").drop(RUN, EPOCH)
+        fields = [*reading.fields, *SCORE_FIELDS, T.StructField(RUN, T.StringType()), T.StructField(EPOCH, T.IntegerType())]
+        return spark.readStream.schema(T.StructType(fields)).parquet(f"{self.path}/scored").drop(RUN, EPOCH)
+
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """Rows that were not scored, with the reason: late, or no event time."""
+        return spark.read.parquet(f"{self.path}/rejected").drop(RUN, EPOCH)
 
 
 SCORE_FIELDS = [

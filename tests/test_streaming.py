@@ -1,6 +1,7 @@
 import json
 import os
 import time
+from collections import Counter
 from datetime import timedelta
 
 import pytest
@@ -56,7 +57,7 @@ def test_late_rows_are_dropped_and_near_ones_put_in_order(spark, folder):
     # The watermark is now at minute 26.
     add_file(spark, f"{folder}/in", [reading(100, 5.0, minute=27), reading(101, 5.0, minute=3), reading(102, 1.0, minute=60)])
     scorer = run_scoring(spark, folder)
-    assert scorer.late_rows == 1
+    assert [r["reject_reason"] for r in scorer.rejected(spark).collect()] == ["late"]
     kept = early + [reading(100, 5.0, minute=27)]
     same_rows(detect_anomalies(instants(frame(spark, kept))), scorer.read(spark))
 
@@ -73,6 +74,23 @@ def test_restart_goes_on_warm_and_a_repeated_batch_changes_nothing(spark, folder
     same_rows(expected, scorer.read(spark))
 
 
+def test_a_new_checkpoint_loses_nothing(spark, folder):
+    rows = in_time_order(120)
+    add_file(spark, f"{folder}/in", rows[:70])
+    run_scoring(spark, folder, delay="0 seconds")
+    add_file(spark, f"{folder}/more", [*rows[70:], (*reading(500, 1.0)[:4], None, 1.0, "C", "NORMAL")])
+    scorer = RollingScorer(f"{folder}/flow", delay="0 seconds")
+    start_scoring(stream(spark, f"{folder}/more"), scorer, f"{folder}/checkpoint2", available_now=True).awaitTermination()
+    assert scorer.read(spark).count() == 120
+    assert [r["reject_reason"] for r in scorer.rejected(spark).collect()] == ["no event time"]
+
+
+def test_a_registry_without_its_past_is_an_error(spark, folder):
+    keeper = RegistryKeeper(f"{folder}/registry")
+    with pytest.raises(RuntimeError, match="no registry before epoch 7"):
+        keeper(instants(frame(spark, in_time_order(5))), 7)
+
+
 def test_aggregates_append_closed_windows_once(spark, folder):
     rows = in_time_order(400)
     for part in (rows[:200], rows[200:]):
@@ -115,7 +133,7 @@ def test_registry_stream_counts_on(spark, folder):
         add_file(spark, f"{folder}/in", part)
     keeper = RegistryKeeper(f"{folder}/registry")
     start_scoring(stream(spark, f"{folder}/in"), keeper, f"{folder}/checkpoint", "registry", available_now=True).awaitTermination()
-    same_rows(sensor_registry(instants(frame(spark, rows))), keeper.latest(spark, 1))
+    same_rows(sensor_registry(instants(frame(spark, rows))), keeper.latest(spark))
 
 
 def messages(spark, rows):
@@ -134,8 +152,9 @@ def messages(spark, rows):
 def test_whole_flow_on_files(spark, folder):
     rows = [r for r in in_time_order(400) if r[5] is not None]
     rows[50] = (*rows[50][:5], 500.0, "C", "HIGH_ALARM")
-    for part in (rows[:200], rows[200:]):
-        messages(spark, part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    broken = messages(spark, rows[:1]).withColumn("value", F.lit("{broken").cast("binary"))
+    for part in (messages(spark, rows[:200]).union(broken), messages(spark, rows[200:])):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
         time.sleep(0.02)
     for topic in ("alerts.anomalies", "aggregations.minute", "aggregations.hour"):
         os.makedirs(f"{folder}/out/{topic}")
@@ -144,7 +163,8 @@ def test_whole_flow_on_files(spark, folder):
         "json", {"path": f"{folder}/out/{{topic}}"}, available_now=True, console=False,
     )
     queries = start_flow(spark, config)
-    assert [q.name for q in queries] == ["readings_scored", "anomaly_alerts", "minute_aggregations", "hour_aggregations"]
+    names = ["readings_scored", "sensor_registry", "quarantined_messages", "anomaly_alerts", "minute_aggregations", "hour_aggregations"]
+    assert [q.name for q in queries] == names
     for q in queries:
         q.awaitTermination()
     batch = detect_anomalies(instants(frame(spark, rows)))
@@ -153,7 +173,14 @@ def test_whole_flow_on_files(spark, folder):
     alerts = spark.read.json(f"{folder}/out/alerts.anomalies").collect()
     assert len(alerts) == released.filter("is_anomaly").count() > 0
     assert {a["key"] for a in alerts} == {r["sensor_id"] for r in released.filter("is_anomaly").collect()}
-    assert json.loads(alerts[0]["value"])["is_anomaly"] is True
+    whole = json.loads(alerts[0]["value"])
+    assert whole["is_anomaly"] is True and whole["timestamp"] and "kafka_offset" in whole
+    reasons = Counter(r["reject_reason"] for r in spark.read.parquet(f"{folder}/flow/quarantine").collect())
+    assert reasons == {"malformed": 1, "missing location": sum(r[3] is None for r in rows)}
+    runs = os.listdir(f"{folder}/flow/registry")
+    registry = spark.read.parquet(f"{folder}/flow/registry/{runs[0]}/epoch=1")
+    want = Counter(r[1] for r in rows)
+    assert len(runs) == 1 and {r["sensor_id"]: r["total_readings"] for r in registry.collect()} == want
     minutes = spark.read.json(f"{folder}/out/aggregations.minute").collect()
     assert minutes and all("|" in m["key"] or m["key"] == "temperature" for m in minutes)
     assert spark.read.json(f"{folder}/out/aggregations.hour").count() > 0
