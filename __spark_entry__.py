@@ -86,7 +86,22 @@ def _counted_ids() -> Column:
 
 
 def minute_agg(spark, folder):
-    return _minute(aggregates.minute_aggregate(_scored(spark, folder)), _counted_ids())
+    return _minute(aggregates.minute_aggregate(_scored(spark, folder), sensor_ids="counts"), _counted_ids())
+
+
+def minute_agg_numbers(spark, folder):
+    """The same without the sensors: one shuffle."""
+    return _minute(aggregates.minute_aggregate(_scored(spark, folder)), None)
+
+
+def window_sensors(spark, folder):
+    """Sensors of each minute, a row each."""
+    return aggregates.window_sensors(_readings(spark, folder))
+
+
+def minute_agg_id_list_minutes(spark, folder):
+    df = aggregates.minute_aggregate(_scored(spark, folder), sensor_ids="list")
+    return _minute(df, F.array_join("sensor_ids", ","))
 
 
 def minute_agg_id_list(spark, folder):
@@ -256,7 +271,7 @@ def registry_filtered(spark, folder):
 
 
 def latest_points(spark, folder):
-    """Points at minute resolution, where later arrivals replace earlier ones."""
+    """Points at hour resolution, where later arrivals replace earlier ones."""
     df = _readings(spark, folder).withColumn("ts", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
     return registry.latest_points(df)
 
@@ -408,7 +423,7 @@ def stream_scored(spark, folder):
 
 def stream_minute_agg(spark, folder):
     _, scored = _stream_scored(spark, folder)
-    df = _minute(_run(minute_stream(scored), spark), _counted_ids())
+    df = _minute(_run(minute_stream(scored, "counts"), spark), _counted_ids())
     return _ntz(df, "window_start", "window_end")
 
 
@@ -423,7 +438,7 @@ def stream_registry(spark, folder):
     path = scratch_path(spark, "registry")
     keeper = RegistryKeeper(f"{path}/snapshots")
     start_scoring(stream, keeper, f"{path}/checkpoint", "registry", available_now=True).awaitTermination()
-    return _ntz(keeper.latest(spark, 0), "last_seen")
+    return _ntz(keeper.latest(spark), "last_seen")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -435,7 +450,10 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     rolling_zscore_chunked,
     anomalies,
     minute_agg,
+    minute_agg_numbers,
+    window_sensors,
     minute_agg_id_list,
+    minute_agg_id_list_minutes,
     hour_agg,
     window_mean,
     window_mean_filtered,

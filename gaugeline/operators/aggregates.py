@@ -23,18 +23,29 @@ def _flat(windowed: DataFrame) -> DataFrame:
 
 
 def minute_aggregate(
-    df: DataFrame, time: str = "ts", length: str = "1 minute", sensor_ids: str = "counts"
+    df: DataFrame, time: str = "ts", length: str = "1 minute", sensor_ids: str = "none"
 ) -> DataFrame:
-    """Count, mean, extremes, sample deviation, anomalies and sensors per window, type and location.
+    """Count, mean, extremes, sample deviation and anomalies per window, type and location: one mergeable aggregate.
 
-    Rows are first reduced to one per sensor and window, so a window that holds most of the data never gathers its
-    rows in one task. sensor_ids "counts" gives an array of (sensor_id, n), which is all the information of the list
-    at the size of the number of sensors; "list" repeats every id n times; "none" leaves it out. Works on a stream
-    that carries a watermark on `time`.
+    The sensors of a window are rows of `window_sensors`. On request they become one column: sensor_ids "counts"
+    gives an array of (sensor_id, n), "list" repeats every id n times (null ids are left out). Then rows are first reduced
+    to one per sensor and window, and the row of a window grows with its sensors. Works on a stream that carries a
+    watermark on `time`.
     """
     if sensor_ids not in ("counts", "list", "none"):
         raise ValueError(f"unknown form of sensor ids {sensor_ids!r}")
     value = F.col("value")
+    if sensor_ids == "none":
+        return _flat(
+            df.groupBy(F.window(time, length), *PLACE).agg(
+                F.count("*").alias("reading_count"),
+                F.avg(value).alias("avg_value"),
+                F.min(value).alias("min_value"),
+                F.max(value).alias("max_value"),
+                anomaly_count().alias("anomaly_count"),
+                F.stddev_samp(value).alias("stddev_value"),
+            )
+        )
     per_sensor = df.groupBy(F.window(time, length), *PLACE, "sensor_id").agg(
         F.count("*").alias("n"),
         F.count(value).alias("n_value"),
@@ -60,17 +71,24 @@ def minute_aggregate(
         F.lit(0.0),
         lambda acc, p: acc + p["squares"] + p["n_value"] * F.pow(p["mean"] - F.col("avg_value"), F.lit(2)),
     )
-    ids = F.array_sort(F.transform("_parts", lambda p: F.struct(p["sensor_id"], p["n"])))
+    named = F.filter("_parts", lambda p: p["sensor_id"].isNotNull())
+    ids = F.array_sort(F.transform(named, lambda p: F.struct(p["sensor_id"], p["n"])))
     merged = by_place.withColumn("stddev_value", F.when(F.col("_n") > 1, F.sqrt(squares / (F.col("_n") - 1))))
     if sensor_ids == "counts":
         merged = merged.withColumn("sensor_ids", ids)
-    elif sensor_ids == "list":
+    else:
         merged = merged.withColumn(
             "sensor_ids", F.flatten(F.transform(ids, lambda p: F.array_repeat(p["sensor_id"], p["n"].cast("int"))))
         )
     return _flat(merged.drop("_n", "_parts"))
 
 
+def window_sensors(df: DataFrame, time: str = "ts", length: str = "1 minute") -> DataFrame:
+    """Sensors of every window, type and location with their number of readings, a row each."""
+    counted = df.groupBy(F.window(time, length), *PLACE, "sensor_id").agg(F.count("*").alias("n"))
+    return _flat(counted)
+
+
 def hour_aggregate(df: DataFrame, time: str = "ts", length: str = "1 hour") -> DataFrame:
     """Count, mean, extremes and anomalies per window, type and location. Works on a watermarked stream."""
     return _flat(

@@ -26,21 +26,8 @@ THRESHOLDS = (
     ("humidity", 30.0, 70.0, "%", 90.0),
 )
 
-# Sensor id prefix per type, and the known locations.
+# Sensor id prefix per type.
 ID_PREFIXES = {"temperature": "TEMP", "vibration": "VIB", "pressure": "PRES", "humidity": "HUM"}
-SENSOR_LOCATIONS = (
-    "Building-A-Floor-1",
-    "Building-A-Floor-2",
-    "Building-A-Floor-3",
-    "Building-B-Floor-1",
-    "Building-B-Floor-2",
-    "Warehouse-Zone-1",
-    "Warehouse-Zone-2",
-    "Warehouse-Zone-3",
-    "Production-Line-1",
-    "Production-Line-2",
-    "Production-Line-3",
-)
 
 
 def catalogue(spark: SparkSession) -> DataFrame:

@@ -41,30 +41,40 @@ def average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
+def binomial_bounds(trials: int, p: float) -> list[float]:
+    """Chances of at most 0, 1, ... trials - 1 successes."""
+    total, bounds = 0.0, []
+    for k in range(trials):
+        total += math.comb(trials, k) * p**k * (1 - p) ** (trials - k)
+        bounds.append(min(1.0, total))
+    return bounds
+
+
 def sample_rows(
     scaled: DataFrame, sizes: dict[str, int], key: str = "id", trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
 ) -> DataFrame:
     """`sample` rows per type and tree, drawn without replacement by hash: the same rows however `scaled` is
-    partitioned. A first hash keeps a pool of a bounded size, so most rows cost one hash; each tree then draws from
-    the pool."""
-    pool_size = 4 * trees * sample
-    scale = 1 << 40
-    limits = {t: scale if n <= pool_size else int(scale * pool_size / n) for t, n in sizes.items()}
-    chances = {t: min(1.0, 2 * sample / min(n, pool_size)) for t, n in sizes.items()}
-
-    def per_type(values: dict):
-        return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("sensor_type"))
-
-    pool = scaled.filter(
-        F.pmod(F.xxhash64(F.lit(seed), key), F.lit(scale)) < per_type(limits).cast("bigint")
-    )
+    partitioned, and from all of them at any size. Each tree takes a row with the same chance, enough for twice its
+    sample. One hash tells how many trees take the row, by the binomial distribution of that number, so most rows of a
+    large table cost one hash; only for the others are the trees drawn."""
+    scale = 1 << 52
+    bounds = {t: binomial_bounds(trees, min(1.0, 2 * sample / n)) for t, n in sizes.items() if n}
+
+    def hashed(salt: int, *columns):
+        return F.pmod(F.xxhash64(F.lit(seed + salt), *columns), F.lit(scale))
+
+    lists = [x for t, values in bounds.items() for x in (F.lit(t), F.array(*[F.lit(v) for v in values]))]
+    of_type = F.element_at(F.create_map(*lists), F.col("sensor_type")) if lists else F.array(F.lit(1.0))
+    share = hashed(0, key) / F.lit(float(scale))
+    taken = scaled.filter(share >= F.get(of_type, F.lit(0)))
+    count = F.size(F.filter(of_type, lambda bound: bound <= share))
+    by_hash = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(hashed(1, t, key).alias("h"), t.alias("tree"))))
+    hits = F.transform(F.slice(by_hash, F.lit(1), count), lambda x: x["tree"])
+    pool = spread_work(taken, int(sum(n * (1 - bounds[t][0]) for t, n in sizes.items() if n)))
 
     def drawn(tree):
-        return F.pmod(F.xxhash64(F.lit(seed + 1), tree, F.col(key)), F.lit(scale))
+        return hashed(2, tree, F.col(key))
 
-    cut = (per_type(chances) * scale).cast("bigint")
-    hits = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < cut)
-    pool = spread_work(pool, sum(min(n, pool_size) for n in sizes.values()))
     # Ranking and growing share one shuffle. It is split by number: the rows are few, but the work on them is not, and
     # adaptive execution would merge them by size.
     tasks = min(MAX_GROW_TASKS, 2 * scaled.sparkSession.sparkContext.defaultParallelism)

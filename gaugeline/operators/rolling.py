@@ -62,20 +62,23 @@ def only_anomalies(flagged: DataFrame) -> DataFrame:
 
 
 CALENDAR_FEATURES = ("hour", "day_of_week", "month")
-ROLLING_FEATURES = ("rolling_mean_5", "rolling_std_5", "rolling_mean_20", "rolling_std_20", "value_diff")
-DERIVED_FEATURES = (
+# The model features.
+FEATURES = (
+    "value",
+    "hour",
+    "day_of_week",
+    "month",
+    "rolling_mean_5",
+    "rolling_std_5",
+    "rolling_mean_20",
+    "rolling_std_20",
+    "value_diff",
     "value_diff_abs",
     "deviation_from_mean_5",
     "deviation_from_mean_20",
     "z_score_5",
     "z_score_20",
 )
-FEATURES = (
-    "value",
-    *CALENDAR_FEATURES,
-    *ROLLING_FEATURES,
-    *DERIVED_FEATURES,
-)
 
 
 def raw_features(

@@ -13,12 +13,18 @@ REQUIRED_IN_TABLE = ("sensor_id", "sensor_type", "value", "unit", "timestamp")
 
 def decode_messages(envelope: DataFrame) -> DataFrame:
     """Topic, arrival time and the fields of the JSON value. A malformed message gives a row of nulls."""
-    message = F.from_json(F.col("value").cast("string"), READING_SCHEMA).alias("data")
-    return envelope.select("topic", F.col("timestamp").alias("kafka_timestamp"), message).select(
-        "topic", "kafka_timestamp", "data.*"
+    message = _once(F.from_json(F.col("value").cast("string"), READING_SCHEMA)).alias("data")
+    place = [F.col(c).alias(f"kafka_{c}") for c in ("partition", "offset") if c in envelope.columns]
+    return envelope.select("topic", F.col("timestamp").alias("kafka_timestamp"), *place, message).select(
+        "topic", "kafka_timestamp", *[f"kafka_{c}" for c in ("partition", "offset") if c in envelope.columns], "data.*"
     )
 
 
+def _once(parsed: Column) -> Column:
+    """A generator of the one value: columns taken from it later refer to it, where a plain expression is copied."""
+    return F.explode(F.array(parsed))
+
+
 def enrich(decoded: DataFrame) -> DataFrame:
     """Processing time, parsed event time, and its hour and day of the year."""
     return decoded.withColumns(
@@ -42,10 +48,23 @@ def _reason(required: tuple[str, ...]) -> Column:
         F.when(F.coalesce(*[raw[c] for c in READING_SCHEMA.fieldNames() if c != "metadata"]).isNull(), "malformed"),
         *missing,
         F.when(F.col("_value").isNull(), "value is not a number"),
+        F.when(F.abs("_value") == float("inf"), "value is not finite"),
         F.when(F.col("_time").isNull(), "timestamp is not a time"),
     )
 
 
+def judge_messages(messages: DataFrame, column: str = "value", required: tuple[str, ...] = REQUIRED) -> DataFrame:
+    """Messages with their parsed text `raw`, typed `_value` and `_time`, and the first reason to reject them, or null.
+
+    Every message is parsed once. Write this table once to take both outputs of `check_messages` from one pass.
+    """
+    raw = _once(F.from_json(F.col(column).cast("string"), RAW_READING_SCHEMA))
+    typed = messages.select("*", raw.alias("raw")).withColumns(
+        {"_value": F.col("raw.value").try_cast("double"), "_time": F.try_to_timestamp("raw.timestamp")}
+    )
+    return typed.withColumn("reject_reason", _reason(required))
+
+
 def check_messages(
     messages: DataFrame, column: str = "value", required: tuple[str, ...] = REQUIRED
 ) -> Checked:
@@ -54,11 +73,7 @@ def check_messages(
     Numbers and times may come as text. REQUIRED_IN_TABLE makes location and status optional. Metadata defaults to an
     empty map.
     """
-    raw = F.from_json(F.col(column).cast("string"), RAW_READING_SCHEMA)
-    typed = messages.withColumn("raw", raw).withColumns(
-        {"_value": F.col("raw.value").try_cast("double"), "_time": F.try_to_timestamp("raw.timestamp")}
-    )
-    judged = typed.withColumn("reject_reason", _reason(required))
+    judged = judge_messages(messages, column, required)
     rest = [c for c in messages.columns if c != column]
     good = judged.filter(F.col("reject_reason").isNull()).select(
         *rest,

@@ -169,6 +169,10 @@ ORACLES = {
     "rolling_zscore_chunked": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored",
     "anomalies": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored WHERE is_anomaly",
     "minute_agg": f"WITH {SCORED} {_minute('scored', '1 minute', COUNTED)}",
+    "minute_agg_numbers": f"""WITH {SCORED} SELECT * EXCLUDE (sensor_ids) FROM ({_minute('scored', '1 minute', COUNTED)})""",
+    "window_sensors": f"""WITH {READINGS} SELECT w AS window_start, w + INTERVAL 1 MINUTE AS window_end, sensor_type, location,
+          sensor_id, count(*) AS n FROM (SELECT *, date_trunc('minute', ts) AS w FROM readings) GROUP BY ALL""",
+    "minute_agg_id_list_minutes": f"WITH {SCORED} {_minute('scored', '1 minute', LISTED)}",
     "minute_agg_id_list": f"WITH {SCORED} {_minute('scored', '6 hours', LISTED)}",
     "hour_agg": f"WITH {SCORED} {_hour('scored')}",
     "window_mean": _means("1h", *_bucket("1 hour"), SERIES),

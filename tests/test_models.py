@@ -7,7 +7,7 @@ import pytest
 from helpers import brute_dbscan, frame, reading
 from pyspark.sql import functions as F
 
-from gaugeline.operators import dbscan, forest
+from gaugeline.operators import dbscan, forest, quantile
 from gaugeline.operators.quantile import exact_quantile, quantile_table
 from gaugeline.operators.rolling import FEATURES
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
@@ -99,6 +99,35 @@ def test_exact_quantile(spark, q):
     assert quantile_table(df, "g", "v", q, approximate=True).count() == 2
 
 
+def test_quantile_of_extreme_and_many_values(spark, monkeypatch):
+    inf = float("inf")
+    rows = [("a", v) for v in [-inf] * 3 + [float(i) for i in range(15)] + [inf] * 3] + [(None, 4.0), (None, 6.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    assert exact_quantile(df, "g", "v", 0.5) == {"a": 7.0, None: 5.0}
+    assert exact_quantile(df, "g", "v", 1.0)["a"] == inf
+    monkeypatch.setattr(quantile, "FEW_VALUES", 10)
+    monkeypatch.setattr(quantile, "ACCURACY", 50)
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(0, 1, 4000), [1e300, -1e300], np.full(500, 0.25)])
+    df = spark.createDataFrame([("x", float(v)) for v in values], "g string, v double").repartition(4)
+    for q in (0.0, 0.1, 0.55, 0.9999, 1.0):
+        assert exact_quantile(df, "g", "v", q)["x"] == pytest.approx(np.quantile(values, q), rel=1e-12)
+    monkeypatch.setattr(quantile, "MAX_GROUPS", 0)
+    with pytest.raises(ValueError, match="groups"):
+        exact_quantile(df, "g", "v", 0.5)
+
+
+def test_trees_draw_from_all_rows(spark):
+    df = spark.range(30_000).select("id", F.lit("t").alias("sensor_type"), F.rand(1).alias("x"))
+    drawn = forest.sample_rows(df, {"t": 30_000}, trees=20, sample=64)
+    per_tree = {r["tree"]: r["count"] for r in drawn.groupBy("tree").count().collect()}
+    assert len(per_tree) == 20 and all(n == 64 for n in per_tree.values())
+    again = forest.sample_rows(df.repartition(7), {"t": 30_000}, trees=20, sample=64)
+    assert sorted(drawn.select("tree", "id").collect()) == sorted(again.select("tree", "id").collect())
+    ids = [r["id"] for r in drawn.collect()]
+    assert len(set(ids)) > 1100 and abs(np.mean(ids) - 15_000) < 1_500
+
+
 def minute_frame(n=1000, outliers_at=50, offset=15.0):
     """One temperature sensor, a reading per minute, some of them far off."""
     rng = np.random.default_rng(42)

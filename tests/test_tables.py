@@ -34,7 +34,7 @@ def test_minute_aggregate_row(spark):
         reading(4, 9.0, "a", minute=1),
     ]
     df = detect_anomalies(frame(spark, rows))
-    first, second = minute_aggregate(df).orderBy("window_start").collect()
+    first, second = minute_aggregate(df, sensor_ids="counts").orderBy("window_start").collect()
     assert (first["reading_count"], first["avg_value"], first["min_value"], first["max_value"]) == (4, 3.0, 1.0, 5.0)
     assert first["stddev_value"] == pytest.approx(2.0) and first["anomaly_count"] == 1
     assert [tuple(p) for p in first["sensor_ids"]] == [("a", 2), ("b", 1), ("c", 1)]
