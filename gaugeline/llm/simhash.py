@@ -117,11 +117,13 @@ def components(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     found = linked.join(ids, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
     every = fps.join(found, F.col("fp") == F.col("_fp"), "left")
     single = F.col("root").isNull()
-    return every.select(
+    labels = every.select(
         F.col("fp").alias("fingerprint"),
         F.coalesce("root", "fp").alias("root"),
         F.when(single, F.col("first_id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+    # Read from a table, so that in the join with all rows both sides are plain shuffles and a frequent fingerprint can be split.
+    return materialize(labels, "simhash-components")
 
 
 def simhash_rows(docs: DataFrame, text: str = "text") -> DataFrame:
