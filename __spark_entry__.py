@@ -16,13 +16,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeline.operators import aggregates, alerts, changes, dbscan, fill, queries as reads, registry, rolling, validate
-from gaugeline.operators.filters import in_time_range
 from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
 from gaugeline.plans.scratch import materialize, scratch_path
 from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events
-from gaugeline.sources.topics import JSON_TIMES, route_readings
+from gaugeline.sources.tables import read_points, write_points
+from gaugeline.sources.topics import route_readings
 from gaugeline.streaming.flow import hour_stream, minute_stream
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
@@ -276,6 +276,25 @@ def latest_points(spark, folder):
     return registry.latest_points(df)
 
 
+def _stored_points(spark: SparkSession, folder: str, start: datetime, stop: datetime) -> DataFrame:
+    """Points written in two calls, read back for a time range."""
+    readings = _readings(spark, folder)
+    path = scratch_path(spark, "points")
+    for part in (0, 1):
+        write_points(readings.filter(F.col("id") % 2 == part), path)
+    return read_points(spark, path, start, stop)
+
+
+def points_history(spark, folder):
+    points = _stored_points(spark, folder, datetime(2024, 1, 1), NOW)
+    return reads.sensor_history(points, "click_3", NOW, datetime(2024, 1, 1), NOW, limit=10, ties=())
+
+
+def points_window_mean(spark, folder):
+    df = aggregates.window_mean(_stored_points(spark, folder, START, STOP), START, STOP, "1h")
+    return df.withColumn("mean_value", F.round("mean_value", 8))
+
+
 def _changes(df: DataFrame) -> DataFrame:
     """Changes derived from the table: updates, deletes after updates, inserts, and changes of unknown ids."""
     i = F.col("id")
@@ -479,6 +498,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     sensor_registry,
     registry_filtered,
     latest_points,
+    points_history,
+    points_window_mean,
     apply_changes,
     changes_not_found,
     changes_updated,

@@ -52,10 +52,11 @@ def sensor_history(
     stop: datetime | None = None,
     limit: int = 1000,
     time: str = "ts",
+    ties: Sequence[str] = ("id",),
 ) -> DataFrame:
-    """Rows of one sensor in [start, stop), the oldest `limit` of each of its series."""
+    """Rows of one sensor in [start, stop), the oldest `limit` of each of its series. Points have no `ties`."""
     chosen = in_time_range(df, *default_range(now, start, stop), time).filter(F.col("sensor_id") == sensor_id)
-    rows = series_limit(chosen, limit, order=(time, "id"))
+    rows = series_limit(chosen, limit, order=(time, *ties))
     return rows.select(F.col(time).alias("timestamp"), "sensor_id", "value", "sensor_type", "location")
 
 

@@ -164,6 +164,11 @@ scaled AS (
 
 DISTANCE = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in DENSITY)
 
+POINTS = f"""{READINGS},
+points AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {SERIES}, ts ORDER BY id % 2 DESC, id DESC) AS r FROM readings)
+  WHERE r = 1)"""
+
 ORACLES = {
     "rolling_zscore": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored",
     "rolling_zscore_chunked": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored",
@@ -268,4 +273,13 @@ ORACLES = {
     "stream_hour_agg": f"WITH {RELEASED} "
     + _hour("released", f"HAVING w + INTERVAL 1 HOUR <= {SEEN} - INTERVAL 1 HOUR"),
     "stream_registry": f"WITH {REGISTRY} SELECT * FROM registry",
+    "forest_training": """SELECT event_type || '_isolation' AS model_key, count(*) AS "rows",
+          CAST(0.1 AS DOUBLE) AS anomaly_ratio FROM events GROUP BY event_type""",
+    "points_history": f"""WITH {POINTS}
+        SELECT ts AS "timestamp", sensor_id, value, sensor_type, location FROM (
+          SELECT * EXCLUDE (r), row_number() OVER (PARTITION BY {SERIES} ORDER BY ts) AS n FROM points
+          WHERE sensor_id = 'click_3' AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-31') WHERE n <= 10""",
 }
+ORACLES["points_window_mean"] = (
+    ORACLES["window_mean"].replace(READINGS, POINTS).replace("AS e FROM readings", "AS e FROM points")
+)

@@ -14,7 +14,7 @@ from gaugeline.operators.registry import latest_points, list_sensors, merge_regi
 from gaugeline.operators.rolling import detect_anomalies
 from gaugeline.operators.validate import REQUIRED_IN_TABLE, check_messages, decode_and_enrich
 from gaugeline.plans.joins import fits_broadcast, hot_safe_join
-from gaugeline.sources.tables import append_readings, create_readings, write_points
+from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
 
 
 def test_durations():
@@ -138,6 +138,20 @@ def test_points_are_overwritten_by_later_arrivals(spark, folder):
     assert "unit" not in spark.read.parquet(f"{folder}/points").columns
 
 
+def test_points_of_all_calls_are_kept(spark, folder):
+    path = f"{folder}/points"
+    first = [reading(i, float(i), minute=i * 600) for i in range(10)]
+    second = [reading(20, 7.5, minute=600), reading(21, 8.0, minute=601), reading(22, 9.0, minute=100_000)]
+    write_points(frame(spark, first), path)
+    write_points(frame(spark, second), path)
+    got = {r["ts"]: r["value"] for r in spark.read.parquet(path).collect()}
+    assert got == {r[4]: r[5] for r in first} | {r[4]: r[5] for r in second}
+    day = read_points(spark, path, datetime(2024, 1, 2), datetime(2024, 1, 3))
+    assert sorted(r["value"] for r in day.collect()) == [3.0, 4.0]
+    plan = day._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+
+
 def test_changes(spark):
     base = spark.createDataFrame([(i, float(i)) for i in range(1, 8)], "id bigint, value double")
     log = [
