@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.llm.common import remainder, table
 from gaugeline.llm.eliasfano import Trie, quantised, shares_of
-from gaugeline.llm.tokens import NOT_SPACE, batches_of, mixed, words_of
+from gaugeline.llm.tokens import NOT_SPACE, batches_of, joined_planes, mixed, planes, words_of
 from gaugeline.plans.scratch import materialize
 
 GROUP_BYTES = SHARD_BYTES = 5 << 20
@@ -91,24 +91,15 @@ class Tokens:
         at = _slices(_shard(self.words, shards), shards)
         for s in np.flatnonzero(np.diff(at)):
             part = slice(at[s], at[s + 1])
-            yield int(s), False, self.words[part].tobytes(), b"", b"", words[part].tobytes()
+            yield int(s), False, planes(self.words[part], np.uint64), b"", b"", planes(words[part], np.uint32)
         at = _slices(self.pair_shard, shards)
         for s in np.flatnonzero(np.diff(at)):
             part = slice(at[s], at[s + 1])
             contexts = self.contexts[part]
             begins = np.flatnonzero(np.diff(contexts, prepend=~contexts[0]))
-            runs = np.diff(begins, append=len(contexts)).astype(np.uint32)
-            yield int(s), True, contexts[begins].tobytes(), runs.tobytes(), _short(self.followers[part]), pairs[part].tobytes()
-
-
-def _short(hashes: np.ndarray) -> bytes:
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SHORT]).tobytes()
-
-
-def _long(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // _SHORT, 8), np.uint8)
-    wide[:, :_SHORT] = np.frombuffer(data, np.uint8).reshape(-1, _SHORT)
-    return wide.view("<u8").ravel()
+            runs = planes(np.diff(begins, append=len(contexts)), np.uint32)
+            more = planes(self.followers[part], np.uint64, _SHORT)
+            yield int(s), True, planes(contexts[begins], np.uint64), runs, more, planes(pairs[part], np.uint32)
 
 
 def _column(rows: pa.Table, name: str) -> list:
@@ -136,22 +127,22 @@ def _merge_words(keys: list[bytes], counts: list[bytes]) -> list[bytes]:
     """Total counts for every list of words."""
     if not keys:
         return []
-    words = np.frombuffer(b"".join(keys), np.uint64)
+    words = joined_planes(keys, np.uint64)
     unique, place = np.unique(words, return_inverse=True)
-    total = np.bincount(place, np.frombuffer(b"".join(counts), np.uint32), len(unique)).astype(np.uint64)
+    total = np.bincount(place, joined_planes(counts, np.uint32), len(unique)).astype(np.uint64)
     answers = total[place]
     ends = np.cumsum([len(k) // 8 for k in keys])
-    return [a.tobytes() for a in np.split(answers, ends[:-1])]
+    return [planes(a, np.uint64) for a in np.split(answers, ends[:-1])]
 
 
 def _merge_pairs(rows: list[dict], hot: np.ndarray, hot_counts: np.ndarray) -> list[bytes]:
     """Codes for every list of pairs, from a trie over the training pairs of all lists."""
     if not rows:
         return []
-    runs = np.frombuffer(b"".join(r["runs"] for r in rows), np.uint32)
-    contexts = np.repeat(np.frombuffer(b"".join(r["keys"] for r in rows), np.uint64), runs)
-    words = _long(b"".join(r["more"] for r in rows))
-    counts = np.frombuffer(b"".join(r["counts"] for r in rows), np.uint32)
+    runs = joined_planes([r["runs"] for r in rows], np.uint32)
+    contexts = np.repeat(joined_planes([r["keys"] for r in rows], np.uint64), runs)
+    words = joined_planes([r["more"] for r in rows], np.uint64, _SHORT)
+    counts = joined_planes([r["counts"] for r in rows], np.uint32)
     seen = np.flatnonzero(counts)
     seen = seen[np.lexsort((words[seen], contexts[seen]))]
     new = np.ones(len(seen), bool)
@@ -190,7 +181,7 @@ def _scorer(hot: np.ndarray, shards: int, train_tokens: int, distinct: int):
             return SCORES.empty_table()
         group = _group(rows, hot, shards)
         by_shard = sorted(answers.select(["pairs", "shard", "answer"]).to_pylist(), key=lambda r: r["shard"])
-        count = np.frombuffer(b"".join(r["answer"] for r in by_shard if not r["pairs"]), np.uint64).astype(float)
+        count = joined_planes([r["answer"] for r in by_shard if not r["pairs"]], np.uint64).astype(float)
         code = np.frombuffer(b"".join(r["answer"] for r in by_shard if r["pairs"]), np.uint8)
         if len(count) != len(group.words) or len(code) != len(group.contexts):
             raise ValueError("the answers do not fit the lists")
@@ -226,14 +217,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _shard(keys, 256)
         at = _slices(shard, 256)
         some = [s for s in range(256) if at[s + 1] > at[s]]
-        columns = [some, *[[a[at[s] : at[s + 1]].tobytes() for s in some] for a in (keys, counts.astype(np.uint32))]]
+        columns = [some, *[[planes(a[at[s] : at[s + 1]], t) for s in some] for a, t in ((keys, np.uint64), (counts, np.uint32))]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "keys", "counts"])
 
 
 def _sum_words(rows: pa.Table) -> pa.Table:
-    keys = np.frombuffer(b"".join(_column(rows, "keys")), np.uint64)
+    keys = joined_planes(_column(rows, "keys"), np.uint64)
     unique, place = np.unique(keys, return_inverse=True)
-    total = np.bincount(place, np.frombuffer(b"".join(_column(rows, "counts")), np.uint32), len(unique))
+    total = np.bincount(place, joined_planes(_column(rows, "counts"), np.uint32), len(unique))
     return pa.table([pa.array(unique.view(np.int64)), pa.array(total.astype(np.int64))], names=["word", "n"])
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.llm.common import table
-from gaugeline.llm.tokens import prefix_sums, span_hashes
+from gaugeline.llm.tokens import from_planes, joined_planes, planes, prefix_sums, span_hashes
 
 LENGTH, GRAM = 50, 20
 STEPS = LENGTH - GRAM  # steps from the first to the last place of an anchor in a window
@@ -150,7 +150,7 @@ def _lister(shards: int):
         np.maximum.at(high, place, ids)
         count = np.bincount(place, minlength=len(found)).astype(np.uint32) | ((low < high).astype(np.uint32) << np.uint32(31))
         at = np.searchsorted(_shard(found, shards), np.arange(shards + 1))
-        return _table([(s, number, found[at[s] : at[s + 1]].tobytes(), count[at[s] : at[s + 1]].tobytes()) for s in np.flatnonzero(np.diff(at)).tolist()], ANCHORS)
+        return _table([(s, number, planes(found[at[s] : at[s + 1]], np.uint64), planes(count[at[s] : at[s + 1]], np.uint32)) for s in np.flatnonzero(np.diff(at)).tolist()], ANCHORS)
 
     return anchors
 
@@ -159,8 +159,8 @@ def _flag_anchors(hot_runs: int):
     def flag(rows: pa.Table) -> pa.Table:
         """For every list: 0 for anchors of one document, 1 for shared ones, 2 for shared ones with many runs."""
         lists = rows.to_pylist()
-        keys = np.frombuffer(b"".join(r["anchors"] for r in lists), np.uint64)
-        runs = np.frombuffer(b"".join(r["runs"] for r in lists), np.uint32)
+        keys = joined_planes([r["anchors"] for r in lists], np.uint64)
+        runs = joined_planes([r["runs"] for r in lists], np.uint32)
         unique, place = np.unique(keys, return_inverse=True)
         shared = np.bincount(place, minlength=len(unique)) > 1
         shared |= np.bincount(place, runs >> np.uint32(31), len(unique)) > 0
@@ -210,18 +210,7 @@ def _sender(shards: int):
 
 def _packed(entries: list[tuple]) -> tuple[bytes, ...]:
     _, ids, *numbers, _, data = zip(*entries, strict=True)
-    return _planes(ids, np.int64), *[_planes(c, np.uint32) for c in numbers], b"".join(data)
-
-
-def _planes(values, kind: type) -> bytes:
-    """Numbers with their first bytes together, then their second ones: bytes that hardly vary compress well."""
-    array = np.array(values, kind)
-    return array.view(np.uint8).reshape(-1, array.itemsize).T.tobytes()
-
-
-def _numbers(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return planes(ids, np.int64), *[planes(c, np.uint32) for c in numbers], b"".join(data)
 
 
 def _words(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -331,7 +320,7 @@ def _sort_runs(rows: pa.Table) -> pa.Table:
     pieces, offsets, anchors, smallest = [], [], [], []
     entries = []  # group, id, row, start, count, piece
     for r in rows.to_pylist():
-        columns = [_numbers(r[c], np.int64 if c == "ids" else np.uint32).tolist() for c in ("ids", "rows", "starts", "counts", "offsets")]
+        columns = [from_planes(r[c], np.int64 if c == "ids" else np.uint32).tolist() for c in ("ids", "rows", "starts", "counts", "offsets")]
         if r["covered"]:
             out.append((r["group"], r["rows"], r["starts"], r["counts"]))
             continue
@@ -357,7 +346,7 @@ def _sort_runs(rows: pa.Table) -> pa.Table:
             for first, n in parts.get(piece, ()):
                 marks.setdefault(group, []).append((row, start + first, n))
     for group, found in marks.items():
-        out.append((group, *[_planes(c, np.uint32) for c in zip(*found, strict=True)]))
+        out.append((group, *[planes(c, np.uint32) for c in zip(*found, strict=True)]))
     return _table(out, MARKS)
 
 
@@ -369,7 +358,7 @@ def _remove(rows: pa.Table, marks: pa.Table) -> pa.Table:
     begins = np.append(0, np.cumsum(sizes))
     change = np.zeros(int(begins[-1]) + 1, np.int32)
     for r in marks.to_pylist():
-        row, start, count = (_numbers(r[c], np.uint32).astype(np.int64) for c in ("rows", "starts", "counts"))
+        row, start, count = (from_planes(r[c], np.uint32).astype(np.int64) for c in ("rows", "starts", "counts"))
         np.add.at(change, begins[row] + start, 1)
         np.add.at(change, begins[row] + start + count + LENGTH - 1, -1)
     gone = np.cumsum(change)[:-1] > 0
