@@ -406,6 +406,16 @@ def outlier_predictions(spark, folder):
     return outliers.predict(outliers.load_models(spark, path), readings)
 
 
+def outlier_facts(spark, folder):
+    """What has to hold for the predictions: a row per reading and model, DBSCAN's share of noise, a tenth of the readings
+    flagged by the forest that was trained on them, and scores whose sign is the flag."""
+    df = outlier_predictions(spark, folder)
+    exact = F.avg(F.col("is_anomaly").cast("double"))
+    share = F.when(F.col("model") == "dbscan", F.round(exact, 4)).otherwise(F.round(exact, 1)).alias("share")
+    agrees = F.coalesce((F.col("score") < 0) == F.col("is_anomaly"), F.lit(True))
+    return df.groupBy("sensor_type", "model").agg(F.count("*").alias("rows"), share, F.bool_and(agrees).alias("agrees"))
+
+
 # ---- streams -------------------------------------------------------------------------------------------------------
 
 
@@ -514,6 +524,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     value_quantiles,
     forest_training,
     outlier_predictions,
+    outlier_facts,
     stream_scored,
     stream_minute_agg,
     stream_hour_agg,

@@ -164,6 +164,21 @@ scaled AS (
 
 DISTANCE = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in DENSITY)
 
+CLUSTERS = f"""WITH RECURSIVE {SCALED},
+near AS MATERIALIZED (
+  SELECT p.sensor_type, p.id AS a, q.id AS b FROM scaled p JOIN scaled q
+    ON p.sensor_type = q.sensor_type AND q.value BETWEEN p.value - 0.51 AND p.value + 0.51 WHERE {DISTANCE} <= 0.25),
+core AS MATERIALIZED (SELECT a FROM near GROUP BY a HAVING count(*) >= 5),
+links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT a FROM core) AND b IN (SELECT a FROM core)),
+smallest(a, l) USING KEY (a) AS (
+  SELECT a, a FROM core
+  UNION SELECT n.a, min(s.l) FROM smallest s JOIN links n ON n.b = s.a JOIN recurring.smallest c ON c.a = n.a
+  WHERE s.l < c.l GROUP BY n.a),
+around AS (SELECT n.a, min(s.l) AS l FROM near n JOIN smallest s ON s.a = n.b GROUP BY n.a),
+clusters AS (
+  SELECT sensor_type, id, coalesce(s.l, r.l, -1) AS label, coalesce(s.l, r.l) IS NULL AS is_anomaly
+  FROM scaled LEFT JOIN smallest s ON s.a = id LEFT JOIN around r ON r.a = id)"""
+
 POINTS = f"""{READINGS},
 points AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {SERIES}, ts ORDER BY id % 2 DESC, id DESC) AS r FROM readings)
@@ -273,6 +288,11 @@ ORACLES = {
     "stream_hour_agg": f"WITH {RELEASED} "
     + _hour("released", f"HAVING w + INTERVAL 1 HOUR <= {SEEN} - INTERVAL 1 HOUR"),
     "stream_registry": f"WITH {REGISTRY} SELECT * FROM registry",
+    "dbscan_clusters": f"{CLUSTERS} SELECT * FROM clusters",
+    "outlier_facts": f"""{CLUSTERS}
+        SELECT sensor_type, 'dbscan' AS model, count(*) AS "rows", round(avg(CAST(is_anomaly AS INTEGER)), 4) AS share,
+          true AS agrees FROM clusters GROUP BY sensor_type
+        UNION ALL SELECT event_type, 'isolation_forest', count(*), 0.1, true FROM events GROUP BY event_type""",
     "forest_training": """SELECT event_type || '_isolation' AS model_key, count(*) AS "rows",
           CAST(0.1 AS DOUBLE) AS anomaly_ratio FROM events GROUP BY event_type""",
     "points_history": f"""WITH {POINTS}
