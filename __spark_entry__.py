@@ -20,9 +20,9 @@ from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
 from gaugeline.plans.scratch import materialize, scratch_path
-from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events
-from gaugeline.sources.tables import read_points, write_points
-from gaugeline.sources.topics import route_readings
+from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events, scan_readings
+from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
+from gaugeline.sources.topics import live_tail, route_readings
 from gaugeline.streaming.flow import hour_stream, minute_stream
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
@@ -276,6 +276,22 @@ def latest_points(spark, folder):
     return registry.latest_points(df)
 
 
+def stored_readings(spark, folder):
+    """A readings table that was created, appended to under new ids, and scanned."""
+    path = scratch_path(spark, "readings")
+    create_readings(spark, path)
+    rows = _readings(spark, folder).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    append_readings(spark, path, rows)
+    return _ntz(scan_readings(spark, path), "timestamp")
+
+
+def tail(spark, folder):
+    """What a subscriber sees: JSON objects, and errors for messages that are none."""
+    data = live_tail(_messages(spark, folder))
+    fields = [F.get_json_object("data", f"$.{c}").alias(c) for c in ("sensor_id", "location", "error")]
+    return data.select(*fields).groupBy("sensor_id", "location", "error").agg(F.count("*").alias("messages"))
+
+
 def _stored_points(spark: SparkSession, folder: str, start: datetime, stop: datetime) -> DataFrame:
     """Points written in two calls, read back for a time range."""
     readings = _readings(spark, folder)
@@ -508,6 +524,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     sensor_registry,
     registry_filtered,
     latest_points,
+    stored_readings,
+    tail,
     points_history,
     points_window_mean,
     apply_changes,

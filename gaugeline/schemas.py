@@ -47,27 +47,6 @@ READINGS_TABLE = _fields(
     ("location", _S, True),
 )
 
-REGISTRY_SCHEMA = _fields(
-    ("sensor_id", _S),
-    ("sensor_type", _S),
-    ("location", _S),
-    ("last_seen", _TS),
-    ("status", _S),
-    ("total_readings", _L),
-)
-
-ALERT_SCHEMA = _fields(
-    ("alert_id", _S),
-    ("sensor_id", _S),
-    ("sensor_type", _S),
-    ("timestamp", _TS),
-    ("value", _D),
-    ("range_lo", _D),
-    ("range_hi", _D),
-    ("severity", _S),
-    ("message", _S),
-)
-
 # Tags that tell one time series from another.
 SERIES_KEY = ("sensor_id", "sensor_type", "location", "status")
 

@@ -79,8 +79,12 @@ def write_console(
 
 
 def live_tail(messages: DataFrame) -> DataFrame:
-    """Each message as one line of JSON text, as a subscriber sees it."""
-    return messages.select(F.col("value").cast("string").alias("data"))
+    """Each message as one JSON object, as a subscriber sees it; a message that is none as an error with its text."""
+    text = F.col("value").cast("string")
+    parsed = F.try_parse_json(text)
+    kind = F.schema_of_variant(parsed)
+    broken = F.to_json(F.struct(F.lit("not a JSON object").alias("error"), text.alias("message")))
+    return messages.select(F.when(kind.startswith("OBJECT"), F.to_json(parsed)).otherwise(broken).alias("data"))
 
 
 def start(writer: DataStreamWriter, every: str, available_now: bool) -> StreamingQuery:

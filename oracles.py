@@ -295,6 +295,10 @@ ORACLES = {
         UNION ALL SELECT event_type, 'isolation_forest', count(*), 0.1, true FROM events GROUP BY event_type""",
     "forest_training": """SELECT event_type || '_isolation' AS model_key, count(*) AS "rows",
           CAST(0.1 AS DOUBLE) AS anomaly_ratio FROM events GROUP BY event_type""",
+    "stored_readings": f"""WITH {READINGS} SELECT sensor_id, sensor_type, value, unit, ts AS "timestamp", location FROM readings""",
+    "tail": f"""WITH {JUDGED} SELECT CASE WHEN id % 101 <> 0 AND id % 83 <> 0 THEN sensor_id END AS sensor_id,
+          CASE WHEN id % 101 <> 0 THEN location END AS location,
+          CASE WHEN id % 101 = 0 THEN 'not a JSON object' END AS error, count(*) AS messages FROM judged GROUP BY 1, 2, 3""",
     "points_history": f"""WITH {POINTS}
         SELECT ts AS "timestamp", sensor_id, value, sensor_type, location FROM (
           SELECT * EXCLUDE (r), row_number() OVER (PARTITION BY {SERIES} ORDER BY ts) AS n FROM points
