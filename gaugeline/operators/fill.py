@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeline.operators.rolling import FEATURES, ORDER, raw_features
-from gaugeline.plans.chunks import CHUNK, OWN, ROWS_PER_CHUNK, SPLIT, split_groups
+from gaugeline.plans.chunks import CHUNK, ROWS_PER_CHUNK, SPLIT, split_groups
 
 FILL_ROWS_PER_CHUNK = 250_000
 
