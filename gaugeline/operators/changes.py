@@ -34,6 +34,7 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "id") -> Appli
         F.max_by(row, F.when(op != DELETE, seq)).alias("_row"),
         F.max(op == INSERT).alias("_inserted"),
     )
+    folded = materialize(folded, "changes")  # counted, joined and split into three outputs
     small = fits_broadcast(folded)
 
     def side(df: DataFrame) -> DataFrame:
