@@ -312,7 +312,7 @@ def points_window_mean(spark, folder):
 
 
 def _changes(df: DataFrame) -> DataFrame:
-    """Changes derived from the table: updates, deletes after updates, inserts, and changes of unknown ids."""
+    """Changes derived from the table: updates, deletes after updates or twice, inserts, and changes of unknown ids."""
     i = F.col("id")
     top = F.lit(10_000_000_000)
     op = (
@@ -322,8 +322,13 @@ def _changes(df: DataFrame) -> DataFrame:
         .when(i % 17 == 0, F.array(F.lit("D"), F.lit("U")))
         .when(i % 19 == 0, F.array(F.lit("I"), F.lit("U")))
         .when(i % 23 == 0, F.array(F.lit("U")))
+        .when(i % 29 == 0, F.array(F.lit("U"), F.lit("I")))
+        .when(i % 31 == 0, F.array(F.lit("D"), F.lit("I")))
+        .when(i % 37 == 0, F.array(F.lit("D"), F.lit("D")))
     )
-    moved = F.when((i % 7 != 0) & (i % 11 != 0) & (i % 13 != 0) & (i % 17 != 0), i + top).otherwise(i)
+    known = (i % 7 == 0) | (i % 11 == 0) | (i % 13 == 0) | (i % 17 == 0)
+    twice = (i % 37 == 0) & (i % 19 != 0) & (i % 23 != 0) & (i % 29 != 0) & (i % 31 != 0)
+    moved = F.when(known | twice, i).otherwise(i + top)
     rows = df.select(moved.alias("id"), *[c for c in df.columns if c != "id"], F.posexplode(op).alias("p", "op"))
     return rows.withColumns({"value": F.col("value") + 1000 * (F.col("p") + 1), "seq": F.col("p").cast("bigint")}).drop("p")
 

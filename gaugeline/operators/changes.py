@@ -2,12 +2,13 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeline.plans.joins import fits_broadcast
 from gaugeline.plans.scratch import materialize
 
 INSERT, UPDATE, DELETE = "I", "U", "D"
+SEQS_PER_STRETCH = 1_000_000
 
 
 class Applied(NamedTuple):
@@ -17,8 +18,8 @@ class Applied(NamedTuple):
 
 
 def apply_changes(base: DataFrame, changes: DataFrame, key: str = "id") -> Applied:
-    """Apply `changes` (the columns of `base`, op I/U/D and an increasing seq) and return the new table, the ids whose
-    changes found no row, and the updated rows.
+    """Apply `changes` (the columns of `base`, op I/U/D and an increasing seq) and return the new table, the (id, seq)
+    of updates and deletes that found no row at their turn, and the updated rows.
 
     Changes are reduced to one row per key first, however many a key has. Only those keys meet the table: they are
     broadcast when they were counted to be few, so that the table itself is not shuffled. Write the snapshot to a new
@@ -32,7 +33,6 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "id") -> Appli
         F.max(F.when(op != UPDATE, seq)).alias("_made_at"),
         F.max(F.when(op == UPDATE, seq)).alias("_updated_at"),
         F.max_by(row, F.when(op != DELETE, seq)).alias("_row"),
-        F.max(op == INSERT).alias("_inserted"),
     )
     folded = materialize(folded, "changes")  # counted, joined and split into three outputs
     small = fits_broadcast(folded)
@@ -47,15 +47,34 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "id") -> Appli
     made, updated_after = F.col("_made"), F.col("_updated_at") > F.coalesce("_made_at", F.lit(-1))
     alive = F.when(made.isNull(), F.col("_in_base")).otherwise(made == INSERT)
     written = state.filter(alive & F.col("_row").isNotNull())
-    missed = ~F.col("_in_base") & ~F.col("_inserted") | (F.coalesce(made == DELETE, F.lit(False)) & updated_after)
     untouched = base.join(touched, key, "left_anti")
     return Applied(
         snapshot=untouched.unionByName(written.select("_row.*").select(*columns)),
-        not_found=state.filter(F.coalesce(missed, F.lit(False))).select(key),
+        not_found=_not_found(changes.select(key, "op", "seq"), state.select(key, "_in_base"), key),
         updated=written.filter(F.coalesce(updated_after, F.lit(False))).select("_row.*").select(*columns),
     )
 
 
+def _not_found(changes: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Updates and deletes of keys without a row at that moment.
+
+    What a change finds is the last insert or delete before it, or else the table. A key's changes are cut into stretches
+    of SEQS_PER_STRETCH numbers; each stretch starts from the last insert or delete of those before, so a key with very
+    many changes is not ordered in one task.
+    """
+    stretch = F.floor(F.col("seq") / SEQS_PER_STRETCH).alias("_stretch")
+    rows = changes.select("*", stretch)
+    made = F.when(F.col("op") != UPDATE, F.col("op"))
+    ends = rows.groupBy(key, "_stretch").agg(F.max_by("op", F.when(F.col("op") != UPDATE, F.col("seq"))).alias("_made"))
+    before = Window.partitionBy(key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(key, "_stretch", F.last("_made", ignorenulls=True).over(before).alias("_start"))
+    within = Window.partitionBy(key, "_stretch").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    judged = rows.withColumn("_last", F.last(made, ignorenulls=True).over(within)).join(starts, [key, "_stretch"])
+    last = F.coalesce("_last", "_start")
+    alive = F.when(last.isNull(), F.col("_in_base")).otherwise(last == INSERT)
+    return judged.join(known, key).filter((F.col("op") != INSERT) & ~alive).select(key, "seq")
+
+
 def assign_ids(rows: DataFrame, last_id: int, key: str = "id") -> DataFrame:
     """Give arriving rows the ids after `last_id`, without gaps, in partition order.
 

@@ -106,7 +106,8 @@ registry AS (
 CHANGES = f"""{READINGS},
 kinds AS (
   SELECT *, CASE WHEN id % 7 = 0 THEN 7 WHEN id % 11 = 0 THEN 11 WHEN id % 13 = 0 THEN 13 WHEN id % 17 = 0 THEN 17
-                 WHEN id % 19 = 0 THEN 19 WHEN id % 23 = 0 THEN 23 ELSE 0 END AS kind FROM readings)"""
+                 WHEN id % 19 = 0 THEN 19 WHEN id % 23 = 0 THEN 23 WHEN id % 29 = 0 THEN 29 WHEN id % 31 = 0 THEN 31
+                 WHEN id % 37 = 0 THEN 37 ELSE 0 END AS kind FROM readings)"""
 
 FEATURES = f"""{READINGS},
 rolled AS (
@@ -253,12 +254,13 @@ ORACLES = {
           SELECT *, row_number() OVER (PARTITION BY {SERIES}, h ORDER BY id DESC) AS r
           FROM (SELECT *, date_trunc('hour', ts) AS h FROM readings)) WHERE r = 1""",
     "apply_changes": f"""WITH {CHANGES}
-        SELECT id, {TABLE.replace('value', 'round(value, 4) AS value')} FROM kinds WHERE kind IN (0, 19, 23)
+        SELECT id, {TABLE.replace('value', 'round(value, 4) AS value')} FROM kinds WHERE kind IN (0, 19, 23, 29, 31)
         UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 1000, 4)')} FROM kinds WHERE kind = 7
         UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 3000, 4)')} FROM kinds WHERE kind = 13
-        UNION ALL SELECT id + 10000000000, {TABLE.replace('value', 'round(value + 2000, 4)')} FROM kinds WHERE kind = 19""",
-    "changes_not_found": f"""WITH {CHANGES} SELECT id FROM kinds WHERE kind = 17
-        UNION ALL SELECT id + 10000000000 FROM kinds WHERE kind = 23""",
+        UNION ALL SELECT id + 10000000000, {TABLE.replace('value', 'round(value + 2000, 4)')} FROM kinds
+          WHERE kind IN (19, 29, 31)""",
+    "changes_not_found": f"""WITH {CHANGES} SELECT id, CAST(1 AS BIGINT) AS seq FROM kinds WHERE kind IN (17, 37)
+        UNION ALL SELECT id + 10000000000, 0 FROM kinds WHERE kind IN (23, 29, 31)""",
     "changes_updated": f"""WITH {CHANGES}
         SELECT id, {TABLE.replace('value', 'round(value + 1000, 4) AS value')} FROM kinds WHERE kind = 7
         UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 3000, 4)')} FROM kinds WHERE kind = 13

@@ -163,11 +163,14 @@ def test_changes(spark):
         (91, 1.0, "D", 1),
         (92, 5.0, "I", 1),
         (93, 5.0, "I", 1), (93, 0.0, "D", 2),
+        (94, 1.0, "U", 1), (94, 6.0, "I", 2),
+        (95, 0.0, "D", 1), (95, 7.0, "I", 2), (95, 8.0, "U", 3),
+        (6, 0.0, "D", 1), (6, 0.0, "D", 2), (6, 9.0, "I", 1_000_003), (6, 9.5, "U", 1_000_004),
     ]
     got = apply_changes(base, spark.createDataFrame(log, "id bigint, value double, op string, seq bigint"))
-    assert dict(got.snapshot.collect()) == {1: 11.0, 4: 45.0, 5: 5.0, 6: 6.0, 7: 7.0, 92: 5.0}
-    assert sorted(r["id"] for r in got.not_found.collect()) == [3, 90, 91]
-    assert dict(got.updated.collect()) == {1: 11.0, 4: 45.0}
+    assert dict(got.snapshot.collect()) == {1: 11.0, 4: 45.0, 5: 5.0, 6: 9.5, 7: 7.0, 92: 5.0, 94: 6.0, 95: 8.0}
+    assert sorted(map(tuple, got.not_found.collect())) == [(3, 2), (6, 2), (90, 1), (91, 1), (94, 1), (95, 1)]
+    assert dict(got.updated.collect()) == {1: 11.0, 4: 45.0, 6: 9.5, 95: 8.0}
 
 
 def test_ids_are_dense(spark):
