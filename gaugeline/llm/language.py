@@ -34,7 +34,7 @@ DOCUMENTS_PER_LANGUAGE, SPANS_PER_DOCUMENT, SPAN_WORDS = 1000, 6, 10
 SPANS_PER_CHAIN, CHAIN_WORDS = 3, 256
 FEATURES = 1 << 17
 ROUNDS, STEP, RIDGE = 60, 0.15, 2e-5
-CACHED_WORDS, WORDS_PER_CALL = 400_000, 500_000
+CACHED_WORDS, CHARACTERS_PER_CALL, WORDS_AT_ONCE = 300_000, 2 << 20, 10_000
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -172,8 +172,9 @@ class Labeller:
         ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
         fresh = list(index)[known:] if len(index) > known else []
         if fresh:
-            rows = [features(w, self.field.lexicon) for w in fresh]
-            self.scores = np.concatenate([self.scores, feature_sums(rows, self.field.weights)])
+            runs = (fresh[at : at + WORDS_AT_ONCE] for at in range(0, len(fresh), WORDS_AT_ONCE))
+            new = [feature_sums([features(w, self.field.lexicon) for w in run], self.field.weights) for run in runs]
+            self.scores = np.concatenate([self.scores, *new])
             self.letters = np.concatenate([self.letters, [any(c.isalpha() for c in w) for w in fresh]])
         return ids
 
@@ -216,7 +217,7 @@ def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:
     """Runs of texts with a bounded number of characters; a longer text is a run of its own."""
     part, size = [], 0
     for text in texts:
-        if part and size + len(text or "") > 6 * WORDS_PER_CALL:
+        if part and size + len(text or "") > CHARACTERS_PER_CALL:
             yield part
             part, size = [], 0
         part.append(text)
