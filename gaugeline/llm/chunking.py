@@ -1,19 +1,19 @@
 """Document fingerprints by content-defined chunking.
 
-A gear hash over the last 32 bytes marks boundaries. Chunks are normalised: short ones need a rarer mark, long ones a
-more frequent one, and both a smallest and a largest length hold. Because the smallest length covers the window of the hash, a
-boundary depends on the text near it alone, so an insertion shifts the chunks after it but does not change them. A fingerprint is
-the set of chunk digests with chunk lengths; the likeness of a document to another is the share of its distinct chunk
-bytes that the other has too (containment, 0 to 1).
-
-Editing needs the next document in the order of doc_id. Ids are cut into ranges of about `block_documents`; every row goes
-to the partition of its range, once, and the first row of a range also to the range before it (of the first to the last).
-A partition is sorted by Spark and read as a stream that holds two documents at a time. What the driver sees is the cut
-points, two numbers a range.
-
-Defined cases: a null text is empty and has an empty fingerprint. Two empty fingerprints have likeness 1, an empty one to
-another 0. A null doc_id comes before all others. Rows with one doc_id are ordered by a hash of their texts, so equal
-rows follow each other. A single document is its own next one. An empty table gives an empty result.
+A gear hash over the last 32 bytes marks boundaries. Chunks are normalised: short ones need a rarer mark, long ones
+a more frequent one, and both a smallest and a largest length hold. Because the smallest length covers the window of
+the hash, a boundary depends on the text near it alone, so an insertion shifts the chunks after it but does not
+change them. A fingerprint is the set of chunk digests with chunk lengths; the likeness of a document to another is
+the share of its distinct chunk bytes that the other has too (containment, 0 to 1).
+
+Editing needs the next document in the order of doc_id. Ids are cut into ranges of about `block_documents`; every
+row goes to the partition of its range, once, and the first row of a range also to the range before it (of the first
+to the last). A partition is sorted by Spark and read as a stream that holds two documents at a time. What the
+driver sees is the cut points, two numbers a range.
+
+Defined cases: a null text is empty and has an empty fingerprint. Two empty fingerprints have likeness 1, an empty
+one to another 0. A null doc_id comes before all others. Rows with one doc_id are ordered by a hash of their texts,
+so equal rows follow each other. A single document is its own next one. An empty table gives an empty result.
 """
 
 import hashlib

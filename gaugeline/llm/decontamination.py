@@ -1,18 +1,20 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
-The n-grams of three words of the test items are counted over all documents. Seeds are the n-grams that hardly any document
-has (at most five occurrences, and one for every million n-grams), and of every three n-grams that follow each other in an item the
-rarest. So any five unchanged words of an item hold a seed, however often it leaked, and common phrases are seeds only
-where nothing rarer is near. A document that holds a seed is aligned with the item around it, word by word: a
-match gives 2, a mismatch or a gap costs 1. A copy counts if its score reaches `least` (one half) of the item's own, which edits and
-paraphrases of about a third of the words still do.
-
-Items are read in blocks of at most `BLOCK_ITEMS` items and `BLOCK_BYTES` bytes; a block travels to the tasks with its
-seeds, and all documents meet all blocks. Documents stay where they are: no shuffle depends on how often an item leaked.
-
-Defined cases: null and empty texts match nothing. Items with fewer than three words are too short to be evidence and are
-left out. Words are runs of letters and digits, lower-cased. Repeated items are found under each of their ids. A document
-that holds an item several times reports its best copy, the first of equal ones. Empty tables give empty results.
+The n-grams of three words of the test items are counted over all documents. Seeds are the n-grams that hardly any
+document has (at most five occurrences, and one for every million n-grams), and of every three n-grams that follow
+each other in an item the rarest. So any five unchanged words of an item hold a seed, however often it leaked, and
+common phrases are seeds only where nothing rarer is near. A document that holds a seed is aligned with the item
+around it, word by word: a match gives 2, a mismatch or a gap costs 1. A copy counts if its score reaches `least`
+(one half) of the item's own, which edits and paraphrases of about a third of the words still do.
+
+Items are read in blocks of at most `BLOCK_ITEMS` items and `BLOCK_BYTES` bytes; a block travels to the tasks with
+its seeds, and all documents meet all blocks. Documents stay where they are: no shuffle depends on how often an item
+leaked.
+
+Defined cases: null and empty texts match nothing. Items with fewer than three words are too short to be evidence
+and are left out. Words are runs of letters and digits, lower-cased. Repeated items are found under each of their
+ids. A document that holds an item several times reports its best copy, the first of equal ones. Empty tables give
+empty results.
 """
 
 from collections.abc import Iterator

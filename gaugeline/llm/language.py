@@ -1,19 +1,19 @@
 """Language identification with a linear-chain conditional random field.
 
-Every word gets a posterior over languages from forward-backward over its chain; a document's language is the one with the
-highest mean posterior, which is its score. Words score through prefixes, suffixes, letter n-grams, the whole word, and
-the lexicons that hold it; transitions between neighbouring words are learned. Training chains join spans of different documents, so
-that switches of language within a chain occur and their weights are learned too.
-
-Fitted on a bounded sample of labelled rows: about `documents_per_language` documents of each language, chosen by a hash
-of their id, and of each `spans_per_document` spans of `span_words` words spread over its whole text. Half of the
-spans give the lexicons, the other half the weights, so lexicon features are not trained on their own words. The sample
-is fitted on the driver, its size is the product of these parameters and the number of languages. Prediction maps
-over all documents and all their words; words run in chains of at most `CHAIN_WORDS`.
-
-Defined cases: a null text or one without a letter is `und` with score 0, and so is every text if nothing is labelled.
-Rows without a language teach nothing. Ties go to the language first in code point order. Repeated rows get equal
-answers. Columns of the input stay; the new ones have the names the caller gives.
+Every word gets a posterior over languages from forward-backward over its chain; a document's language is the one
+with the highest mean posterior, which is its score. Words score through prefixes, suffixes, letter n-grams, the
+whole word, and the lexicons that hold it; transitions between neighbouring words are learned. Training chains join
+spans of different documents, so that switches of language within a chain occur and their weights are learned too.
+
+Fitted on a bounded sample of labelled rows: about `documents_per_language` documents of each language, chosen by a
+hash of their id, and of each `spans_per_document` spans of `span_words` words spread over its whole text. Half of
+the spans give the lexicons, the other half the weights, so lexicon features are not trained on their own words. The
+sample is fitted on the driver, its size is the product of these parameters and the number of languages. Prediction
+maps over all documents and all their words; words run in chains of at most `CHAIN_WORDS`.
+
+Defined cases: a null text or one without a letter is `und` with score 0, and so is every text if nothing is
+labelled. Rows without a language teach nothing. Ties go to the language first in code point order. Repeated rows
+get equal answers. Columns of the input stay; the new ones have the names the caller gives.
 """
 
 import re

@@ -1,18 +1,20 @@
 """Language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a bigram model with a Dirichlet prior: p(w | v) = (c(v, w) + m * p(w)) / (c(v) + m), where p(w) is the base
-(add one half) and m is `PRIOR`. Tokens are the words of a text and one end; a text begins in a context of its own.
+The model is a bigram model with a Dirichlet prior: p(w | v) = (c(v, w) + m * p(w)) / (c(v) + m), where p(w) is the
+base (add one half) and m is `PRIOR`. Tokens are the words of a text and one end; a text begins in a context of its
+own.
 
 The model grows with the corpus, so it is never sent to tasks as a whole. Documents are dealt into groups of about
-`GROUP_BYTES`. A group lists its distinct words and word pairs, with their counts in training documents, in lists packed
-as arrays, one for each shard of the model. A shard merges the lists of all groups, builds its trie (contexts, pointers and
-successors as Elias-Fano sequences, and the first part of the sum above as one-byte codes, all memory-mapped), looks up every
-pair by a successor search within its context, and answers every list with a list of the same order. The group then scores
-whole documents. Pairs go to the shard of their context, except those of the few contexts that hold more than a quarter of
-a shard's share of tokens: these are spread over all shards by their words. There are at most four such contexts a shard.
-
-Defined cases: a null text is empty and has one token, the end. Words are told apart by 64-bit hashes, in a shard by 48
-bits of them. Rows without an id count as training rows. Repeated rows count as often as they are there. Without
+`GROUP_BYTES`. A group lists its distinct words and word pairs, with their counts in training documents, in lists
+packed as arrays, one for each shard of the model. A shard merges the lists of all groups, builds its trie
+(contexts, pointers and successors as Elias-Fano sequences, and the first part of the sum above as one-byte codes,
+all memory-mapped), looks up every pair by a successor search within its context, and answers every list with a list
+of the same order. The group then scores whole documents. Pairs go to the shard of their context, except those of
+the few contexts that hold more than a quarter of a shard's share of tokens: these are spread over all shards by
+their words. There are at most four such contexts a shard.
+
+Defined cases: a null text is empty and has one token, the end. Words are told apart by 64-bit hashes, in a shard by
+48 bits of them. Rows without an id count as training rows. Repeated rows count as often as they are there. Without
 training rows every count is 0. An empty table gives an empty result.
 """
 

@@ -1,18 +1,19 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
-A source's target divided by its size is the number of copies each of its documents is due: a whole part that all get,
-and a fraction that is rounded dependently. Two documents with fractional copy probabilities meet, and words move from
-one probability to the other, in the direction a hash draws, until one of them is 0 or 1. The words of the pair and
-every document's expected copies stay what they were, so a source ends within one document of its target.
+A source's target divided by its size is the number of copies each of its documents is due: a whole part that all
+get, and a fraction that is rounded dependently. Two documents with fractional copy probabilities meet, and words
+move from one probability to the other, in the direction a hash draws, until one of them is 0 or 1. The words of the
+pair and every document's expected copies stay what they were, so a source ends within one document of its target.
 
-Documents of a source are dealt into blocks by hash. A block is one fold that leaves at most one fractional document;
-the residuals of `block_rows` neighbouring blocks form a block of the next level, until a source has one block, whose
-residual is drawn on its own. Every level is a written table. A block is bounded whatever a source's share is, and only
-DataFrame functions are used. The numbers drawn depend on keys alone, so reruns and other partitionings agree.
+Documents of a source are dealt into blocks by hash. A block is one fold that leaves at most one fractional
+document; the residuals of `block_rows` neighbouring blocks form a block of the next level, until a source has one
+block, whose residual is drawn on its own. Every level is a written table. A block is bounded whatever a source's
+share is, and only DataFrame functions are used. The numbers drawn depend on keys alone, so reruns and other
+partitionings agree.
 
 Defined cases: a null text has size 0. A null source is a source of its own, last in order. Documents of size 0 are
-never taken. Repeated rows are numbered and rounded one by one; equal rows are interchangeable. Ties in the order within
-a block fall to the row's key. A folder without words has targets of 0, an empty table gives an empty result.
+never taken. Repeated rows are numbered and rounded one by one; equal rows are interchangeable. Ties in the order
+within a block fall to the row's key. A folder without words has targets of 0, an empty table gives an empty result.
 """
 
 from collections.abc import Callable, Sequence

@@ -1,15 +1,16 @@
 """Sharding by longest-processing-time scheduling.
 
 Documents with equal texts form a group that stays together. Groups go, from the largest to the smallest, to the
-least-loaded shard, which a heap names. The heap never sees all groups: groups that alone weigh more than a thousandth
-of a shard (at most a thousand for each shard) go to the last round as they are; the others are dealt by hash into
-packs of about `pack_groups`, and each pack is scheduled into `pack_bins` bins of nearly equal size by the same rule. Bins
-are then items like groups. Rounds repeat until no more than `last_items` are left, and these are scheduled onto the shards.
-
-Defined cases: a null text has 0 bytes and belongs to the group of empty texts. Equal sizes go in the order of the group's
-digest, equally loaded shards in the order of their number. Repeated rows are members of one group. Slots count within a
-shard without gaps, by part of the id hash and then by id; equal rows are interchangeable. An empty table gives an empty
-result.
+least-loaded shard, which a heap names. The heap never sees all groups: groups that alone weigh more than a
+thousandth of a shard (at most a thousand for each shard) go to the last round as they are; the others are dealt by
+hash into packs of about `pack_groups`, and each pack is scheduled into `pack_bins` bins of nearly equal size by the
+same rule. Bins are then items like groups. Rounds repeat until no more than `last_items` are left, and these are
+scheduled onto the shards.
+
+Defined cases: a null text has 0 bytes and belongs to the group of empty texts. Equal sizes go in the order of the
+group's digest, equally loaded shards in the order of their number. Repeated rows are members of one group. Slots
+count within a shard without gaps, by part of the id hash and then by id; equal rows are interchangeable. An empty
+table gives an empty result.
 """
 
 import heapq

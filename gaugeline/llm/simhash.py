@@ -1,20 +1,21 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
-Fingerprints within `distance` differing bits are linked. A fingerprint is embedded by the bit counts of its 32 two-bit
-segments. The Manhattan distance of two embeddings never exceeds the Hamming distance, so it is a lower bound that only
-the exact test has to confirm. The embedding is kept in unary, where every segment has its ones first: then the
-Manhattan distance is again a count of differing bits, and a step along one axis sets one bit.
-
-Candidates come from a grid join. Of two vectors at distance 3 or less, one of the two halves (16 axes) is at distance
-1 or less. Each half is a grid with cells of side 1: every fingerprint is stored in its own cell and asks for the
-cells one step up each axis, so every pair meets once for each half that is close. The lower bound over all axes and the
-exact distance are conditions of that join, so only links leave it, never the pairs of a cell; a cell that many
-fingerprints share is a skewed key, which adaptive execution splits. Links stay sparse: no more than 128 fingerprints can
-be pairwise within 3 bits.
-
-Defined cases: a text that is null or has no word has fingerprint zero and is linked like any other. Fewer words than a
-shingle give one shingle of all words. Equal fingerprints are one node, so exact copies, repeated rows and null ids cost
-nothing; the component id is the smallest non-null doc_id. An empty table gives an empty result. Other columns stay.
+Fingerprints within `distance` differing bits are linked. A fingerprint is embedded by the bit counts of its 32
+two-bit segments. The Manhattan distance of two embeddings never exceeds the Hamming distance, so it is a lower
+bound that only the exact test has to confirm. The embedding is kept in unary, where every segment has its ones
+first: then the Manhattan distance is again a count of differing bits, and a step along one axis sets one bit.
+
+Candidates come from a grid join. Of two vectors at distance 3 or less, one of the two halves (16 axes) is at
+distance 1 or less. Each half is a grid with cells of side 1: every fingerprint is stored in its own cell and asks
+for the cells one step up each axis, so every pair meets once for each half that is close. The lower bound over all
+axes and the exact distance are conditions of that join, so only links leave it, never the pairs of a cell; a cell
+that many fingerprints share is a skewed key, which adaptive execution splits. Links stay sparse: no more than 128
+fingerprints can be pairwise within 3 bits.
+
+Defined cases: a text that is null or has no word has fingerprint zero and is linked like any other. Fewer words
+than a shingle give one shingle of all words. Equal fingerprints are one node, so exact copies, repeated rows and
+null ids cost nothing; the component id is the smallest non-null doc_id. An empty table gives an empty result. Other
+columns stay.
 """
 
 import re

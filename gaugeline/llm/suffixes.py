@@ -1,24 +1,27 @@
 """Removal of repeated byte strings with blockwise suffix sorting.
 
-Every byte that a string of `LENGTH` bytes covers goes if the string also starts in a document with a smaller doc_id. Sorting the
-suffixes of a whole corpus is not needed for that: only strings that two documents share have to meet.
+Every byte that a string of `LENGTH` bytes covers goes if the string also starts in a document with a smaller
+doc_id. Sorting the suffixes of a whole corpus is not needed for that: only strings that two documents share have to
+meet.
 
 - Each window of `LENGTH` bytes is owned by its anchor, the least-hashed string of `GRAM` bytes in it (the first of
-  equals). Equal windows have equal anchors at equal places, so an anchor is a bucket of suffixes that can be sorted by itself.
-  Neighbouring windows of one anchor form a run; a text has about one for every sixteen bytes.
-- Documents are dealt into groups. Groups list their distinct anchors, shards of the anchor space say which of them two documents hold.
-- For those anchors alone, groups send the bytes of the runs. A run whose bytes occur in a smaller document of the group is
-  covered as a whole and stays; so a passage that many documents share is sent once a group. Anchors with more than
-  `HOT_RUNS` runs are cut into single windows, which go to the shard of their own hash.
-- A shard merges runs with equal bytes, then sorts the suffixes of the anchors that still have several different runs, a block of
-  buckets at a time. Suffixes are sorted by their first `PERIOD` bytes; longer ties are resolved by ranks of a difference
-  cover sample: of each suffix and the next few bytes, one position is in the sample, whose ranks over four periods were computed
-  before. Places are counted from the anchor, so equal windows look at the same sample position. Neighbours in the sorted order are
-  compared byte by byte, and equal ones get the smallest doc_id that has them.
-
-Defined cases: a null text is empty. Texts under `LENGTH` bytes lose nothing. A null doc_id has no place in the order: its
-text removes nothing and keeps everything. Rows with one doc_id do not remove from each other. A string that occurs
-twice in the smallest document stays there both times. An empty table gives an empty result.
+  equals). Equal windows have equal anchors at equal places, so an anchor is a bucket of suffixes that can be sorted
+  by itself. Neighbouring windows of one anchor form a run; a text has about one for every sixteen bytes.
+- Documents are dealt into groups. Groups list their distinct anchors, shards of the anchor space say which of them
+  two documents hold.
+- For those anchors alone, groups send the bytes of the runs. A run whose bytes occur in a smaller document of the
+  group is covered as a whole and stays; so a passage that many documents share is sent once a group. Anchors with
+  more than `HOT_RUNS` runs are cut into single windows, which go to the shard of their own hash.
+- A shard merges runs with equal bytes, then sorts the suffixes of the anchors that still have several different
+  runs, a block of buckets at a time. Suffixes are sorted by their first `PERIOD` bytes; longer ties are resolved by
+  ranks of a difference cover sample: of each suffix and the next few bytes, one position is in the sample, whose
+  ranks over four periods were computed before. Places are counted from the anchor, so equal windows look at the
+  same sample position. Neighbours in the sorted order are compared byte by byte, and equal ones get the smallest
+  doc_id that has them.
+
+Defined cases: a null text is empty. Texts under `LENGTH` bytes lose nothing. A null doc_id has no place in the
+order: its text removes nothing and keeps everything. Rows with one doc_id do not remove from each other. A string
+that occurs twice in the smallest document stays there both times. An empty table gives an empty result.
 """
 
 import hashlib

@@ -2,18 +2,19 @@
 
 A rule is a host and a path prefix; it fits its host and every subdomain. Hosts are written from the top-level label
 down, so that a rule is a prefix of what it fits and so an interval of sorted keys. A URL is looked up under each of
-its last labels (as many as the longest rule host has), and there the interval test runs on the path alone: rule openings,
-rule closings and URL paths are sorted together and swept once. Rules with one host are nested or disjoint, so the
-stack of active rules is a depth, and the innermost active rule is the last opening at the current depth.
+its last labels (as many as the longest rule host has), and there the interval test runs on the path alone: rule
+openings, rule closings and URL paths are sorted together and swept once. Rules with one host are nested or
+disjoint, so the stack of active rules is a depth, and the innermost active rule is the last opening at the current
+depth.
 
 The sweep is a window over (host suffix, slice). Suffixes with more rows than a slice holds are cut into slices that
-each get the rules of that suffix; the number of such suffixes is bounded by rows / slice size and checked before they
-are broadcast. Only DataFrame functions are used.
+each get the rules of that suffix; the number of such suffixes is bounded by rows / slice size and checked before
+they are broadcast. Only DataFrame functions are used.
 
-Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule. Null or empty rule hosts
-fit nothing; a null rule path counts as empty and fits every path. Of equal rules, block wins. The longest rule wins
-(characters of host and path, then more host labels, then text order). Repeated URLs are judged once and joined back, so
-every input row and column stays. Empty tables give empty results.
+Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule. Null or empty rule
+hosts fit nothing; a null rule path counts as empty and fits every path. Of equal rules, block wins. The longest
+rule wins (characters of host and path, then more host labels, then text order). Repeated URLs are judged once and
+joined back, so every input row and column stays. Empty tables give empty results.
 """
 
 from collections.abc import Iterable

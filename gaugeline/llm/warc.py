@@ -1,18 +1,19 @@
 """WARC archives: writing, normalising whole-file gzip streams to one member a record, and reading back by offset.
 
-Pages with equal payloads are stored once: the one with the largest page_id as a response, the others as revisit records
-that name it. Archives are first written the way a careless crawler does, one gzip stream over a whole file. The
-normaliser inflates such a stream once, in pieces of bounded size, cuts it into records by their Content-Length, writes
-every record as its own gzip member, and writes a sidecar index with one line of page id, offset and length for each.
-Readers then need only the index line and the bytes of one member.
-
-Files go to the folder that all executors share, through a file system named by the folder's URI, under names that no
-other attempt has; a file counts once the table of finished archives lists it. A repeated or speculative attempt
+Pages with equal payloads are stored once: the one with the largest page_id as a response, the others as revisit
+records that name it. Archives are first written the way a careless crawler does, one gzip stream over a whole file.
+The normaliser inflates such a stream once, in pieces of bounded size, cuts it into records by their Content-Length,
+writes every record as its own gzip member, and writes a sidecar index with one line of page id, offset and length
+for each. Readers then need only the index line and the bytes of one member.
+
+Files go to the folder that all executors share, through a file system named by the folder's URI, under names that
+no other attempt has; a file counts once the table of finished archives lists it. A repeated or speculative attempt
 leaves an unlisted file behind, nothing else.
 
-Defined cases: a null payload is an empty one. Payloads under `min_bytes` are always responses. Rows that share the largest page_id
-of their payload are all responses; a null page_id is a revisit if any other row of the payload has an id, and otherwise a
-response. Null URLs give no target line. Other columns of the input are not stored. An empty table gives an empty result.
+Defined cases: a null payload is an empty one. Payloads under `min_bytes` are always responses. Rows that share the
+largest page_id of their payload are all responses; a null page_id is a revisit if any other row of the payload has
+an id, and otherwise a response. Null URLs give no target line. Other columns of the input are not stored. An empty
+table gives an empty result.
 """
 
 import base64
