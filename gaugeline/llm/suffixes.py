@@ -40,8 +40,8 @@ LENGTH, GRAM = 50, 20
 STEPS = LENGTH - GRAM  # steps from the first to the last place of an anchor in a window
 GROUP_BYTES = SHARD_BYTES = 4 << 20
 PIECE_BYTES, PLACE_BITS = 2 << 20, 24
-HOT_RUNS = 20_000
-BLOCK_BYTES = 2 << 20
+HOT_RUNS = 4_000
+BLOCK_BYTES = 256 << 10
 #: A difference cover: every difference modulo the period is one of two of its members.
 PERIOD, COVER = 13, (0, 1, 3, 9)
 _TO_SAMPLE = np.array([next(d for d in range(PERIOD) if (r + d) % PERIOD in COVER) for r in range(PERIOD)])
@@ -246,10 +246,10 @@ def equal_windows(pieces: list[bytes], offsets: np.ndarray) -> tuple[np.ndarray,
     begins = np.cumsum(sizes) - sizes
     text = np.frombuffer(b"".join(pieces) + bytes(LENGTH + PERIOD), np.uint8)
     total = int(sizes.sum())
-    piece = np.repeat(np.arange(len(pieces)), sizes)
-    place = np.arange(total) - begins[piece]
-    residue = (place - offsets[piece]) % PERIOD
-    left = sizes[piece] - place  # bytes to the end of the piece
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+    place = np.arange(total, dtype=np.int32) - begins.astype(np.int32)[piece]
+    residue = ((place - offsets.astype(np.int32)[piece]) % PERIOD).astype(np.int8)
+    left = sizes.astype(np.int32)[piece] - place  # bytes to the end of the piece
 
     def limited(at: np.ndarray) -> list[np.ndarray]:
         first, second = _words(text, at)
@@ -274,8 +274,8 @@ def equal_windows(pieces: list[bytes], offsets: np.ndarray) -> tuple[np.ndarray,
     ordered = window[order]
     same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
     near = np.flatnonzero(same)
-    for at in range(0, len(near), 1 << 16):
-        part = near[at : at + (1 << 16)]
+    for at in range(0, len(near), 1 << 14):
+        part = near[at : at + (1 << 14)]
         bytes_of = lambda p: text[p[:, None] + np.arange(LENGTH)]
         same[part] = (bytes_of(ordered[part]) == bytes_of(ordered[part + 1])).all(axis=1)
     classes = np.empty(len(window), np.int64)
