@@ -39,7 +39,7 @@ from gaugeline.llm.tokens import from_planes, joined_planes, planes, prefix_sums
 LENGTH, GRAM = 50, 20
 STEPS = LENGTH - GRAM  # steps from the first to the last place of an anchor in a window
 GROUP_BYTES = SHARD_BYTES = 4 << 20
-PIECE_BYTES, PLACE_BITS = 2 << 20, 24
+PIECE_BYTES, PLACE_BITS = 256 << 10, 24
 HOT_RUNS = 4_000
 BLOCK_BYTES = 256 << 10
 #: A difference cover: every difference modulo the period is one of two of its members.

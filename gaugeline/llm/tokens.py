@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = []
