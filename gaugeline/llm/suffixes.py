@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.llm.common import table
-from gaugeline.llm.tokens import from_planes, joined_planes, planes, prefix_sums, span_hashes
+from gaugeline.llm.tokens import from_planes, joined_planes, mixed, planes, prefix_sums, span_hashes
 
 LENGTH, GRAM = 50, 20
 STEPS = LENGTH - GRAM  # steps from the first to the last place of an anchor in a window
@@ -105,7 +105,9 @@ def runs_of(texts: list[bytes]) -> Runs:
         start, place = window[first], anchor[first]
         part = np.searchsorted(begins, start, side="right") - 1
         count = np.diff(first, append=len(window))
-        found.append((rows[part], start - begins[part] + places[part], count, place - start, hashes[place]))
+        # The least hashes are small numbers; mixed again, they spread evenly over the shards.
+        anchors = mixed(hashes[place])
+        found.append((rows[part], start - begins[part] + places[part], count, place - start, anchors))
     if not found:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none, none.astype(np.uint64))
