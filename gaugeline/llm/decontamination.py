@@ -1,11 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: seeds of word pairs and Smith-Waterman alignment.
 
-The n-grams of three words of the test items are counted over all documents. Seeds are the n-grams that hardly any
-document has (at most five occurrences, and one for every million n-grams), and of every three n-grams that follow
-each other in an item the rarest. So any five unchanged words of an item hold a seed, however often it leaked, and
-common phrases are seeds only where nothing rarer is near. A document that holds a seed is aligned with the item
-around it, word by word: a match gives 2, a mismatch or a gap costs 1. A copy counts if its score reaches `least`
-(one half) of the item's own, which edits and paraphrases of about a third of the words still do.
+A match gives 2, a mismatch or a gap costs 1, and a copy counts if its alignment reaches `least` (one half) of the
+item's own score. Seeds lose none of these copies. An alignment of m words with costs of c scores 2 m - c, so if it
+reaches half of the score of n words, at least s = (n - 1) // 2 of its steps from one matched word to the next cost
+no more than 1: both words are at distance 1 or 2 in the item, and at distance 1 or 2 in the document. The pairs of
+words at these distances are counted over all documents. Each item leaves out those s - 1 first words whose pairs are
+most frequent; a copy holds a pair of the others, however often the item leaked. Around its pairs a document is
+aligned with the item, as far as an alignment can drift, unless too few words agree to reach the score.
 
 Items are read in blocks of at most `BLOCK_ITEMS` items and `BLOCK_BYTES` bytes; a block travels to the tasks with
 its seeds, and all documents meet all blocks. Documents stay where they are: no shuffle depends on how often an item
@@ -27,8 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from gaugeline.llm.common import fresh_name, table
 from gaugeline.llm.tokens import ALPHANUMERIC, batches_of, mixed, words_of
 
-GRAM, RUN = 3, 3
-RARE, RARE_SHARE = 5, 1e-6
+LEAST_WORDS = 3
 MATCH, COST, LEAST = 2, 1, 0.5
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8 << 20
 FOUND = "array<struct<item_id:bigint,similarity:double,score:int,first_word:int,last_word:int>>"
@@ -42,15 +42,15 @@ def _lower(texts: list[str | None]) -> list[bytes]:
     return [(t or "").lower().encode() for t in texts]
 
 
-def grams(hashes: np.ndarray) -> np.ndarray:
-    """Hashes of the n-grams that begin at each word, for words in a row."""
-    n = len(hashes) - GRAM + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(GRAM):
-        out = mixed(out * np.uint64(3) + hashes[i : i + n])
-    return out
+def word_pairs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the pairs of words at distance 1 and 2, for words in a row, and the place of each pair's first word."""
+    parts = [mixed(mixed(hashes[:-d]) * np.uint64(3) + hashes[d:]) for d in (1, 2)]
+    return np.concatenate(parts), np.concatenate([np.arange(len(x)) for x in parts])
+
+
+def fewest_steps(n: int, least: float) -> int:
+    """How many steps of cost 0 or 1 a copy of `n` words has that reaches `least` of the item's score."""
+    return max(1, int(np.ceil(least * n - 1)))
 
 
 class Lookup:
@@ -72,7 +72,7 @@ class Lookup:
 
 @dataclass
 class Block:
-    """Items of a block: ids, hashes of their words, and their n-grams as (hash, item, place)."""
+    """Items of a block: ids, hashes of their words, and their pairs as (hash, item, place)."""
 
     ids: list[int | None]
     words: list[np.ndarray]
@@ -85,9 +85,9 @@ def make_block(items: list[tuple[int | None, str]]) -> Block:
     ids, words, parts = [], [], []
     for item_id, text in items:
         found = words_of(_lower([text]), ALPHANUMERIC).hashes
-        if len(found) >= GRAM:
-            g = grams(found)
-            parts.append((g, np.full(len(g), len(ids)), np.arange(len(g))))
+        if len(found) >= LEAST_WORDS:
+            g, place = word_pairs(found)
+            parts.append((g, np.full(len(g), len(ids)), place))
             ids.append(item_id)
             words.append(found)
     columns = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0, int)]
@@ -107,54 +107,53 @@ def item_blocks(items: DataFrame, most: int = BLOCK_ITEMS) -> Iterator[Block]:
         yield make_block(held)
 
 
-def _document_grams(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(number of the first text, word hashes, text of each word, n-gram hashes) in runs of texts.
+def _document_pairs(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of the first text, word hashes, text of each word, pair hashes, first word of each pair) in runs of texts.
 
-    An n-gram that crosses texts has the hash 0.
+    A pair that crosses texts has the hash 0.
     """
     for first, part in batches_of(texts):
         w = words_of(part, ALPHANUMERIC)
-        g = grams(w.hashes)
+        g, place = word_pairs(w.hashes)
         if len(g):
-            g[w.owner[GRAM - 1 :] != w.owner[: len(g)]] = 0
-        yield first, w.hashes, w.owner, g
+            g[np.concatenate([w.owner[d:] != w.owner[:-d] for d in (1, 2)])] = 0
+        yield first, w.hashes, w.owner, g, place
 
 
-def gram_counts(docs: DataFrame, block: Block, text: str = "text") -> tuple[np.ndarray, int]:
-    """How often each n-gram of the block occurs in all documents, in the order of its unique hashes, and all n-grams."""
+def pair_counts(docs: DataFrame, block: Block, text: str = "text") -> np.ndarray:
+    """How often each pair of the block occurs in all documents, in the order of its unique hashes."""
     keys = np.unique(block.hashes)
     state: list[Lookup] = []
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not state:
             state.append(Lookup(keys))
-        total, every = np.zeros(len(keys), np.int64), 0
+        total = np.zeros(len(keys), np.int64)
         for batch in batches:
-            for _, _, _, g in _document_grams(_lower(batch["text"].to_pylist())):
-                every += len(g)
+            for *_, g, _ in _document_pairs(_lower(batch["text"].to_pylist())):
                 total += np.bincount(state[0].find(g)[1], minlength=len(keys))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], every))], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
-    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-    counts = np.zeros(len(keys) + 1, np.int64)
-    for row in rows.collect():  # at most one row for each n-gram of the block, and -1 for all
-        counts[row["gram"]] = row["n"]
-    return counts[:-1], int(counts[-1])
+    rows = docs.select(F.col(text).alias("text")).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = np.zeros(len(keys), np.int64)
+    for row in rows.collect():  # at most one row for each pair of the block
+        counts[row["pair"]] = row["n"]
+    return counts
 
 
-def rare_seeds(block: Block, counts: np.ndarray, total: int) -> Block:
-    """The block with its rare n-grams, and the rarest of every `RUN` in a row, as its only n-grams."""
+def sure_seeds(block: Block, counts: np.ndarray, least: float = LEAST) -> Block:
+    """The block with those pairs as its only ones of which every copy that reaches `least` has one."""
     frequency = counts[np.searchsorted(np.unique(block.hashes), block.hashes)]
-    chosen = frequency <= RARE + RARE_SHARE * total
+    chosen = np.ones(len(block.hashes), bool)
     sizes = np.bincount(block.item, minlength=len(block.ids))
     begin = 0
-    for n in sizes.tolist():
-        rank = np.lexsort((block.hashes[begin : begin + n], frequency[begin : begin + n]))
-        order = np.empty(n, int)
-        order[rank] = np.arange(n)
-        for at in range(max(1, n - RUN + 1)):
-            chosen[begin + at + int(order[at : at + RUN].argmin())] = True
+    for words, n in zip(block.words, sizes.tolist(), strict=True):
+        spare = fewest_steps(len(words), least) - 1
+        if spare:
+            place = block.place[begin : begin + n]
+            load = np.bincount(place, frequency[begin : begin + n])
+            chosen[begin : begin + n] = ~np.isin(place, np.argsort(-load, kind="stable")[:spare])
         begin += n
     by_hash = np.flatnonzero(chosen)[np.argsort(block.hashes[chosen], kind="stable")]
     return Block(block.ids, block.words, block.hashes[by_hash], block.item[by_hash], block.place[by_hash])
@@ -185,36 +184,41 @@ class Finder:
         self.keys, self.begins = np.unique(seeds.hashes, return_index=True)
         self.ends = np.append(self.begins[1:], len(seeds.hashes))
         self.lookup = Lookup(self.keys)
+        self.sizes = np.array([len(w) for w in seeds.words], np.int64)
+        # The costs of a copy, and so its drift, are at most the score of all its words less the score it must reach.
+        self.drift = np.ceil((1 - least) * MATCH * self.sizes).astype(np.int64)
+        self.needed = np.ceil(least * self.sizes).astype(np.int64)
 
     def _passages(self, at: np.ndarray, key: np.ndarray, owner: np.ndarray):
         """(text, item, first word, past the last word) around seeds, near ones joined."""
-        spans = []
-        for p, k in zip(at.tolist(), key.tolist(), strict=True):
-            for s in range(self.begins[k], self.ends[k]):
-                item, q = int(self.seeds.item[s]), int(self.seeds.place[s])
-                size = len(self.seeds.words[item])
-                slack = size // 2 + 2
-                spans.append((int(owner[p]), item, p - q - slack, p - q + size + slack))
-        spans.sort()
-        joined: list[list[int]] = []
-        for text, item, begin, end in spans:
-            if joined and joined[-1][:2] == [text, item] and begin <= joined[-1][3]:
-                joined[-1][3] = max(joined[-1][3], end)
-            else:
-                joined.append([text, item, begin, end])
-        return joined
+        sizes = self.ends[key] - self.begins[key]
+        s = np.repeat(self.begins[key], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        item, begin, text = self.seeds.item[s], np.repeat(at, sizes) - self.seeds.place[s], np.repeat(owner[at], sizes)
+        slack = self.drift[item]
+        begin, end = begin - slack, begin + self.sizes[item] + slack
+        order = np.lexsort((begin, item, text))
+        text, item, begin, end = text[order], item[order], begin[order], end[order]
+        # All passages of an item are equally long, so ends are in order too.
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] > end[:-1])
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(text)) - 1
+        return zip(text[first].tolist(), item[first].tolist(), begin[first].tolist(), end[last].tolist(), strict=True)
 
     def find(self, texts: list[str | None]) -> list[list[dict]]:
         found: list[dict[int, dict]] = [{} for _ in texts]
-        for first, words, owner, g in _document_grams(_lower(texts)):
+        for first, words, owner, g, place in _document_pairs(_lower(texts)):
             at, key = self.lookup.find(g)
             if not len(at):
                 continue
+            at = place[at]
             text_begins = np.searchsorted(owner, np.arange(int(owner[-1]) + 2))
             for text, item, begin, end in self._passages(at, key, owner):
                 low, high = int(text_begins[text]), int(text_begins[text + 1])
                 begin, end = max(begin, low), min(end, high)
                 own = self.seeds.words[item]
+                if np.isin(own, words[begin:end]).sum() < self.needed[item]:
+                    continue
                 score, last_item, last = align(own, words[begin:end])
                 known = found[first + text].get(item)
                 if score < self.least * MATCH * len(own) or known and known["score"] >= score:
@@ -240,16 +244,16 @@ def copies_column(seeds: Block, text: str, least: float = LEAST) -> Column:
     return F.arrow_udf(find, FOUND)(F.col(text))
 
 
-def seed_blocks(docs: DataFrame, items: DataFrame, text: str = "text") -> Iterator[Block]:
+def seed_blocks(docs: DataFrame, items: DataFrame, text: str = "text", least: float = LEAST) -> Iterator[Block]:
     for block in item_blocks(items):
         if block.ids:
-            yield rare_seeds(block, *gram_counts(docs, block, text))
+            yield sure_seeds(block, pair_counts(docs, block, text), least)
 
 
 def find_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, item_id, similarity, score, first_word, last_word) of `docs` (doc_id, text) and `items` (item_id, text)."""
     found = None
-    for seeds in seed_blocks(docs, items):
+    for seeds in seed_blocks(docs, items, "text", least):
         hits = docs.select("doc_id", copies_column(seeds, "text", least).alias("found")).filter(F.size("found") > 0)
         rows = hits.select("doc_id", F.inline("found"))
         found = rows if found is None else found.unionByName(rows)
@@ -261,7 +265,7 @@ def find_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Data
 
 def without_copies(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """`docs` without those that hold a copy of an item; columns stay."""
-    for seeds in seed_blocks(docs, items):
+    for seeds in seed_blocks(docs, items, "text", least):
         name = fresh_name(docs, "_copies")
         docs = docs.withColumn(name, copies_column(seeds, "text", least)).filter(F.size(name) == 0).drop(name)
     return docs
