@@ -556,7 +556,9 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
 
 
 def _present(name: str) -> bool:
-    return importlib.util.find_spec(name) is not None
+    """True for a module or package with files; a folder left behind without any is none."""
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -565,10 +567,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         from gaugeline.llm.queries import QUERIES
 
         found |= QUERIES
-    if _present("corpus_pipeline"):
-        import corpus_pipeline
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
 
-        found["pipeline"] = corpus_pipeline.run
+            found["pipeline"] = corpus_pipeline.run
     return found
 
 
@@ -580,8 +582,8 @@ def oracle_sql() -> dict[str, str]:
         from gaugeline.llm.queries import ORACLES as MORE
 
         found |= MORE
-    if _present("corpus_pipeline"):
-        import corpus_pipeline
+        if _present("corpus_pipeline"):
+            import corpus_pipeline
 
-        found |= {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+            found |= {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return found

@@ -6,7 +6,7 @@ columns of documents; in the runs each result is written as Parquet and read aga
 - language: a conditional random field, fitted on a bounded sample of labelled rows, drops texts without a letter
   and texts that no language clearly leads (mean word posterior under 0.3).
 - near_duplicates: one document of each group of near copies stays, the one with the smallest doc_id; documents are linked
-  if their sets of five-word shingles have a Jaccard similarity of 0.8 or more, and groups are components of links.
+  if their SimHash fingerprints of three-word shingles differ in 3 bits or fewer, and groups are components of links.
 - decontaminate: documents that hold a copy of a benchmark item go.
 - mix: rows are repeated or left out by dependent rounding so that sources reach their target words.
 - shards: rows get a shard of nearly equal bytes and a gapless slot; equal texts share a shard.
@@ -18,8 +18,8 @@ from gaugeline.llm.common import new_folder, table
 from gaugeline.llm.decontamination import without_copies
 from gaugeline.llm.language import known_language
 from gaugeline.llm.mixing import copied_documents
-from gaugeline.llm.near import keep_one
 from gaugeline.llm.sharding import shard_documents
+from gaugeline.llm.simhash import keep_one
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
