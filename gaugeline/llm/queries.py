@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import chunking, decontamination, language, language_model, mixing, phrases, sharding, simhash, suffixes, urls, warc
+from gaugeline.llm import chunking, decontamination, language, language_model, mixing, negatives, phrases, sharding, simhash, suffixes, urls, warc
 
 QUERIES = {
     q.__name__: q
@@ -15,7 +15,8 @@ QUERIES = {
         mixing.op8_source_mix,
         warc.op9_warc,
         sharding.op10_shards,
+        negatives.op11_hard_negatives,
         phrases.op13_collocations,
     )
 }
-ORACLES = {"op3_url_filters": urls.SQL, "op9_warc": warc.SQL, "op13_collocations": phrases.SQL}
+ORACLES = {"op3_url_filters": urls.SQL, "op9_warc": warc.SQL, "op11_hard_negatives": negatives.SQL, "op13_collocations": phrases.SQL}
