@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL."""
 
-from gaugeline.llm import chunking, decontamination, language, language_model, mixing, negatives, phrases, sharding, simhash, suffixes, urls, warc
+from gaugeline.llm import chunking, decontamination, language, language_model, mixing, negatives, phrases, quality, sharding, simhash, suffixes, urls, warc
 
 QUERIES = {
     q.__name__: q
@@ -16,6 +16,7 @@ QUERIES = {
         warc.op9_warc,
         sharding.op10_shards,
         negatives.op11_hard_negatives,
+        quality.op12_quality,
         phrases.op13_collocations,
     )
 }
