@@ -21,6 +21,7 @@ from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
 from gaugeline.plans.scratch import materialize, scratch_path
 from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events, scan_readings
+from gaugeline.sources.stored import StoredTable
 from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
 from gaugeline.sources.topics import live_tail, route_readings
 from gaugeline.streaming.flow import hour_stream, minute_stream
@@ -30,6 +31,7 @@ from gaugeline.streaming.scoring import RollingScorer, start_scoring
 NOW = datetime(2024, 1, 31)
 START, STOP = datetime(2024, 1, 5, 3, 30), datetime(2024, 1, 25, 13, 15)
 THRESHOLD = 120.0
+STORED_RANGE = 2_000
 
 
 def _r(column: str, digits: int = 8) -> Column:
@@ -350,6 +352,40 @@ def changes_updated(spark, folder):
     return _applied(spark, folder).updated.withColumn("value", F.round("value", 4))
 
 
+def _changed_table(spark: SparkSession, folder: str):
+    """A stored table, changed by three batches one after the other."""
+    base = _readings(spark, folder).select("id", *reads.TABLE_COLUMNS)
+    table = StoredTable.create(spark, scratch_path(spark, "stored"), base.schema, ids_per_range=STORED_RANGE)
+    table.load(base)
+    log = materialize(_changes(base), "log")
+    done = [table.apply(log.filter(F.col("seq") == batch)) for batch in range(3)]
+    return table, done
+
+
+def changes_stored(spark, folder):
+    """The table after the changes, and the version before them, which is still there."""
+    table, _ = _changed_table(spark, folder)
+    states = [table.read(v).withColumn("state", F.lit(name)) for v, name in ((1, "before"), (table.latest(), "after"))]
+    return states[0].unionByName(states[1]).withColumn("value", F.round("value", 4))
+
+
+def changes_stored_not_found(spark, folder):
+    _, (first, second, third) = _changed_table(spark, folder)
+    return first.not_found.unionByName(second.not_found).unionByName(third.not_found)
+
+
+def appended_twice(spark, folder):
+    """Two appends to one table: ids without gaps, every row there."""
+    rows = _readings(spark, folder).select("id", "sensor_id", "ts", "value")
+    table = StoredTable.create(spark, scratch_path(spark, "stored"), rows.schema, ids_per_range=STORED_RANGE)
+    for part in (0, 1):
+        table.append(rows.filter(F.col("id") % 2 == part))
+    value = F.round(F.sum("value"), 4).alias("value_sum")
+    return table.read().agg(
+        F.count("*").alias("rows"), F.count_distinct("id").alias("ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), value
+    )
+
+
 def assigned_ids(spark, folder):
     """Appending gives every row its own id without gaps."""
     df = changes.assign_ids(_readings(spark, folder).select("sensor_id", "ts", "value"), 500)
@@ -536,6 +572,9 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     apply_changes,
     changes_not_found,
     changes_updated,
+    changes_stored,
+    changes_stored_not_found,
+    appended_twice,
     assigned_ids,
     features_raw,
     features_filled,

@@ -1,5 +1,6 @@
 """Inserts, updates and deletes by id, applied to the readings table as one batch, and ids for appended rows."""
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -75,8 +76,9 @@ def _not_found(changes: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return judged.join(known, key).filter((F.col("op") != INSERT) & ~alive).select(key, "seq")
 
 
-def assign_ids(rows: DataFrame, last_id: int, key: str = "id") -> DataFrame:
-    """Give arriving rows the ids after `last_id`, without gaps, in partition order.
+def assign_ids(rows: DataFrame, last_id: int | Callable[[int], int], key: str = "id") -> DataFrame:
+    """Give arriving rows the ids after `last_id`, without gaps, in partition order. It may be a function that reserves a
+    number of ids and returns the one before them; it is called once, when the rows have been counted.
 
     The rows are written once with their partition number and place in it, so the numbering cannot move when a task
     runs again; only one count per partition reaches the driver. Sort or range-partition `rows` first if the order of
@@ -88,6 +90,8 @@ def assign_ids(rows: DataFrame, last_id: int, key: str = "id") -> DataFrame:
     )
     kept = materialize(stamped, "arrivals")
     counts = sorted(kept.groupBy("_part").agg(F.max("_place") + 1).collect())
+    if callable(last_id):
+        last_id = last_id(sum(n for _, n in counts))
     offsets, before = [], last_id + 1
     for part, n in counts:
         offsets.append((part, before))
@@ -96,7 +100,3 @@ def assign_ids(rows: DataFrame, last_id: int, key: str = "id") -> DataFrame:
     # One row per written partition.
     numbered = kept.join(F.broadcast(table), "_part").withColumn(key, F.col("_first") + F.col("_place"))
     return numbered.select(key, *[c for c in rows.columns if c != key])
-
-
-def last_id(base: DataFrame, key: str = "id") -> int:
-    return base.agg(F.max(key)).first()[0] or 0

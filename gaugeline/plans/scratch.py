@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -80,3 +81,31 @@ def publish(df: DataFrame, path: str, staging: str) -> None:
     fs.mkdirs(target.getParent())
     if not fs.rename(_path(spark, staging)[1], target):
         raise RuntimeError(f"cannot publish {path}")
+
+
+def claim(spark: SparkSession, staging: str, target: str) -> bool:
+    """Rename the folder `staging` to `target` unless that exists: of all who try, one succeeds and hears True.
+
+    On a file system whose rename is not conditional a late folder may end up within the first one; the mark left in
+    each tells which it is, and only the winner's lies at the top.
+    """
+    mark = f"_claimed-{uuid.uuid4().hex}"
+    fs, source = _path(spark, staging)
+    fs.create(_path(spark, f"{staging}/{mark}")[1], False).close()
+    _, place = _path(spark, target)
+    if not fs.exists(place):
+        fs.mkdirs(place.getParent())
+        rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+        options = spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = getattr(rename, "NONE")
+        files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration())
+        try:
+            files.rename(source, place, options)
+        except Py4JJavaError:
+            if not fs.exists(place):  # not lost to another: a failure
+                raise
+    won = path_exists(spark, f"{target}/{mark}")
+    if not won:
+        remove_path(spark, staging)
+        remove_path(spark, f"{target}/{source.getName()}")
+    return won

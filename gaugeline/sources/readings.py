@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.schemas import READINGS_TABLE
+from gaugeline.sources.stored import StoredTable
 
 # Units of the event types that stand in for sensor types.
 EVENT_UNITS = {"click": "clicks", "error": "errors", "purchase": "EUR", "signup": "users", "view": "views"}
@@ -38,4 +38,4 @@ def load_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def scan_readings(spark: SparkSession, path: str) -> DataFrame:
     """The readings table without its id; Parquet reads only the columns and row groups a query needs."""
-    return spark.read.schema(READINGS_TABLE).parquet(path).drop("id")
+    return StoredTable(spark, path).read().drop("id")

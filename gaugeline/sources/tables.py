@@ -4,28 +4,24 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.operators.changes import assign_ids, last_id
 from gaugeline.operators.filters import in_time_range
 from gaugeline.operators.registry import latest_points
 from gaugeline.operators.validate import REQUIRED_IN_TABLE, require_columns
 from gaugeline.plans.joins import broadcast_if_small
 from gaugeline.plans.scratch import materialize, path_exists
 from gaugeline.schemas import READINGS_TABLE, SERIES_KEY
+from gaugeline.sources.stored import StoredTable
 
 
-def create_readings(spark: SparkSession, path: str) -> None:
-    """An empty readings table, unless there is one."""
-    if not path_exists(spark, path):
-        spark.createDataFrame([], READINGS_TABLE).write.parquet(path)
+def create_readings(spark: SparkSession, path: str, **options) -> StoredTable:
+    """The readings table at `path`, created empty unless there is one."""
+    return StoredTable.create(spark, path, READINGS_TABLE, **options)
 
 
 def append_readings(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """Append rows under new ids and return those that a NOT NULL column rejects."""
     checked = require_columns(rows, REQUIRED_IN_TABLE)
-    table = spark.read.schema(READINGS_TABLE).parquet(path)
-    columns = READINGS_TABLE.fieldNames()
-    numbered = assign_ids(checked.valid.select(*columns[1:]), last_id(table))
-    numbered.select(*columns).write.mode("append").parquet(path)
+    StoredTable(spark, path).append(checked.valid)
     return checked.quarantine
 
 

@@ -185,6 +185,16 @@ points AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {SERIES}, ts ORDER BY id % 2 DESC, id DESC) AS r FROM readings)
   WHERE r = 1)"""
 
+APPLIED = f"""WITH {CHANGES}
+  SELECT id, {TABLE.replace('value', 'round(value, 4) AS value')} FROM kinds WHERE kind IN (0, 19, 23, 29, 31)
+  UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 1000, 4)')} FROM kinds WHERE kind = 7
+  UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 3000, 4)')} FROM kinds WHERE kind = 13
+  UNION ALL SELECT id + 10000000000, {TABLE.replace('value', 'round(value + 2000, 4)')} FROM kinds
+    WHERE kind IN (19, 29, 31)"""
+
+NOT_FOUND = f"""WITH {CHANGES} SELECT id, CAST(1 AS BIGINT) AS seq FROM kinds WHERE kind IN (17, 37)
+  UNION ALL SELECT id + 10000000000, 0 FROM kinds WHERE kind IN (23, 29, 31)"""
+
 ORACLES = {
     "rolling_zscore": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored",
     "rolling_zscore_chunked": f"WITH {SCORED} SELECT {SCORE_COLUMNS} FROM scored",
@@ -253,18 +263,17 @@ ORACLES = {
     "latest_points": f"""WITH {READINGS} SELECT {SERIES}, h AS ts, value, CAST(h AS DATE) AS date FROM (
           SELECT *, row_number() OVER (PARTITION BY {SERIES}, h ORDER BY id DESC) AS r
           FROM (SELECT *, date_trunc('hour', ts) AS h FROM readings)) WHERE r = 1""",
-    "apply_changes": f"""WITH {CHANGES}
-        SELECT id, {TABLE.replace('value', 'round(value, 4) AS value')} FROM kinds WHERE kind IN (0, 19, 23, 29, 31)
-        UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 1000, 4)')} FROM kinds WHERE kind = 7
-        UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 3000, 4)')} FROM kinds WHERE kind = 13
-        UNION ALL SELECT id + 10000000000, {TABLE.replace('value', 'round(value + 2000, 4)')} FROM kinds
-          WHERE kind IN (19, 29, 31)""",
-    "changes_not_found": f"""WITH {CHANGES} SELECT id, CAST(1 AS BIGINT) AS seq FROM kinds WHERE kind IN (17, 37)
-        UNION ALL SELECT id + 10000000000, 0 FROM kinds WHERE kind IN (23, 29, 31)""",
+    "apply_changes": APPLIED,
+    "changes_stored": f"""SELECT *, 'after' AS state FROM ({APPLIED})
+        UNION ALL SELECT *, 'before' FROM (WITH {READINGS} SELECT id, {TABLE.replace('value', 'round(value, 4) AS value')} FROM readings)""",
+    "changes_not_found": NOT_FOUND,
+    "changes_stored_not_found": NOT_FOUND,
     "changes_updated": f"""WITH {CHANGES}
         SELECT id, {TABLE.replace('value', 'round(value + 1000, 4) AS value')} FROM kinds WHERE kind = 7
         UNION ALL SELECT id, {TABLE.replace('value', 'round(value + 3000, 4)')} FROM kinds WHERE kind = 13
         UNION ALL SELECT id + 10000000000, {TABLE.replace('value', 'round(value + 2000, 4)')} FROM kinds WHERE kind = 19""",
+    "appended_twice": """SELECT count(*) AS "rows", count(*) AS ids, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id,
+          round(sum(value), 4) AS value_sum FROM events""",
     "assigned_ids": """SELECT count(*) AS "rows", CAST(501 AS BIGINT) AS first_id, 500 + count(*) AS last_id,
           CAST(count(*) * 500 + count(*) * (count(*) + 1) / 2 AS BIGINT) AS id_sum FROM events""",
     "features_raw": f"WITH {FEATURES} SELECT {_feature_columns()} FROM features",

@@ -190,7 +190,7 @@ def test_table_rejects_missing_columns(spark, folder):
     rejected = append_readings(spark, path, rows).collect()
     assert [r["reject_reason"] for r in rejected] == ["missing sensor_type"]
     append_readings(spark, path, rows)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+    assert sorted(r["id"] for r in create_readings(spark, path).read().collect()) == [1, 2, 3, 4]
 
 
 GOOD = '{"sensor_id":"a","sensor_type":"t","location":"l","timestamp":"2024-01-01T00:00:00Z","value":1.5,"unit":"C","status":"NORMAL"'
