@@ -23,10 +23,11 @@ from gaugeline.plans.scratch import materialize, scratch_path
 from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events, scan_readings
 from gaugeline.sources.stored import StoredTable
 from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
-from gaugeline.sources.topics import live_tail, route_readings
+from gaugeline.sources.topics import live_tail, route_readings, write_topic
 from gaugeline.streaming.flow import hour_stream, minute_stream
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
+from gaugeline.streaming.stateful import start_state_scoring
 
 NOW = datetime(2024, 1, 31)
 START, STOP = datetime(2024, 1, 5, 3, 30), datetime(2024, 1, 25, 13, 15)
@@ -507,6 +508,36 @@ def stream_scored(spark, folder):
     return _ntz(_score_columns(scorer.read(spark)), "ts")
 
 
+def _event_files(spark: SparkSession, folder: str, files: int = 4) -> str:
+    """The readings as files in time order, one after the other, for a stream that takes one per micro-batch."""
+    rows = _readings(spark, folder).withColumn("ts", F.col("ts").cast("timestamp")).drop("metadata")
+    first, last = rows.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
+    path = scratch_path(spark, "files")
+    part = F.least(F.floor((F.col("ts").cast("double") - first) / (last - first) * files), F.lit(files - 1))
+    for i in range(files):
+        rows.filter(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_scored_stateful(spark, folder):
+    """Rolling scores by Spark's own state and timers, over four micro-batches."""
+    path, out = _event_files(spark, folder), scratch_path(spark, "stateful")
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+    start_state_scoring(stream, f"{out}/rows", f"{out}/checkpoint", available_now=True).awaitTermination()
+    return _ntz(_score_columns(spark.read.parquet(f"{out}/rows")), "ts")
+
+
+def stream_quarantined(spark, folder):
+    """Messages that fail the checks, as a stream writes them with the reason."""
+    path, out = scratch_path(spark, "messages"), scratch_path(spark, "quarantine")
+    _messages(spark, folder).write.parquet(path)
+    messages = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    rejected = validate.check_messages(messages.select("id", "value")).quarantine
+    options = {"path": f"{out}/rows"}
+    write_topic(rejected, "quarantine", f"{out}/checkpoint", fmt="parquet", options=options, available_now=True).awaitTermination()
+    return spark.read.parquet(f"{out}/rows").select("id", "reject_reason")
+
+
 def stream_minute_agg(spark, folder):
     _, scored = _stream_scored(spark, folder)
     df = _minute(_run(minute_stream(scored, "counts"), spark), _counted_ids())
@@ -588,6 +619,8 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     outlier_predictions,
     outlier_facts,
     stream_scored,
+    stream_scored_stateful,
+    stream_quarantined,
     stream_minute_agg,
     stream_hour_agg,
     stream_registry,

@@ -294,6 +294,8 @@ ORACLES = {
     "value_quantiles": """SELECT event_type AS sensor_type, round(quantile_cont(value, 0.1), 8) AS quantile
         FROM events GROUP BY event_type""",
     "stream_scored": f"WITH {RELEASED} SELECT {SCORE_COLUMNS} FROM released",
+    "stream_scored_stateful": f"WITH {RELEASED} SELECT {SCORE_COLUMNS} FROM released",
+    "stream_quarantined": f"WITH {JUDGED} SELECT id, reject_reason FROM judged WHERE reject_reason IS NOT NULL",
     "stream_minute_agg": f"WITH {RELEASED} "
     + _minute("released", "1 minute", COUNTED, f"HAVING w + INTERVAL 1 MINUTE <= {SEEN} - INTERVAL 2 MINUTE"),
     "stream_hour_agg": f"WITH {RELEASED} "
