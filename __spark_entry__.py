@@ -417,6 +417,12 @@ def features_filled(spark, folder):
     return _feature_columns(fill.prepare_features(_readings(spark, folder)))
 
 
+def features_filled_split(spark, folder):
+    """The same with the frame cut into 25 segments and more."""
+    readings = _readings(spark, folder)
+    return _feature_columns(fill.prepare_features(readings, fill_rows=readings.count() // 25))
+
+
 def features_filled_per_sensor(spark, folder):
     return _feature_columns(fill.prepare_features(_readings(spark, folder), scope="sensor"))
 
@@ -609,6 +615,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     assigned_ids,
     features_raw,
     features_filled,
+    features_filled_split,
     features_filled_per_sensor,
     scaler_params,
     scaled_features,

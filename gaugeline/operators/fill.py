@@ -5,28 +5,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeline.operators.rolling import FEATURES, ORDER, raw_features
-from gaugeline.plans.chunks import CHUNK, ROWS_PER_CHUNK, SPLIT, split_groups
+from gaugeline.plans.chunks import CHUNK, PLAIN, ROWS_PER_CHUNK, prefixed, same_key, split_groups
+from gaugeline.plans.joins import broadcast_if_small
+from gaugeline.plans.scan import FAN, carried_over
 
 FILL_ROWS_PER_CHUNK = 250_000
 
 
 
-def _carries(rows: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per chunk of a split group, the first value of later chunks and the last value of earlier ones."""
+def _segments(rows: DataFrame, keys: list[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per chunk of a split group the first and the last value of each column."""
     at = F.struct(*order)
     ends = []
     for c in columns:
         known = F.when(F.col(c).isNotNull(), at)
         ends += [F.min_by(c, known).alias(f"_first_{c}"), F.max_by(c, known).alias(f"_last_{c}")]
-    by_chunk = Window.partitionBy(*(keys or [F.lit(0)]))
-    before = by_chunk.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    after = by_chunk.orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
-    for c in columns:
-        carried.append(F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}"))
-        carried.append(F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}"))
-    per_chunk = rows.filter(SPLIT).groupBy(*keys, CHUNK).agg(*ends)
-    return per_chunk.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(CHUNK).alias("_c"), *carried)
+    return rows.filter(F.col(CHUNK) != PLAIN).groupBy(*keys, CHUNK).agg(*ends)
 
 
 def fill_gaps(
@@ -36,12 +30,13 @@ def fill_gaps(
     scope: str = "frame",
     sensor: str = "sensor_id",
     rows_per_chunk: int = FILL_ROWS_PER_CHUNK,
+    fan: int = FAN,
 ) -> DataFrame:
     """Fill `columns` with the next value in `order`, else the last one, else 0.
 
     scope "frame" runs over all rows, across sensors; "sensor" keeps every sensor to itself. The frame is never sorted
-    in one task: chunks are filled on their own, and what crosses a chunk border comes from a table of one row per
-    chunk.
+    in one task: chunks are filled on their own, and what crosses a chunk border comes from a scan over a table
+    of one row per chunk.
     """
     if scope not in ("frame", "sensor"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -58,12 +53,9 @@ def fill_gaps(
     )
     picks = {c: [f"_bfill_{c}", f"_ffill_{c}"] for c in columns}
     if parts.split:
-        # One row per chunk of a split group; split_groups bounds how many there are.
-        carry = F.broadcast(_carries(parts.rows, keys, order, columns))
-        cond = rows[CHUNK] == carry["_c"]
-        for k in keys:
-            cond = cond & rows[k].eqNullSafe(carry[f"_k_{k}"])
-        rows = rows.join(carry, cond & rows[SPLIT], "left")
+        carry = carried_over(_segments(parts.rows, keys, order, columns), keys, CHUNK, columns, fan)
+        carry = broadcast_if_small(prefixed(carry, [*keys, CHUNK]))
+        rows = rows.join(carry, same_key(rows, carry, [*keys, CHUNK]), "left")
         picks = {c: [f"_bfill_{c}", f"_next_{c}", f"_ffill_{c}", f"_prev_{c}"] for c in columns}
     types = dict(df.dtypes)
     filled = [

@@ -4,7 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from gaugeline.plans.chunks import CHUNK, OWN, ROWS_PER_CHUNK, SPLIT, split_groups
+from gaugeline.plans.chunks import CHUNK, OWN, ROWS_PER_CHUNK, split_groups
 from gaugeline.schemas import ALARM_STATUSES
 
 ORDER = ("ts", "id")
@@ -40,7 +40,7 @@ def rolling_zscore(
     )
     distance = F.abs(F.col("value") - F.col("rolling_mean"))
     z = F.when(F.col("rolling_std") > 0, distance / F.col("rolling_std")).otherwise(F.lit(0.0))
-    return scored.withColumn("z_score", z).filter(OWN).drop(CHUNK, OWN, SPLIT)
+    return scored.withColumn("z_score", z).filter(OWN).drop(CHUNK, OWN)
 
 
 def flag_anomalies(scored: DataFrame, z_limit: float = Z_LIMIT) -> DataFrame:
@@ -111,4 +111,4 @@ def raw_features(
         offset = value - F.col(f"rolling_mean_{n}")
         with_derived[f"deviation_from_mean_{n}"] = F.abs(offset)
         with_derived[f"z_score_{n}"] = offset / (F.col(f"rolling_std_{n}") + F.lit(EPSILON))
-    return rolled.filter(OWN).drop(CHUNK, OWN, SPLIT).withColumns(with_derived)
+    return rolled.filter(OWN).drop(CHUNK, OWN).withColumns(with_derived)

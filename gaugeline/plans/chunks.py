@@ -1,30 +1,32 @@
 """Size-bounded chunks of ordered groups.
 
 A row frame such as "this row and the 100 before it" makes Spark sort a whole group in one task. One group may hold a
-third of a 100 TB table, so groups above a bound are cut, in sort order, into chunks. Each chunk also receives the rows
-just before its start (the halo), enough to give its own rows the frames they would have in the whole group.
-
-Cut points come from a hash sample of the order columns, so neither a busy hour nor many equal times unbalances them.
-Chunks are placed by exact row counts. Both are a bounded number of small values; the rows themselves are shuffled
-once, as they would be without chunks, and a group below the bound keeps its plain plan.
+third of a 100 TB table, so groups above a bound are range-partitioned by (group, order): Spark samples the order, and
+every partition holds about as many rows, however busy an hour or a sensor is. The sorted partitions are written once,
+so every row keeps its place whatever happens to a task, and a chunk is what a run of `rows_per_chunk` places holds of a
+group. It also receives the last rows of the chunks before it (the halo), enough to give its own rows the frames they
+would have in the whole group. Those rows are found by their place, from a table of one row per chunk.
+
+A group below the bound keeps its plain plan and is neither written nor partitioned anew. Neither the number of chunks
+nor that of split groups is limited, and nothing of them passes through the driver.
 """
 
-import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from gaugeline.plans.scratch import materialize
 
 CHUNK = "_chunk"
 OWN = "_own"
-SPLIT = "_split"
+PLAIN = -1  # number of the only chunk of a group that is not split
 
 ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 10_000
-PIECES_PER_CHUNK = 8
-SAMPLES_PER_PIECE = 32
+CHUNKS_PER_RANGE, MOST_CHUNKS = 8, 256  # of a range partition: aimed at, and the numbers kept free for them
+BROADCAST_CHUNKS = 1_000_000
+_PLACE = (1 << 33) - 1  # the low bits of a row's number count within its partition
 
 
 @dataclass(frozen=True)
@@ -35,130 +37,69 @@ class Chunked:
     split: bool
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
-    """Instants as microseconds, so that cut points never pass through a local time zone."""
-    is_instant = isinstance(df.schema[name].dataType, T.TimestampType)
-    return F.unix_micros(name).alias(name) if is_instant else F.col(name)
-
-
-def _literal(values: list, dtype: T.DataType) -> Column:
-    """A constant the optimizer folds into the plan: tasks share one copy, where a join would copy it to every row."""
-
-    def plain(x):
-        return x.isoformat(timespec="microseconds") if isinstance(x, datetime) else x
-
-    return F.from_json(F.lit(json.dumps(values, default=plain)), dtype)
-
-
-def _position(cuts: Column, n_cuts: int, row: Column) -> Column:
-    """How many of the sorted `cuts` are at or below `row`: bisection by halving steps."""
-    steps = [1 << e for e in range(n_cuts.bit_length() - 1, -1, -1)]
-
-    def advance(pos: Column, step: Column) -> Column:
-        nxt = pos + step
-        return F.when((nxt <= n_cuts) & (F.get(cuts, nxt - 1) <= row), nxt).otherwise(pos)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), advance)
-
-
-def _destinations(counts: Sequence[int], rows_per_chunk: int, halo: int) -> list[list[int]]:
-    """For each piece of a group: the chunk it belongs to, then the later chunks that need it as halo."""
-    own, ends, seen = [], [], 0
-    for n in counts:
-        own.append(seen // rows_per_chunk)
-        seen += n
-        ends.append(seen)
-    rank = {c: i for i, c in enumerate(sorted(set(own)))}
-    dests = [[rank[c]] for c in own]
-    for i in range(1, len(counts)):
-        if dests[i][0] != dests[i - 1][0]:
-            j = i - 1
-            while j >= 0 and ends[i - 1] - ends[j] < halo:
-                dests[j].append(dests[i][0])
-                j -= 1
-    return dests
-
-
-def _nulls_first(values: Sequence) -> tuple:
-    return tuple((x is not None, x) for x in values)
+def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "_k_") -> Column:
+    """Equal keys, where nulls are equal; the right side has its keys under a prefix."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"{prefix}{k}"])
+    return cond
+
+
+def prefixed(df: DataFrame, keys: Sequence[str], prefix: str = "_k_") -> DataFrame:
+    return df.withColumnsRenamed({k: f"{prefix}{k}" for k in keys})
+
+
+def _halo_rows(stored: DataFrame, keys: list[str], halo: int) -> DataFrame:
+    """Copies of the last rows of every chunk, for the chunks whose frames reach back to them."""
+    chunks = stored.groupBy(*keys, CHUNK).agg(F.count("*").alias("_n"), F.max("_place").alias("_last"))
+    chunks = materialize(chunks, "chunks")
+    by_group = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(CHUNK)
+    between = F.lag("_n").over(by_group).isNotNull() & F.lead("_n").over(by_group).isNotNull()
+    shortest, count = chunks.select(F.when(between, F.col("_n")).alias("_n")).agg(F.min("_n"), F.count("*")).first()
+    reach = 1 if shortest is None else min(halo, 1 + math.ceil(halo / shortest))
+    later = F.collect_list(F.struct(CHUNK, "_n")).over(by_group.rowsBetween(1, reach))
+    # A later chunk, and how many rows lie between it and this one.
+    targets = F.transform(
+        later, lambda x, i: F.struct(x[CHUNK].alias("to"), F.aggregate(F.slice(later, 1, i), F.lit(0).cast("bigint"), lambda n, y: n + y["_n"]).alias("gap"))
+    )
+    ends = chunks.select(*keys, F.col(CHUNK).alias("_c"), "_last", targets.alias("_targets")).filter(F.size("_targets") > 0)
+    ends = prefixed(ends, keys)
+    ends = F.broadcast(ends) if count <= BROADCAST_CHUNKS else ends
+    tails = stored.join(ends, same_key(stored, ends, keys) & (stored[CHUNK] == ends["_c"]) & (ends["_last"] - stored["_place"] < halo))
+    wanted = F.filter("_targets", lambda t: F.col("_last") - F.col("_place") + t["gap"] < halo)
+    rest = [c for c in stored.columns if c not in (CHUNK, "_place")]
+    return tails.select(*rest, F.explode(wanted).alias("_t")).select(*rest, F.col("_t.to").alias(CHUNK), F.lit(False).alias(OWN))
 
 
 def split_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    halo: int,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-    max_chunks: int = MAX_CHUNKS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], halo: int, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> Chunked:
-    """Add CHUNK, OWN and SPLIT so that (keys, CHUNK) never holds much more than `rows_per_chunk` rows.
+    """Add CHUNK and OWN so that (keys, CHUNK) never holds much more than `rows_per_chunk` rows.
 
     `order` must tell the rows of a group apart. Callers partition their windows by (keys, CHUNK), sort by `order`, and
-    keep the OWN rows afterwards. With no keys the whole frame is one group. `rows_per_chunk` grows with the table so
-    that there are at most `max_chunks` chunks, which bounds everything that reaches the driver.
+    keep the OWN rows afterwards. Chunk numbers rise with the order. With no keys the whole frame is one group.
     """
-    keys, order = list(keys), list(order)
-    nothing = {CHUNK: F.lit(0), OWN: F.lit(True), SPLIT: F.lit(False)}
+    keys, order, columns = list(keys), list(order), df.columns
+    plain = {CHUNK: F.lit(PLAIN).cast("bigint"), OWN: F.lit(True)}
     sizes = df.groupBy(*keys).count()
-    total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
-    rows_per_chunk = max(rows_per_chunk, math.ceil((total or 0) / max_chunks))
-    if not total or largest <= rows_per_chunk:
-        return Chunked(df.withColumns(nothing), split=False)
-
-    # Fewer than total / rows_per_chunk <= max_chunks groups can be above the bound.
-    hot_keys = [r[:-1] for r in sizes.filter(F.col("count") > rows_per_chunk).collect()]
-    hot = F.broadcast(
-        df.sparkSession.createDataFrame(
-            [tuple(k) for k in hot_keys] if keys else [], T.StructType([df.schema[k] for k in keys])
-        ).toDF(*[f"_k_{k}" for k in keys])
-    )
-
-    def only_hot(rows: DataFrame) -> DataFrame:
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & rows[k].eqNullSafe(hot[f"_k_{k}"])
-        return rows.join(hot, cond, "left_semi") if keys else rows
-
-    slim = df.select(*keys, *[_sortable(df, o) for o in order])
-    piece_rows = max(1, rows_per_chunk // PIECES_PER_CHUNK)
-    every = max(1, piece_rows // SAMPLES_PER_PIECE)
-    sampled = only_hot(slim.filter(F.pmod(F.xxhash64(*order), F.lit(every)) == 0))
-    by_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-    picked = (
-        sampled.withColumn("_n", F.row_number().over(by_key))
-        .filter(F.col("_n") % max(1, round(piece_rows / every)) == 0)
-        .select(*keys, *order)
-        .distinct()
-        .collect()
-    )
-
-    # One sorted list over all split groups. Each group opens with its key and null order values, which sort first, so
-    # no piece crosses into a split group; a group that is not split falls whole into the last piece before it.
-    starts = [(*k, *[None] * len(order)) for k in hot_keys]
-    cuts = sorted({*starts, *map(tuple, picked)}, key=_nulls_first)
-    cut_type = T.StructType([T.StructField(f.name, f.dataType) for f in slim.schema.fields])
-    cut_points = _literal([dict(zip(cut_type.fieldNames(), c)) for c in cuts], T.ArrayType(cut_type))
-    piece = _position(cut_points, len(cuts), F.struct(*keys, *[_sortable(df, o) for o in order]))
-
-    located = only_hot(df.select(*keys, *order)).withColumn("_piece", piece)
-    counts = dict(located.groupBy("_piece").count().collect())
-    if not counts.get(len(cuts)):  # the last cut point is itself a row
-        raise RuntimeError(f"cut points do not fit the order columns {order}")
-    opens = set(starts)
-    dests: list[list[int]] = [[0]]
-    first = 1
-    for i in range(1, len(cuts) + 1):
-        if i == len(cuts) or cuts[i] in opens:
-            dests += _destinations([counts.get(p, 0) for p in range(first, i + 1)], rows_per_chunk, halo)
-            first = i + 1
-    targets = F.get(_literal(dests, T.ArrayType(T.ArrayType(T.IntegerType()))), F.col("_piece"))
-    is_split = F.lit(True)
-    for k in keys:
-        is_split = is_split & F.get(cut_points, F.col("_piece") - 1)[k].eqNullSafe(F.col(k))
-    rows = (
-        df.withColumn("_piece", piece)
-        .select(*df.columns, F.coalesce(is_split, F.lit(False)).alias(SPLIT), F.posexplode(targets).alias("_at", CHUNK))
-        .withColumn(OWN, F.col("_at") == 0)
-        .drop("_at")
-    )
-    return Chunked(rows, split=True)
+    hot = F.col("count") > rows_per_chunk
+    groups, hot_groups, hot_rows = sizes.agg(F.count("*"), F.count_if(hot), F.sum(F.when(hot, F.col("count")))).first()
+    if not hot_groups:
+        return Chunked(df.withColumns(plain), split=False)
+    some, rest = df, None
+    if hot_groups < groups:
+        hot_keys = prefixed(sizes.filter(hot).select(*keys), keys)
+        hot_keys = F.broadcast(hot_keys) if hot_groups <= BROADCAST_CHUNKS else hot_keys
+        some = df.join(hot_keys, same_key(df, hot_keys, keys), "left_semi")
+        rest = df.join(hot_keys, same_key(df, hot_keys, keys), "left_anti").withColumns(plain)
+    chunks = math.ceil(hot_rows / rows_per_chunk)
+    ranges = max(math.ceil(chunks / CHUNKS_PER_RANGE), min(chunks, df.sparkSession.sparkContext.defaultParallelism))
+    dealt = some.repartitionByRange(ranges, *keys, *order).sortWithinPartitions(*keys, *order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE))
+    step = F.least(F.floor(place / F.lit(rows_per_chunk)), F.lit(MOST_CHUNKS - 1))
+    number = F.spark_partition_id().cast("bigint") * MOST_CHUNKS + step
+    stored = materialize(dealt.withColumns({CHUNK: number, "_place": place}), "ranges")
+    rows = stored.select(*columns, CHUNK, F.lit(True).alias(OWN))
+    if halo:
+        rows = rows.unionByName(_halo_rows(stored, keys, halo))
+    return Chunked(rows if rest is None else rows.unionByName(rest), split=True)

@@ -278,6 +278,7 @@ ORACLES = {
           CAST(count(*) * 500 + count(*) * (count(*) + 1) / 2 AS BIGINT) AS id_sum FROM events""",
     "features_raw": f"WITH {FEATURES} SELECT {_feature_columns()} FROM features",
     "features_filled": f"WITH {_filled('')} SELECT {_feature_columns()} FROM filled",
+    "features_filled_split": f"WITH {_filled('')} SELECT {_feature_columns()} FROM filled",
     "features_filled_per_sensor": f"WITH {_filled('PARTITION BY sensor_id')} SELECT {_feature_columns()} FROM filled",
     "scaler_params": f"WITH {_filled('')} "
     + " UNION ALL ".join(

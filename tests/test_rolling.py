@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gaugeline.operators.fill import fill_gaps, prepare_features
 from gaugeline.operators.rolling import FEATURES, detect_anomalies, raw_features, rolling_zscore
 from gaugeline.plans.chunks import CHUNK, OWN, split_groups
+from gaugeline.plans.scan import carried_over
 
 
 def scored(df):
@@ -75,11 +76,28 @@ def test_chunks_are_bounded_contiguous_and_whole(spark):
     assert all(a[3] <= b[2] for a, b in zip(rows, rows[1:]))
 
 
-def test_cut_points_are_folded_into_the_plan(spark):
-    df = frame(spark, random_readings(500))
-    rows = split_groups(df, ["sensor_id"], ["ts", "id"], halo=5, rows_per_chunk=50).rows
-    plan = rows._jdf.queryExecution().optimizedPlan().toString()
-    assert "from_json" not in plan and "Join" not in plan
+def test_small_groups_keep_their_plain_plan(spark):
+    df = frame(spark, random_readings(2000, hot=0.9))
+    rows = split_groups(df, ["sensor_id"], ["ts", "id"], halo=5, rows_per_chunk=300).rows
+    assert {r["sensor_id"] for r in rows.filter(F.col(CHUNK) >= 0).select("sensor_id").distinct().collect()} == {"hot"}
+    plain = rows.filter(F.col(CHUNK) < 0)
+    assert plain.filter("sensor_id = 'hot'").isEmpty() and plain.filter(~F.col(OWN)).isEmpty()
+
+
+@pytest.mark.parametrize("fan", [2, 3, 100])
+def test_values_are_carried_over_levels_of_segments(spark, fan):
+    rng = np.random.default_rng(fan)
+    rows = [
+        (k, at, *(None if rng.random() < 0.7 else float(rng.integers(100)) for _ in range(2)))
+        for k in ("a", None) for at in sorted(rng.choice(200, 60, replace=False).tolist())
+    ]
+    rows = [(k, at, x, x if y is None or x is None else y) for k, at, x, y in rows]  # a segment has both ends or none
+    df = spark.createDataFrame(rows, "k string, at int, _first_v double, _last_v double")
+    got = {(r["k"], r["at"]): (r["_prev_v"], r["_next_v"]) for r in carried_over(df, ["k"], "at", ["v"], fan).collect()}
+    for k, at, _, _ in rows:
+        before = [y for j, t, _, y in rows if j == k and t < at and y is not None]
+        after = [x for j, t, x, _ in rows if j == k and t > at and x is not None]
+        assert got[k, at] == (before[-1] if before else None, after[0] if after else None)
 
 
 def test_equal_times_can_fill_a_group(spark):
@@ -129,7 +147,7 @@ def test_fill_runs_across_chunks_and_ends_with_zero(spark, rows_per_chunk):
     values = [None] * 7 + [1.0] + [None] * 15 + [2.0, 3.0] + [None] * 9
     rows = [(i, None if v is None else float(v), None) for i, v in enumerate(values)]
     df = spark.createDataFrame(rows, "id bigint, a double, b double").withColumn("ts", F.col("id"))
-    got = fill_gaps(df, ["a", "b"], rows_per_chunk=rows_per_chunk).orderBy("id").collect()
+    got = fill_gaps(df, ["a", "b"], rows_per_chunk=rows_per_chunk, fan=2).orderBy("id").collect()
     expected = pd.Series(values, dtype=float).bfill().ffill().fillna(0)
     assert [r["a"] for r in got] == expected.tolist()
     assert {r["b"] for r in got} == {0.0}
