@@ -9,11 +9,13 @@ Fitted on a bounded sample of labelled rows: about `documents_per_language` docu
 hash of their id, and of each `spans_per_document` spans of `span_words` words spread over its whole text. Half of
 the spans give the lexicons, the other half the weights, so lexicon features are not trained on their own words. The
 sample is fitted on the driver, its size is the product of these parameters and the number of languages. Prediction
-maps over all documents and all their words; words run in chains of at most `CHAIN_WORDS`.
+maps over all documents and all their words; words run in chains of at most `CHAIN_WORDS`. A run of more than
+`RUN_LETTERS` letters is cut into pieces, so that every letter of a script without spaces counts.
 
 Defined cases: a null text or one without a letter is `und` with score 0, and so is every text if nothing is
 labelled. Rows without a language teach nothing. Ties go to the language first in code point order. Repeated rows
-get equal answers. Columns of the input stay; the new ones have the names the caller gives.
+get equal answers. Very long texts are labelled whole, in a call of their own. An empty table gives an empty result.
+Columns of the input stay; the new ones have the names the caller gives.
 """
 
 import re
@@ -31,7 +33,8 @@ from gaugeline.plans.joins import broadcast_if_small
 
 UNKNOWN = "und"
 DOCUMENTS_PER_LANGUAGE, SPANS_PER_DOCUMENT, SPAN_WORDS = 1000, 6, 10
-SPANS_PER_CHAIN, CHAIN_WORDS = 3, 256
+SPANS_PER_CHAIN, CHAIN_WORDS, RUN_LETTERS = 3, 256, 24
+FAMILIAR, SUPPORTED = 0.75, 0.5
 FEATURES = 1 << 17
 ROUNDS, STEP, RIDGE = 60, 0.15, 2e-5
 CACHED_WORDS, CHARACTERS_PER_CALL, WORDS_AT_ONCE = 300_000, 2 << 20, 10_000
@@ -39,12 +42,16 @@ _RUN = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _RUN.findall(text.lower()) if text else []
+    """Runs of letters; a run above RUN_LETTERS is cut into pieces, which follow each other in the chain like words."""
+    runs = _RUN.findall(text.lower()) if text else []
+    if max(map(len, runs), default=0) <= RUN_LETTERS:
+        return runs
+    return [r[i : i + RUN_LETTERS] for r in runs for i in range(0, len(r), RUN_LETTERS)]
 
 
 def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
     """Hashed features of a word: affixes up to 4 letters, n-grams of 2 and 3 letters, the word, and its lexicons."""
-    edged = f"^{word[:24]}$"
+    edged = f"^{word}$"
     names = [f"w{word}"]
     names += [f"p{word[:n]}" for n in range(1, min(4, len(word)) + 1)]
     names += [f"s{word[-n:]}" for n in range(1, min(4, len(word)) + 1)]
@@ -157,12 +164,13 @@ class Labeller:
 
     def __init__(self, field: Field):
         self.field = field
+        self.taught = field.weights.any(axis=1)
         self.forget()
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.field.labels)), np.float32)
-        self.letters = np.zeros(0, bool)
+        self.letters, self.familiar = np.zeros(0, bool), np.zeros(0, bool)
 
     def word_ids(self, words: list[str]) -> np.ndarray:
         if len(self.index) > CACHED_WORDS:
@@ -173,13 +181,16 @@ class Labeller:
         fresh = list(index)[known:] if len(index) > known else []
         if fresh:
             runs = (fresh[at : at + WORDS_AT_ONCE] for at in range(0, len(fresh), WORDS_AT_ONCE))
-            new = [feature_sums([features(w, self.field.lexicon) for w in run], self.field.weights) for run in runs]
-            self.scores = np.concatenate([self.scores, *new])
+            for run in runs:
+                rows = [features(w, self.field.lexicon) for w in run]
+                self.scores = np.concatenate([self.scores, feature_sums(rows, self.field.weights)])
+                known = feature_sums(rows, self.taught[:, None].astype(np.float32))[:, 0] / [len(r) for r in rows]
+                self.familiar = np.concatenate([self.familiar, known >= FAMILIAR])
             self.letters = np.concatenate([self.letters, [any(c.isalpha() for c in w) for w in fresh]])
         return ids
 
-    def posteriors(self, texts: list[str | None]) -> tuple[list[list[str]], list[np.ndarray]]:
-        """Words of each text that have a letter, and their posteriors."""
+    def posteriors(self, texts: list[str | None]) -> tuple[list[list[str]], list[np.ndarray], list[np.ndarray]]:
+        """Words of each text that have a letter, their posteriors, and whether most of their features were learned."""
         found = [words_of(t) for t in texts]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = self.word_ids([w for words in found for w in words])
@@ -190,18 +201,21 @@ class Labeller:
             found = [[w for w in words if any(c.isalpha() for c in w)] for words in found]
         counts = np.bincount(owner, minlength=len(found))
         if not len(ids):
-            return found, [np.zeros((0, len(self.field.labels)))] * len(found)
+            return found, [np.zeros((0, len(self.field.labels)))] * len(found), [np.zeros(0, bool)] * len(found)
         whole, rest = counts // CHAIN_WORDS, counts % CHAIN_WORDS
         chains = [x for w, r in zip(whole.tolist(), rest.tolist(), strict=True) for x in [CHAIN_WORDS] * w + [r] * (r > 0)]
         posterior, _, _ = forward_backward(
             self.scores[ids].astype(np.float64), np.array(chains), self.field.transitions, self.field.start
         )
-        return found, np.split(posterior, np.cumsum(counts)[:-1])
+        ends = np.cumsum(counts)[:-1]
+        return found, np.split(posterior, ends), np.split(self.familiar[ids], ends)
 
-    def documents(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [], []
+    def documents(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Language and score of each text, and the share of its words that look like any learned language."""
+        names, scores, shares = [], [], []
         for part in _parts(texts):
-            for p in self.posteriors(part)[1]:
+            for p, familiar in zip(*self.posteriors(part)[1:], strict=True):
+                shares.append(float(familiar.mean()) if len(p) else 0.0)
                 if not len(p):
                     names.append(UNKNOWN)
                     scores.append(0.0)
@@ -210,7 +224,7 @@ class Labeller:
                 best = int(mean.argmax())
                 names.append(self.field.labels[best])
                 scores.append(min(1.0, float(mean[best])))
-        return names, scores
+        return names, scores, shares
 
 
 def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:
@@ -260,21 +274,25 @@ def learn(
     return fit([(label, words) for _, _, label, words in found])
 
 
-def with_language(docs: DataFrame, field: Field | None, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """`docs` with the predicted language and its score."""
+def with_language(
+    docs: DataFrame, field: Field | None, text: str = "text", language: str = "lang_pred", score: str = "score", support: str | None = None
+) -> DataFrame:
+    """`docs` with the predicted language and its score, and with the share of familiar words if that is named."""
     if field is None:
-        return docs.withColumns({language: F.lit(UNKNOWN), score: F.lit(0.0)})
+        return docs.withColumns({language: F.lit(UNKNOWN), score: F.lit(0.0), **({support: F.lit(0.0)} if support else {})})
     state: list[Labeller] = []
 
     def predict(texts: pa.Array) -> pa.Array:
         if not state:
             state.append(Labeller(field))
-        names, scores = state[0].documents(texts.to_pylist())
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["language", "score"])
+        names, scores, shares = state[0].documents(texts.to_pylist())
+        columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(shares, pa.float64())]
+        return pa.StructArray.from_arrays(columns, ["language", "score", "support"])
 
-    found = F.arrow_udf(predict, "struct<language:string,score:double>")(F.col(text))
+    found = F.arrow_udf(predict, "struct<language:string,score:double,support:double>")(F.col(text))
     name = fresh_name(docs, "_found")
-    return docs.withColumn(name, found).withColumns({language: F.col(f"{name}.language"), score: F.col(f"{name}.score")}).drop(name)
+    new = {language: F.col(f"{name}.language"), score: F.col(f"{name}.score"), **({support: F.col(f"{name}.support")} if support else {})}
+    return docs.withColumn(name, found).withColumns(new).drop(name)
 
 
 def op1_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,9 +302,13 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return with_language(held, field).drop("text")
 
 
-def known_language(docs: DataFrame, at_least: float = 0.3) -> DataFrame:
-    """`docs` without those whose language is unknown or whose words name no language clearly."""
+def known_language(docs: DataFrame, at_least: float = SUPPORTED) -> DataFrame:
+    """`docs` without those that have no letter, or fewer than `at_least` of their words in any learned language.
+
+    A word is familiar if three quarters of its affixes, n-grams and lexicons occurred in the sample, in whatever language:
+    text that switches between languages stays, however many there are, and letters without order go.
+    """
     field = learn(docs.filter(remainder("doc_id") != 0))
-    language, score = fresh_name(docs, "_language"), fresh_name(docs, "_score")
-    found = with_language(docs, field, language=language, score=score)
-    return found.filter((F.col(language) != UNKNOWN) & (F.col(score) >= at_least)).drop(language, score)
+    language, score, support = (fresh_name(docs, c) for c in ("_language", "_score", "_support"))
+    found = with_language(docs, field, language=language, score=score, support=support)
+    return found.filter((F.col(language) != UNKNOWN) & (F.col(support) >= at_least)).drop(language, score, support)

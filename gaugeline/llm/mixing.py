@@ -174,13 +174,22 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
 
 
 def copied_documents(docs: DataFrame) -> DataFrame:
-    """`docs` with every row as often as the mix takes it, columns unchanged."""
-    mixed = mix_sources(docs).groupBy("doc_id", "fingerprint", "source").agg(F.sum("copies").alias("copies"))
+    """`docs` with every row as often as the mix takes it, columns unchanged.
+
+    Rows are told apart by all their columns, so rows that share an id and a text and differ elsewhere each get copies of
+    their own.
+    """
     digest, nth = fresh_name(docs, "_digest"), fresh_name(docs, "_nth")
-    wide = docs.withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest, "source"])
+    columns = [F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else F.col(f"`{c}`") for c, kind in docs.dtypes]
+    wide = docs.withColumn(digest, F.xxhash64(*columns))
+    sizes = wide.select("doc_id", F.col(digest).alias("fingerprint"), "source", word_count("text").alias("size"))
+    sizes = materialize(sizes, "mix-sizes")
+    mixed = mix_documents(sizes, materialize(source_targets(sizes), "mix-targets"))
+    mixed = mixed.groupBy("doc_id", "fingerprint", "source").agg(F.sum("copies").alias("copies"))
+    one = wide.dropDuplicates(["doc_id", digest, "source"])
     on = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.col("d.source").eqNullSafe(F.col("m.source"))
     on &= F.col(f"d.{digest}") == F.col("m.fingerprint")
-    joined = wide.alias("d").join(mixed.filter("copies > 0").alias("m"), on)
+    joined = one.alias("d").join(mixed.filter("copies > 0").alias("m"), on)
     each = F.explode(F.sequence(F.lit(1), F.col("m.copies"))).alias(nth)
     return joined.select(*[F.col(f"d.`{c}`") for c in docs.columns], each).drop(nth)
 

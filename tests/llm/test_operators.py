@@ -70,7 +70,7 @@ def test_code_switched_words():
         spans.append(("de", "der die und nicht mit dieser eine werden".split()[i % 3 : i % 3 + 5]))
     spans = [spans[i] for i in np.random.default_rng(2).permutation(len(spans))]
     field = language.fit(spans, 30)
-    found, posterior = language.Labeller(field).posteriors(["the of and that der die und nicht"])
+    found, posterior, _ = language.Labeller(field).posteriors(["the of and that der die und nicht"])
     assert [field.labels[i] for i in posterior[0].argmax(axis=1)] == ["en"] * 4 + ["de"] * 4
 
 
@@ -87,6 +87,25 @@ def test_language_of_awkward_documents(spark):
     assert language.known_language(df).columns == df.columns
 
 
+def test_long_runs_count_whole():
+    first, second = "a" * 14 + "bcdefghijk" + "z" * 14, "a" * 14 + "kjihgfedcb" + "z" * 14
+    pieces = language.words_of(f"one {first} two")
+    assert pieces == ["one", first[:24], first[24:], "two"]
+    sets = [{f for w in language.words_of(x) for f in language.features(w, {})} for x in (first, second)]
+    assert len(sets[0] ^ sets[1]) > 20
+
+
+def test_letters_without_order_go_and_switched_text_stays(spark):
+    rng = np.random.default_rng(0)
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source")
+    starts = {r["lang"]: " ".join(r["text"].split()[:15]) for r in docs.filter("length(text) > 400").collect()}
+    switched = " ".join(starts.values())
+    junk = " ".join("".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 5)) for _ in range(80))
+    more = [(10_000_000, "zzqx qxzz vvkk jjq xqz", None, "x"), (10_000_001, junk, None, "x"), (10_000_002, switched, None, "x")]
+    kept = {r["doc_id"] for r in language.known_language(docs.unionByName(spark.createDataFrame(more, docs.schema))).collect()}
+    assert kept == {r["doc_id"] for r in docs.collect()} | {10_000_002}
+
+
 # ---- simhash -------------------------------------------------------------------------------------------------------
 
 
@@ -482,12 +501,26 @@ def test_mix_of_awkward_documents(spark):
     assert len(got) == len(ROWS) and {r["source"] for r in got} == {r[3] for r in ROWS}
     assert all(r["copies"] == 0 for r in got if r["size"] == 0)
     rows = mixing.copied_documents(df)
-    assert rows.columns == df.columns and rows.count() == sum(r["copies"] for r in got)
+    assert rows.columns == df.columns
+    words, most = Counter(), {}
+    for r in rows.collect():
+        words[r["source"]] += len((r["text"] or "").split())
+    for r in got:
+        most[r["source"]] = max(most.get(r["source"], 0), r["size"])
+    assert all(abs(words[r["source"]] - r["target"]) <= most[r["source"]] for r in got)
     repeated = mixing.mix_sources(documents(spark, [(1, "a b", "en", "s")] * 500)).collect()
     assert len(repeated) == 500 and sum(r["copies"] for r in repeated) == 750
     assert mixing.mix_sources(empty(spark)).count() == 0
 
 
+def test_rows_that_differ_elsewhere_get_copies_of_their_own(spark):
+    df = documents(spark, [(i, "a b c", "en", "s") for i in range(4)]).withColumn("variant", F.explode(F.array(F.lit("x"), F.lit("y"))))
+    df = df.withColumn("tags", F.create_map(F.lit("k"), F.col("variant")))
+    rows = mixing.copied_documents(df).collect()
+    copies = Counter((r["doc_id"], r["variant"], r["tags"]["k"]) for r in rows)
+    assert set(copies) == {(i, v, v) for i in range(4) for v in "xy"} and set(copies.values()) <= {1, 2} and len(rows) == 12
+
+
 # ---- warc ----------------------------------------------------------------------------------------------------------
 
 
