@@ -4,7 +4,7 @@ Every stage takes (spark, docs, sf_dir) and works on all that the stage before k
 columns of documents; in the runs each result is written as Parquet and read again. The stages are in gaugeline.llm:
 
 - language: a conditional random field, fitted on a bounded sample of labelled rows, drops texts without a letter
-  and texts that no language clearly leads (mean word posterior under 0.3).
+  and texts fewer than half of whose words look like any learned language.
 - near_duplicates: one document of each group of near copies stays, the one with the smallest doc_id; documents are linked
   if their SimHash fingerprints of three-word shingles differ in 3 bits or fewer, and groups are components of links.
 - decontaminate: documents that hold a copy of a benchmark item go.
