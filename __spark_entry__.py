@@ -21,6 +21,7 @@ from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
 from gaugeline.plans.scratch import materialize, scratch_path
 from gaugeline.sources.readings import EVENT_RANGE, EVENT_UNITS, load_events, readings_from_events, scan_readings
+from gaugeline.sources.rollups import window_mean_of_points, write_points_and_rollups
 from gaugeline.sources.stored import StoredTable
 from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
 from gaugeline.sources.topics import live_tail, route_readings, write_topic
@@ -314,6 +315,15 @@ def points_window_mean(spark, folder):
     return df.withColumn("mean_value", F.round("mean_value", 8))
 
 
+def window_mean_rollup(spark, folder):
+    """The same means from hourly rollups, and points only at the ends of the range."""
+    readings, path = _readings(spark, folder), scratch_path(spark, "points")
+    for part in (0, 1):
+        write_points_and_rollups(readings.filter(F.col("id") % 2 == part), f"{path}/points", f"{path}/rollups")
+    df = window_mean_of_points(spark, f"{path}/points", f"{path}/rollups", START, STOP, "1h")
+    return df.withColumn("mean_value", F.round("mean_value", 8))
+
+
 def _changes(df: DataFrame) -> DataFrame:
     """Changes derived from the table: updates, deletes after updates or twice, inserts, and changes of unknown ids."""
     i = F.col("id")
@@ -606,6 +616,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     tail,
     points_history,
     points_window_mean,
+    window_mean_rollup,
     apply_changes,
     changes_not_found,
     changes_updated,

@@ -321,3 +321,4 @@ ORACLES = {
 ORACLES["points_window_mean"] = (
     ORACLES["window_mean"].replace(READINGS, POINTS).replace("AS e FROM readings", "AS e FROM points")
 )
+ORACLES["window_mean_rollup"] = ORACLES["points_window_mean"]
