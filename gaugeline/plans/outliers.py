@@ -1,5 +1,6 @@
 """Training and applying the outlier models of all sensor types at once, and storing them as Parquet tables."""
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -11,10 +12,11 @@ from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.rolling import FEATURES
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans.joins import broadcast_if_small
-from gaugeline.plans.scratch import materialize, path_exists
+from gaugeline.plans.scratch import claim, materialize, path_exists, remove_path, subfolders
 
 ISOLATION, DBSCAN = "isolation", "dbscan"
 TABLES = ("scaler_params", "iforest_nodes", "iforest_meta", "dbscan_meta", "sensor_stats")
+KEPT_VERSIONS = 5
 PREDICTION_SCHEMA = (
     "id bigint, sensor_id string, sensor_type string, model string, prediction bigint, score double, is_anomaly boolean"
 )
@@ -128,19 +130,40 @@ def count_anomalies(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("sensor_type", "model").agg(F.count_if("is_anomaly").alias("anomalies"))
 
 
-def save_models(models: Models, path: str) -> None:
-    for name in TABLES:
-        getattr(models, name).withColumn("saved_at", F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{path}/{name}"
-        )
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n) for n in subfolders(spark, f"{path}/versions"))
+
 
+def save_models(models: Models, path: str) -> int:
+    """Store all tables of the models as the next version, and return its number.
 
-def load_models(spark: SparkSession, path: str) -> Models:
-    """Stored models; a store without sensor statistics gives an empty table of them."""
+    A version appears whole, by one rename, so a reader during a save sees the version before; models that were loaded
+    from `path` can be saved to it. Of several who save at once, each gets a version of its own. The newest
+    KEPT_VERSIONS stay.
+    """
+    spark = models.iforest_nodes.sparkSession
+    staging = f"{path}/staging/{uuid.uuid4().hex}"
+    for name in TABLES:
+        getattr(models, name).withColumn("saved_at", F.current_timestamp()).write.parquet(f"{staging}/{name}")
+    version = max(_versions(spark, path), default=0) + 1
+    while not claim(spark, staging, f"{path}/versions/{version}", keep=True):
+        version += 1
+    for old in _versions(spark, path)[:-KEPT_VERSIONS]:
+        remove_path(spark, f"{path}/versions/{old}")
+    return version
+
+
+def load_models(spark: SparkSession, path: str, version: int | None = None) -> Models:
+    """Stored models, by default the newest; a store without sensor statistics gives an empty table of them."""
+    if version is None:
+        version = max(_versions(spark, path), default=None)
+        if version is None:
+            raise FileNotFoundError(f"no models in {path}")
+    place = f"{path}/versions/{version}"
     tables = {}
     for name in TABLES:
-        if name == "sensor_stats" and not path_exists(spark, f"{path}/{name}"):
+        if name == "sensor_stats" and not path_exists(spark, f"{place}/{name}"):
             tables[name] = spark.createDataFrame([], "sensor_id string")
         else:
-            tables[name] = spark.read.parquet(f"{path}/{name}").drop("saved_at")
+            tables[name] = spark.read.parquet(f"{place}/{name}").drop("saved_at")
     return Models(**tables)

@@ -83,10 +83,10 @@ def publish(df: DataFrame, path: str, staging: str) -> None:
         raise RuntimeError(f"cannot publish {path}")
 
 
-def claim(spark: SparkSession, staging: str, target: str) -> bool:
+def claim(spark: SparkSession, staging: str, target: str, keep: bool = False) -> bool:
     """Rename the folder `staging` to `target` unless that exists: of all who try, one succeeds and hears True.
 
-    On a file system whose rename is not conditional a late folder may end up within the first one; the mark left in
+    The folder of one who lost is removed, unless it is to be kept for another try. On a file system whose rename is not conditional a late folder may end up within the first one; the mark left in
     each tells which it is, and only the winner's lies at the top.
     """
     mark = f"_claimed-{uuid.uuid4().hex}"
@@ -106,6 +106,7 @@ def claim(spark: SparkSession, staging: str, target: str) -> bool:
                 raise
     won = path_exists(spark, f"{target}/{mark}")
     if not won:
-        remove_path(spark, staging)
+        if not keep:
+            remove_path(spark, staging)
         remove_path(spark, f"{target}/{source.getName()}")
     return won

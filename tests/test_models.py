@@ -167,6 +167,30 @@ def test_stored_models_find_obvious_outliers(spark, trained, folder):
     assert by_forest.count() == 100 and got.count() == 200
 
 
+def test_a_reader_during_a_save_sees_one_whole_version(spark, trained, folder, monkeypatch):
+    path, seen = f"{folder}/models", []
+    first = outliers.save_models(trained, path)
+    changed = replace(trained, iforest_meta=trained.iforest_meta.limit(0), dbscan_meta=trained.dbscan_meta.limit(0))
+    claimed = outliers.claim
+
+    def slow(*args, **options):
+        seen.append(outliers.load_models(spark, path).keys().count())  # all tables are written, the version is not there yet
+        return claimed(*args, **options)
+
+    monkeypatch.setattr(outliers, "claim", slow)
+    second = outliers.save_models(changed, path)
+    assert second == first + 1 and seen == [trained.keys().count()]
+    assert outliers.load_models(spark, path).keys().count() == 0
+    # Loaded models can be saved to where they came from.
+    third = outliers.save_models(outliers.load_models(spark, path, first), path)
+    assert third == second + 1 and outliers.load_models(spark, path).keys().count() == seen[0]
+    monkeypatch.setattr(outliers, "KEPT_VERSIONS", 1)
+    outliers.save_models(changed, path)
+    assert outliers._versions(spark, path) == [third + 1]
+    with pytest.raises(FileNotFoundError):
+        outliers.load_models(spark, f"{folder}/none")
+
+
 def test_only_present_models_answer(spark, trained):
     part = replace(trained, dbscan_meta=trained.dbscan_meta.filter("false"))
     got = outliers.predict(part, frame(spark, minute_frame()[:50]))
