@@ -103,6 +103,14 @@ def window_sensors(spark, folder):
     return aggregates.window_sensors(_readings(spark, folder))
 
 
+def minute_agg_bitmap(spark, folder):
+    """Sensors of each minute and of each day, counted from bitmaps; those of a day are merged from its minutes."""
+    readings = _readings(spark, folder)
+    minutes = materialize(aggregates.window_bitmaps(readings, aggregates.sensor_numbers(readings)), "bitmaps")
+    parts = [minutes, aggregates.merged_bitmaps(minutes, "1 day")]
+    return aggregates.bitmap_counts(parts[0]).unionByName(aggregates.bitmap_counts(parts[1]))
+
+
 def minute_agg_id_list_minutes(spark, folder):
     df = aggregates.minute_aggregate(_scored(spark, folder), sensor_ids="list")
     return _minute(df, F.array_join("sensor_ids", ","))
@@ -585,6 +593,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     minute_agg,
     minute_agg_numbers,
     window_sensors,
+    minute_agg_bitmap,
     minute_agg_id_list,
     minute_agg_id_list_minutes,
     hour_agg,

@@ -6,7 +6,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeline.functions.durations import parse_duration, window_bounds
+from gaugeline.operators.changes import assign_ids
 from gaugeline.operators.filters import any_of, in_time_range
+from gaugeline.plans.joins import lookup_join
 from gaugeline.schemas import SERIES_KEY
 
 PLACE = ("sensor_type", "location")
@@ -29,13 +31,14 @@ def minute_aggregate(
 
     The sensors of a window are rows of `window_sensors`. On request they become one column: sensor_ids "counts"
     gives an array of (sensor_id, n), "list" repeats every id n times (null ids are left out). Then rows are first reduced
-    to one per sensor and window, and the row of a window grows with its sensors. Works on a stream that carries a
-    watermark on `time`.
+    to one per sensor and window, and the row of a window grows with its sensors. "sketch" gives their number, estimated
+    from a sketch of bounded size (within about 2 %), as `sensors`. Works on a stream that carries a watermark on `time`.
     """
-    if sensor_ids not in ("counts", "list", "none"):
+    if sensor_ids not in ("counts", "list", "none", "sketch"):
         raise ValueError(f"unknown form of sensor ids {sensor_ids!r}")
     value = F.col("value")
-    if sensor_ids == "none":
+    if sensor_ids in ("none", "sketch"):
+        sensors = F.hll_sketch_estimate(F.hll_sketch_agg("sensor_id")).alias("sensors")
         return _flat(
             df.groupBy(F.window(time, length), *PLACE).agg(
                 F.count("*").alias("reading_count"),
@@ -44,6 +47,7 @@ def minute_aggregate(
                 F.max(value).alias("max_value"),
                 anomaly_count().alias("anomaly_count"),
                 F.stddev_samp(value).alias("stddev_value"),
+                *([sensors] if sensor_ids == "sketch" else []),
             )
         )
     per_sensor = df.groupBy(F.window(time, length), *PLACE, "sensor_id").agg(
@@ -89,6 +93,47 @@ def window_sensors(df: DataFrame, time: str = "ts", length: str = "1 minute") ->
     return _flat(counted)
 
 
+def sensor_numbers(df: DataFrame) -> DataFrame:
+    """(sensor_id, number): all sensors, numbered from 1 without gaps."""
+    return assign_ids(df.select("sensor_id").filter("sensor_id IS NOT NULL").distinct(), 0, "number")
+
+
+def window_bitmaps(df: DataFrame, numbers: DataFrame, time: str = "ts", length: str = "1 minute") -> DataFrame:
+    """Sensors of every window, type and location as bitmaps over their numbers, one for each 32,768 numbers, and the
+    readings behind them.
+
+    A bitmap has a fixed size, is built before the shuffle, and can be merged into those of longer windows; see
+    `merged_bitmaps`. Sensors without a number are left out. Works on a watermarked stream with a static `numbers`.
+    """
+    numbered = lookup_join(df, numbers, ["sensor_id"], "inner")
+    bucket, bit = F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number")
+    grouped = numbered.groupBy(F.window(time, length), *PLACE, bucket)
+    return _flat(grouped.agg(F.count("*").alias("readings"), F.bitmap_construct_agg(bit).alias("sensors")))
+
+
+def merged_bitmaps(bitmaps: DataFrame, length: str) -> DataFrame:
+    """Bitmaps of longer windows from those of shorter ones that they consist of."""
+    longer = F.window("window_start", length)
+    grouped = bitmaps.drop("window_end").groupBy(longer, *PLACE, "bucket")
+    return _flat(grouped.agg(F.sum("readings").alias("readings"), F.bitmap_or_agg("sensors").alias("sensors")))
+
+
+def bitmap_counts(bitmaps: DataFrame) -> DataFrame:
+    """Readings and the exact number of sensors per window, type and location."""
+    grouped = bitmaps.groupBy("window_start", "window_end", *PLACE)
+    return grouped.agg(F.sum("readings").alias("readings"), F.sum(F.bitmap_count("sensors")).alias("sensors"))
+
+
+def bitmap_sensors(bitmaps: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The sensors behind bitmaps, a row each."""
+    bit = F.bitmap_bit_position("number")
+    placed = numbers.select("sensor_id", F.bitmap_bucket_number("number").alias("bucket"), bit.alias("_bit"))
+    byte = F.conv(F.hex(F.substring("sensors", (F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1
+    found = lookup_join(bitmaps, placed, ["bucket"], "inner").filter(is_set)
+    return found.select("window_start", "window_end", *PLACE, "sensor_id")
+
+
 def hour_aggregate(df: DataFrame, time: str = "ts", length: str = "1 hour") -> DataFrame:
     """Count, mean, extremes and anomalies per window, type and location. Works on a watermarked stream."""
     return _flat(

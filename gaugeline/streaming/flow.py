@@ -56,7 +56,7 @@ def arrival() -> Column:
     return F.struct("kafka_timestamp", "kafka_partition", "kafka_offset")
 
 
-def minute_stream(scored: DataFrame, sensor_ids: str = "list", **options) -> DataFrame:
+def minute_stream(scored: DataFrame, sensor_ids: str = "sketch", **options) -> DataFrame:
     return minute_aggregate(scored.withWatermark("ts", MINUTE_WATERMARK), sensor_ids=sensor_ids, **options)
 
 

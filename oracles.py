@@ -204,6 +204,12 @@ ORACLES = {
     "window_sensors": f"""WITH {READINGS} SELECT w AS window_start, w + INTERVAL 1 MINUTE AS window_end, sensor_type, location,
           sensor_id, count(*) AS n FROM (SELECT *, date_trunc('minute', ts) AS w FROM readings) GROUP BY ALL""",
     "minute_agg_id_list_minutes": f"WITH {SCORED} {_minute('scored', '1 minute', LISTED)}",
+    "minute_agg_bitmap": " UNION ALL ".join(
+        f"""SELECT w AS window_start, w + INTERVAL 1 {unit} AS window_end, sensor_type, location, count(*) AS readings,
+          count(DISTINCT sensor_id) AS sensors
+        FROM (WITH {READINGS} SELECT *, date_trunc('{unit}', ts) AS w FROM readings) GROUP BY w, sensor_type, location"""
+        for unit in ("minute", "day")
+    ),
     "minute_agg_id_list": f"WITH {SCORED} {_minute('scored', '6 hours', LISTED)}",
     "hour_agg": f"WITH {SCORED} {_hour('scored')}",
     "window_mean": _means("1h", *_bucket("1 hour"), SERIES),

@@ -1,3 +1,4 @@
+import inspect
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 from gaugeline.functions.durations import Duration, parse_duration
 from gaugeline.functions.text import parse_range
 from gaugeline.operators import alerts, queries
-from gaugeline.operators.aggregates import hour_aggregate, minute_aggregate, window_mean
+from gaugeline.operators.aggregates import (
+    bitmap_counts, bitmap_sensors, hour_aggregate, merged_bitmaps, minute_aggregate, sensor_numbers, window_bitmaps, window_mean,
+)
 from gaugeline.operators.changes import apply_changes, assign_ids
 from gaugeline.operators.filters import any_of, default_range, equals, since_hours
 from gaugeline.operators.registry import latest_points, list_sensors, merge_registry, sensor_registry
@@ -15,6 +18,7 @@ from gaugeline.operators.rolling import detect_anomalies
 from gaugeline.operators.validate import REQUIRED_IN_TABLE, check_messages, decode_and_enrich
 from gaugeline.plans.joins import fits_broadcast, hot_safe_join
 from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
+from gaugeline.streaming.flow import minute_stream
 
 
 def test_durations():
@@ -286,3 +290,31 @@ def test_random_readings_aggregate_like_plain_spark(spark):
     )
     columns = ["sensor_type", "location", "reading_count", "avg_value", "min_value", "max_value", "stddev_value", "anomaly_count"]
     same_rows(merged.select("window_start", *columns), plain.select(F.col("window.start").alias("window_start"), *columns))
+
+
+def test_bitmaps_hold_the_sensors_of_windows(spark):
+    rows = [reading(i, 1.0, sensor=f"s{i % 7}" if i % 5 else None, minute=i // 10) for i in range(200)]
+    df = frame(spark, rows)
+    numbers = sensor_numbers(df)
+    assert sorted(r["number"] for r in numbers.collect()) == list(range(1, 8))
+    wide = numbers.withColumn("number", F.col("number") * 20_000)  # over several buckets
+    for table in (numbers, wide):
+        minutes = window_bitmaps(df, table)
+        for length, bitmaps in ((1, minutes), (5, merged_bitmaps(minutes, "5 minutes"))):
+            want = {}
+            for r in rows:
+                if r[1] is not None:
+                    want.setdefault(r[4].minute // length, set()).add(r[1])
+            got = {}
+            for r in bitmap_sensors(bitmaps, table).collect():
+                got.setdefault(r["window_start"].minute // length, set()).add(r["sensor_id"])
+            assert got == want
+            counts = {r["window_start"].minute // length: (r["sensors"], r["readings"]) for r in bitmap_counts(bitmaps).collect()}
+            assert counts == {w: (len(s), sum(r[1] is not None and r[4].minute // length == w for r in rows)) for w, s in want.items()}
+
+
+def test_the_running_flow_lists_no_ids(spark):
+    flagged = frame(spark, [reading(i, 1.0, sensor=f"s{i % 3}", minute=0) for i in range(9)]).withColumn("is_anomaly", F.lit(False))
+    df = minute_aggregate(flagged, sensor_ids="sketch")
+    assert df.first()["sensors"] == 3 and "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert inspect.signature(minute_stream).parameters["sensor_ids"].default == "sketch"
