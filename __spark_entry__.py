@@ -33,7 +33,7 @@ from gaugeline.streaming.stateful import start_state_scoring
 NOW = datetime(2024, 1, 31)
 START, STOP = datetime(2024, 1, 5, 3, 30), datetime(2024, 1, 25, 13, 15)
 THRESHOLD = 120.0
-STORED_RANGE = 2_000
+STORED_RANGE = 5_000
 
 
 def _r(column: str, digits: int = 8) -> Column:

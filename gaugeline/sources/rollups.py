@@ -32,8 +32,8 @@ def summed(rows: DataFrame, unit: str, time: str = "ts") -> DataFrame:
     return rows.groupBy(*SERIES_KEY, at, "date").agg(*named)
 
 
-def write_points_and_rollups(readings: DataFrame, points: str, rollups: str, time: str = "ts", arrival: str = "id") -> None:
-    """`write_points`, and the rollups of the days that `readings` touch."""
+def write_points_and_rollups(readings: DataFrame, points: str, rollups: str, time: str = "ts", arrival: str = "id", files_per_day: int = 1) -> None:
+    """`write_points`, and the rollups of the days that `readings` touch. Many series need more files a day."""
     spark = readings.sparkSession
     days = materialize(readings.select(F.to_date(time).alias("_day")).distinct(), "touched-days")
     write_points(readings, points, time, arrival)
@@ -42,7 +42,8 @@ def write_points_and_rollups(readings: DataFrame, points: str, rollups: str, tim
     rows = touched
     for name, unit in UNITS.items():
         rows = summed(rows, unit, time)
-        spread = rows.repartition("date", "sensor_id").sortWithinPartitions("date", "sensor_id", time).write.partitionBy("date")
+        spread = rows.repartition("date", F.pmod(F.xxhash64(*SERIES_KEY), F.lit(files_per_day)))
+        spread = spread.sortWithinPartitions("date", "sensor_id", time).write.partitionBy("date")
         spread.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{rollups}/{name}")
         rows = spark.read.parquet(f"{rollups}/{name}").join(broadcast_if_small(days), F.col("date").eqNullSafe(F.col("_day")), "left_semi")
 
