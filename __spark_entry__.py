@@ -9,13 +9,13 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gaugeline.operators import aggregates, alerts, changes, dbscan, fill, queries as reads, registry, rolling, validate
+from gaugeline.operators import aggregates, alerts, changes, dbscan, fill, queries as reads, registry, rolling, sketches, validate
 from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
@@ -474,6 +474,19 @@ def value_quantiles(spark, folder):
     return df.select("sensor_type", _r("quantile"))
 
 
+def quantile_by_day(spark, folder):
+    """The 0.1-quantile per type of a range of days, from stored daily sketches: whether its exact rank is within the bound."""
+    readings, path = _readings(spark, folder), scratch_path(spark, "sketches")
+    sketches.update_sketches(readings, path)
+    first, last = START.date(), STOP.date()
+    found = sketches.merged_quantile(spark.read.parquet(path), 0.1, first, last)
+    inside = readings.filter(F.to_date("ts").between(F.lit(first), F.lit(last - timedelta(days=1))))
+    slack = sketches.RANK_ERROR * F.col("n") + 1
+    within = F.col("below").cast("double") <= 0.1 * F.col("n") + slack
+    within &= F.col("up_to").cast("double") >= 0.1 * F.col("n") - slack
+    return sketches.rank_bounds(inside, found).select("sensor_type", "n", within.alias("within"))
+
+
 def forest_training(spark, folder):
     """Share of anomalies per type in the data an isolation forest was trained on: a tenth, by its threshold."""
     models = outliers.train(_readings(spark, folder), models=(outliers.ISOLATION,))
@@ -642,6 +655,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     dbscan_noise,
     dbscan_clusters,
     value_quantiles,
+    quantile_by_day,
     forest_training,
     outlier_predictions,
     outlier_facts,
