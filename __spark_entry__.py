@@ -25,6 +25,7 @@ from gaugeline.sources.rollups import window_mean_of_points, write_points_and_ro
 from gaugeline.sources.stored import StoredTable
 from gaugeline.sources.tables import append_readings, create_readings, read_points, write_points
 from gaugeline.sources.topics import live_tail, route_readings, write_topic
+from gaugeline.streaming.accounting import ProgressLog, stream_accounts
 from gaugeline.streaming.flow import hour_stream, minute_stream
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
@@ -575,6 +576,30 @@ def stream_quarantined(spark, folder):
     return spark.read.parquet(f"{out}/rows").select("id", "reject_reason")
 
 
+#: Late days come last: two files set the watermark, the others are behind it; the last one follows a restart.
+_LATE_FILES = (("2024-01-21", "2024-01-26"), ("2024-01-26", "2024-02-05"), ("2023-12-01", "2024-01-11"), ("2024-01-11", "2024-01-21"))
+
+
+def stream_dropped(spark, folder):
+    """Groups of readings that came behind the watermark, summed over the reports of two runs."""
+    readings = _readings(spark, folder).withColumn("ts", F.col("ts").cast("timestamp")).drop("metadata")
+    path, out = scratch_path(spark, "late"), scratch_path(spark, "accounts")
+    log = ProgressLog(spark, f"{out}/reports", ("late_hours",))
+    spark.streams.addListener(log)
+    try:
+        for files in (_LATE_FILES[:3], _LATE_FILES[3:]):
+            for start, stop in files:
+                part = readings.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(stop).cast("timestamp")))
+                part.coalesce(1).write.mode("append").parquet(path)
+            stream = spark.readStream.schema(readings.schema).option("maxFilesPerTrigger", 1).parquet(path).withWatermark("ts", "2 minutes")
+            counts = stream.groupBy(F.window("ts", "1 hour"), "sensor_type", "location").count()
+            writer = counts.writeStream.queryName("late_hours").format("parquet").option("path", f"{out}/rows")
+            writer.option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        log.stop()
+    return stream_accounts(spark, f"{out}/reports").select("name", "rows", "dropped")
+
+
 def stream_minute_agg(spark, folder):
     _, scored = _stream_scored(spark, folder)
     df = _minute(_run(minute_stream(scored, "counts"), spark), _counted_ids())
@@ -662,6 +687,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     stream_scored,
     stream_scored_stateful,
     stream_quarantined,
+    stream_dropped,
     stream_minute_agg,
     stream_hour_agg,
     stream_registry,

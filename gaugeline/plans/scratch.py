@@ -68,6 +68,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written aside and renamed over what is there."""
+    fs, target = _path(spark, path)
+    aside = _path(spark, f"{path.rpartition('/')[0]}/_{uuid.uuid4().hex}")[1]
+    out = fs.create(aside, True)
+    out.write(text.encode())
+    out.close()
+    fs.delete(target, False)
+    fs.rename(aside, target)
+
+
 def publish(df: DataFrame, path: str, staging: str) -> None:
     """Write `df` so that `path` either holds all of it or does not exist; an existing `path` is left alone.
 

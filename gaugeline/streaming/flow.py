@@ -14,11 +14,16 @@ from gaugeline.operators.rolling import only_anomalies
 from gaugeline.operators.validate import check_messages, decode_and_enrich
 from gaugeline.schemas import ALERT_TOPIC, HOUR_TOPIC, MINUTE_TOPIC, READING_TOPICS
 from gaugeline.sources.topics import as_messages, place_key, read_topics, write_console, write_topic
+from gaugeline.streaming.accounting import ProgressLog, stream_accounts
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
 
 MINUTE_WATERMARK = "2 minutes"
 HOUR_WATERMARK = "1 hour"
+QUERIES = (
+    "readings_scored", "sensor_registry", "quarantined_messages", "anomaly_alerts", "minute_aggregations", "hour_aggregations",
+    "anomaly_console",
+)
 
 
 @dataclass
@@ -68,8 +73,9 @@ def start_flow(spark: SparkSession, config: FlowConfig) -> list[StreamingQuery]:
     """Start scoring, registry, quarantine, alerts, minute and hour aggregates, and the console. With available_now
     the scoring is finished before the queries that read its rows start.
 
-    Messages that fail the checks go to {folder}/quarantine with the reason, wherever scoring puts them.
+    Progress reports of all of them go to {folder}/reports, see `stream_accounts`. Messages that fail the checks go to {folder}/quarantine with the reason, wherever scoring puts them.
     """
+    spark.streams.addListener(ProgressLog(spark, f"{config.folder}/reports", QUERIES))
     messages = read_topics(spark, config.source_format, config.topics, config.source_options)
     readings = identified(decode_and_enrich(messages))
     scorer = RollingScorer(config.folder)
@@ -122,8 +128,7 @@ def wait(spark: SparkSession, queries: list[StreamingQuery]) -> None:
             query.stop()
 
 
-def dropped_by_watermark(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark, over the progress reports still held."""
-    return sum(
-        int(op.get("numRowsDroppedByWatermark", 0)) for p in query.recentProgress for op in p["stateOperators"]
-    )
+def dropped_by_watermark(spark: SparkSession, reports: str, name: str) -> int:
+    """Rows of a query that arrived behind the watermark, over all its runs, from the reports that `ProgressLog` wrote."""
+    found = stream_accounts(spark, reports).filter(F.col("name") == name).first()
+    return found["dropped"] if found else 0

@@ -300,6 +300,9 @@ ORACLES = {
         SELECT sensor_type, id, id NOT IN (SELECT a FROM near WHERE b IN (SELECT a FROM core)) AS is_anomaly FROM scaled""",
     "value_quantiles": """SELECT event_type AS sensor_type, round(quantile_cont(value, 0.1), 8) AS quantile
         FROM events GROUP BY event_type""",
+    "stream_dropped": f"""WITH {READINGS} SELECT 'late_hours' AS name, (SELECT count(*) FROM readings) AS "rows", count(*) AS dropped
+        FROM (SELECT DISTINCT date_trunc('hour', ts), ts < TIMESTAMP '2024-01-11', sensor_type, location FROM readings
+              WHERE ts < TIMESTAMP '2024-01-21')""",
     "quantile_by_day": """SELECT event_type AS sensor_type, count(*) AS n, true AS within FROM events
         WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' AND value IS NOT NULL GROUP BY event_type""",
     "stream_scored": f"WITH {RELEASED} SELECT {SCORE_COLUMNS} FROM released",

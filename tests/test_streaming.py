@@ -3,6 +3,7 @@ import os
 import time
 from collections import Counter
 from datetime import timedelta
+from types import SimpleNamespace
 
 import pytest
 from helpers import COLUMNS, T0, frame, random_readings, reading, same_rows
@@ -12,6 +13,7 @@ from gaugeline.operators.aggregates import hour_aggregate, minute_aggregate
 from gaugeline.operators.registry import sensor_registry
 from gaugeline.operators.rolling import detect_anomalies
 from gaugeline.sources.topics import live_tail, read_topics, route_readings, start, write_console, write_topic
+from gaugeline.streaming.accounting import ProgressLog, progress_table
 from gaugeline.streaming.flow import FlowConfig, dropped_by_watermark, hour_stream, minute_stream, start_flow, wait
 from gaugeline.streaming.registry import RegistryKeeper
 from gaugeline.streaming.scoring import RollingScorer, start_scoring
@@ -122,9 +124,19 @@ def test_rows_behind_the_watermark_are_reported(spark, folder):
         time.sleep(0.02)
     df = spark.readStream.schema(flagged.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     writer = hour_stream(df).writeStream.format("memory").queryName("dropped").outputMode("append")
+    log = ProgressLog(spark, f"{folder}/reports", ("dropped",))
+    spark.streams.addListener(log)
     query = start(writer, "1 second", True)
     query.awaitTermination()
-    assert dropped_by_watermark(query) == 1
+    log.stop()
+    assert dropped_by_watermark(spark, f"{folder}/reports", "dropped") == 1
+    assert dropped_by_watermark(spark, f"{folder}/reports", "other") == 0
+    # A batch that is reported again replaces its report.
+    before = progress_table(spark, f"{folder}/reports").count()
+    for p in query.recentProgress:
+        log.onQueryProgress(SimpleNamespace(progress=p))
+    assert progress_table(spark, f"{folder}/reports").count() == before >= 3
+    assert dropped_by_watermark(spark, f"{folder}/reports", "dropped") == 1
 
 
 def test_registry_stream_counts_on(spark, folder):
