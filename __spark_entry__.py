@@ -258,6 +258,13 @@ def threshold_anomaly(spark, folder):
     return df.select("id", "value", "is_threshold_anomaly")
 
 
+def clamped(spark, folder):
+    """Values moved into the range of their type, in whole tenths."""
+    df = alerts.alarm_status(_readings(spark, folder), _ranges(spark))
+    value = F.round(alerts.clamp(F.col("value"), F.col("range_lo") + 20, F.col("range_hi") - 20), 1)
+    return df.select("id", "sensor_type", value.alias("value"))
+
+
 def _alerts(spark, folder):
     return alerts.build_alerts(rolling.only_anomalies(_scored(spark, folder)), _ranges(spark))
 
@@ -654,6 +661,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     routed,
     alarm_status,
     threshold_anomaly,
+    clamped,
     built_alerts,
     recent_alerts,
     sensor_registry,

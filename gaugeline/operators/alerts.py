@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.text import format_range, parse_range
 from gaugeline.operators.filters import equals, since_hours
@@ -83,9 +83,9 @@ def threshold_anomaly(df: DataFrame, limits: DataFrame) -> DataFrame:
     return joined.withColumn("is_threshold_anomaly", F.col("value") >= F.col("anomaly_threshold"))
 
 
-def clamp(value, lo, hi):
-    """Nearest value inside the range."""
-    return F.least(F.greatest(value, lo), hi)
+def clamp(value: Column, lo: Column, hi: Column) -> Column:
+    """Nearest value inside the range; a missing value stays missing, and a missing bound is none."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value, lo), hi))
 
 
 def build_alerts(anomalies: DataFrame, ranges: DataFrame, time: str = "ts") -> DataFrame:

@@ -303,6 +303,7 @@ ORACLES = {
     "stream_dropped": f"""WITH {READINGS} SELECT 'late_hours' AS name, (SELECT count(*) FROM readings) AS "rows", count(*) AS dropped
         FROM (SELECT DISTINCT date_trunc('hour', ts), ts < TIMESTAMP '2024-01-11', sensor_type, location FROM readings
               WHERE ts < TIMESTAMP '2024-01-21')""",
+    "clamped": """SELECT event_id + 1 AS id, event_type AS sensor_type, round(least(greatest(value, 21.0), 130.0), 1) AS value FROM events""",
     "quantile_by_day": """SELECT event_type AS sensor_type, count(*) AS n, true AS within FROM events
         WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' AND value IS NOT NULL GROUP BY event_type""",
     "stream_scored": f"WITH {RELEASED} SELECT {SCORE_COLUMNS} FROM released",

@@ -318,3 +318,9 @@ def test_the_running_flow_lists_no_ids(spark):
     df = minute_aggregate(flagged, sensor_ids="sketch")
     assert df.first()["sensors"] == 3 and "collect_list" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert inspect.signature(minute_stream).parameters["sensor_ids"].default == "sketch"
+
+
+def test_clamp_keeps_missing_values(spark):
+    df = spark.createDataFrame([(None, 1.0, 5.0), (0.0, 1.0, 5.0), (3.0, 1.0, 5.0), (9.0, 1.0, 5.0), (9.0, 1.0, None)], "v double, lo double, hi double")
+    got = df.select(alerts.clamp(F.col("v"), F.col("lo"), F.col("hi")).alias("v")).collect()
+    assert [r["v"] for r in got] == [None, 1.0, 3.0, 5.0, 9.0]
