@@ -1,9 +1,12 @@
 """DBSCAN on a grid, for all sensor types in one plan (after Gunawan 2013, Gan and Tao 2015).
 
-Cells are so small that all points of one are neighbours: a cell with enough points needs no distances at all. For the
-rest, points are compared with bounding boxes of the points around them instead of with the points. A box lies inside
-the radius, outside of it, or is cut into smaller boxes until it does, so no step forms the pairs of a crowded cell,
-copies of a point count as one box, and the result is exact.
+Cells are so small that all points of one are neighbours: a cell with enough points needs no distances at all. Cells are
+laid out along a space-filling curve in ranges of bounded size; a task takes a range with the blocks around it, counts
+neighbours, and links cells by union-find. Cells that several ranges saw tie their clusters together in one merge.
+
+Crowded places come as bounding boxes instead of points. A box lies inside the radius, outside of it, or is cut into
+smaller boxes until it does, so no step forms the pairs of a crowded cell, copies of a point count as one box, and the
+result is exact.
 """
 
 import math
@@ -12,7 +15,9 @@ from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
+from gaugeline.operators.ranges import judge_core, link_cells
 from gaugeline.plans.components import connected_components
 from gaugeline.plans.joins import HOT_ROWS, broadcast_if_small, hot_safe_join
 from gaugeline.plans.scratch import materialize, spread_work
@@ -24,6 +29,8 @@ NOISE = -1
 
 FIRST_LEVEL = 2  # boxes start with 4 slices of a cell per dimension
 DEEPER = 2
+LIGHT = 8  # a box of more points stands for them
+RANGE_ITEMS = 100_000  # items of a range, without the blocks around it
 
 
 class Grid:
@@ -51,6 +58,10 @@ class Grid:
         """Blocks as wide as the radius: neighbours are in the same or an adjacent block."""
         return [F.floor(F.col(f"c{i}") / self.reach).alias(f"b{i}") for i in self.dims]
 
+    def steps(self) -> Column:
+        """The steps from a block to itself and to the blocks around it."""
+        return F.array(*[F.array(*[F.lit(o) for o in step]) for step in product((-1, 0, 1), repeat=len(self.columns))])
+
     def extent(self) -> list[Column]:
         """Number of points, bounds, and the point with the smallest id as a known spot inside."""
         out = [F.count("*").alias("n"), F.min("id").alias("min_id")]
@@ -91,8 +102,7 @@ def _neighbours(grid: Grid, left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs of rows (p…, q…) with boxes at most the radius apart. Rows carry their cell; a block holds a bounded
     number of cells and a cell a bounded number of boxes, so no join key is crowded."""
     left, right = (df.select("*", *grid.blocks()) for df in (spread_work(left, left.count()), right))
-    offsets = F.array(*[F.array(*[F.lit(o) for o in step]) for step in product((-1, 0, 1), repeat=len(grid.columns))])
-    around = left.select(*grid.block).distinct().select("*", F.explode(offsets).alias("_o"))
+    around = left.select(*grid.block).distinct().select("*", F.explode(grid.steps()).alias("_o"))
     around = around.select(
         grid.group,
         *[F.col(f"b{i}").alias(f"pb{i}") for i in grid.dims],
@@ -200,35 +210,108 @@ def _linked(grid: Grid, pairs: DataFrame, points: DataFrame, boxes: DataFrame, w
     return merged.distinct()
 
 
-def _cell_labels(
-    grid: Grid, core_cells: DataFrame, points: DataFrame, core_boxes: DataFrame, without: DataFrame
-) -> DataFrame:
-    """Cluster label (its smallest core id) per cell with core points."""
-    nodes = core_cells.select(F.col("min_id").alias("node"))
-    cells = core_cells.select(grid.group, "min_id", *grid.cell[1:], *grid.bounds, *grid.spot)
-    pairs = _neighbours(grid, cells, cells).filter("pmin_id < qmin_id")
-    pairs = materialize(
-        pairs.select(
-            grid.group,
-            F.col("pmin_id").alias("a"),
-            F.col("qmin_id").alias("b"),
-            *[f"{s}c{i}" for s in "pq" for i in grid.dims],
-            grid.touch("p", "q").alias("sure"),
-        ),
-        "cell-pairs",
+def _items(grid: Grid, points: DataFrame, boxes: DataFrame, crowded: DataFrame | None, cells: DataFrame) -> DataFrame:
+    """Points as boxes of one, and the `crowded` boxes in place of their points; with their cell and whether it is dense."""
+    single = points.select(grid.group, "id", *grid.columns, *grid.slices(FIRST_LEVEL))
+    if crowded is not None:
+        single = single.join(broadcast_if_small(crowded.select(*grid.box)), grid.box, "left_anti")
+    ends = [F.col(c).alias(f"{e}{i}") for i, c in enumerate(grid.columns) for e in ("lo", "hi", "s")]
+    items = single.select(grid.group, "id", F.lit(1).cast("long").alias("n"), *ends, *grid.cells(FIRST_LEVEL))
+    if crowded is not None:
+        items = items.unionByName(crowded.withColumnRenamed("min_id", "id").select(items.columns))
+    return items.join(cells.select(*grid.cell, "dense"), grid.cell)
+
+
+def _homes(grid: Grid, items: DataFrame, range_items: int) -> DataFrame | None:
+    """Ranges (group, block, range, own): each block's own, and those of the blocks around it. None if one range holds all.
+
+    Blocks are ordered by interleaved bits of their numbers and cut into ranges of about `range_items` items.
+    """
+    placed = items.select(grid.group, *grid.blocks())
+    numbers = F.array(*grid.block[1:])
+    rows, low, high = placed.agg(F.count("*"), F.min(F.array_min(numbers)), F.max(F.array_max(numbers))).first()
+    if rows <= range_items:
+        return None
+    bits = min(16, 62 // len(grid.dims))
+    coarse = max(0, (high - low).bit_length() - bits)
+    curve = reduce(
+        lambda a, b: a + b,
+        [
+            F.shiftleft(F.shiftright(F.col(f"b{i}") - low, coarse + bit).bitwiseAND(1), bit * len(grid.dims) + i)
+            for bit in range(bits)
+            for i in grid.dims
+        ],
     )
-    labels = connected_components(nodes, pairs.filter("sure").select("a", "b"))
-    # Only pairs of cells still in different clusters need the boxes inside them.
-    roots = [labels.toDF(side, f"root_{side}") for side in "ab"]
-    still = pairs.filter("NOT sure").drop("sure").join(roots[0], "a").join(roots[1], "b").filter("root_a <> root_b")
-    still = materialize(still, "cell-pairs")
-    if not still.isEmpty():
-        more = _linked(grid, still.drop("root_a", "root_b"), points, core_boxes, without)
-        links = still.join(more, ["a", "b"], "left_semi").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
-        merged = connected_components(labels.select(F.col("root").alias("node")).distinct(), links)
-        labels = labels.join(merged.toDF("root", "_root"), "root").select("node", F.col("_root").alias("root"))
-    keyed = labels.select(F.col("node").alias("min_id"), F.col("root").alias("label"))
-    return core_cells.join(keyed, "min_id").select(*grid.cell, "label")
+    ranged = placed.withColumn("_at", curve).repartitionByRange(math.ceil(rows / range_items), grid.group, "_at")
+    ranged = ranged.withColumn("range", F.spark_partition_id()).groupBy(*grid.block).agg(F.min("range").alias("range"))
+    stepped = ranged.select("*", F.explode(grid.steps()).alias("_o"))
+    stays = reduce(lambda a, b: a & b, [F.get("_o", F.lit(i)) == 0 for i in grid.dims])
+    moved = [(F.col(f"b{i}") + F.get("_o", F.lit(i))).alias(f"b{i}") for i in grid.dims]
+    homes = stepped.select(grid.group, *moved, "range", stays.alias("own"))
+    return materialize(homes.groupBy(*grid.block, "range").agg(F.max("own").alias("own")), "homes")
+
+
+def _by_range(grid: Grid, items: DataFrame, homes: DataFrame | None):
+    if homes is None:
+        placed = items.withColumns({"range": F.lit(0), "own": F.lit(True)})
+    else:
+        placed = items.select("*", *grid.blocks()).join(homes, grid.block).drop(*grid.block[1:])
+    return placed.groupBy(grid.group, "range"), placed.schema
+
+
+def _as_points(grid: Grid, items: DataFrame) -> DataFrame:
+    """Items that are single points, as points with their cell."""
+    return items.select(grid.group, "id", *[F.col(f"lo{i}").alias(c) for i, c in enumerate(grid.columns)], *grid.cell[1:])
+
+
+def _judged(grid: Grid, items: DataFrame, homes: DataFrame | None, points: DataFrame, boxes: DataFrame, least: int) -> DataFrame:
+    """Items with `core`."""
+    rows, schema = _by_range(grid, items, homes)
+    dims, eps2, reach = len(grid.columns), grid.eps2, grid.reach
+
+    def judge(pdf):
+        return judge_core(pdf, dims, eps2, reach, least)
+
+    flags = [StructField("core", BooleanType()), StructField("cut", BooleanType())]
+    judged = materialize(rows.applyInPandas(judge, StructType([*schema, *flags])).drop("range", "own"), "judged")
+    undecided = judged.filter("cut")
+    if undecided.isEmpty():
+        return judged.drop("cut")
+    counted = _found(grid, _as_points(grid, undecided), points, boxes).groupBy("id").agg(F.sum("n").alias("_n"))
+    exact = counted.filter(F.col("_n") >= least).select("id", F.lit(True).alias("_core"))
+    judged = judged.drop("cut").join(exact, "id", "left")
+    return materialize(judged.withColumn("core", F.col("core") | F.col("_core").isNotNull()).drop("_core"), "judged")
+
+
+def _labels(grid: Grid, found: DataFrame, points: DataFrame, core_boxes, without: DataFrame) -> DataFrame:
+    """Cluster label (its smallest core id) per node and cell with core points, from what the ranges `found`."""
+    nodes = found.filter("kind = 'node'").select(grid.group, "a", "b", "own", *grid.cell[1:])
+    own = nodes.filter("own").select(*grid.cell, F.col("a").alias("node"), F.col("b").alias("root"))
+
+    def rooted(table: DataFrame, *names: str) -> DataFrame:
+        for name in names:
+            table = table.join(own.select(F.col("node").alias(name), F.col("root").alias(f"_{name}")), name)
+        return table
+
+    def merged(ties: DataFrame) -> DataFrame:
+        roots = own.select(F.col("root").alias("node")).union(ties.select("a")).union(ties.select("b")).distinct()
+        top = connected_components(materialize(roots, "roots"), materialize(ties, "ties"))
+        return own.join(top.toDF("root", "_top"), "root").withColumn("root", F.col("_top")).select(own.columns)
+
+    # A node at the border ties the root its own range gave it to those of the ranges that saw it.
+    border = nodes.filter("NOT own").select("a", F.col("b").alias("_b"))
+    if not border.isEmpty():
+        own = materialize(merged(rooted(border, "a").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()), "labels")
+    sides = [F.col(f"{s}{i}").alias(f"{to}{i}") for s, to in (("c", "pc"), ("q", "qc")) for i in grid.dims]
+    undecided = found.filter("kind = 'open'").select(grid.group, "a", "b", *sides).distinct()
+    if undecided.isEmpty():
+        return own
+    still = materialize(rooted(undecided, "a", "b").filter("_a <> _b"), "cell-pairs")
+    if still.isEmpty():
+        return own
+    more = _linked(grid, still.drop("_a", "_b"), points, core_boxes(), without)
+    ties = still.join(more, ["a", "b"], "left_semi").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    return merged(ties)
 
 
 def dbscan(
@@ -239,50 +322,66 @@ def dbscan(
     group: str = "sensor_type",
     clusters: bool = True,
     hot_rows: int = HOT_ROWS,
+    range_items: int = RANGE_ITEMS,
 ) -> DataFrame:
     """Label every point of `points` (group, id, scaled `columns`): the smallest core id of its cluster, or -1 for
     noise; a border point takes the smallest label around it. clusters=False gives is_anomaly alone and skips the
-    components. `id` must be unique over all groups.
+    links between cells. `id` must be unique over all groups.
     """
     grid = Grid(group, columns, eps)
+    dims, eps2, reach = len(grid.columns), grid.eps2, grid.reach
     points = points.select(group, "id", *columns)
     boxes = materialize(_boxes(grid, points, FIRST_LEVEL), "boxes")
-    cells = materialize(
-        boxes.groupBy(*grid.cell).agg(F.sum("n").alias("n"), (F.sum("n") >= min_points).alias("dense")), "cells"
-    )
-    placed = points.select("*", *grid.slices(FIRST_LEVEL)).select(group, "id", *columns, *grid.cells(FIRST_LEVEL))
-    placed = hot_safe_join(placed, cells.drop("n"), grid.cell, "inner", hot_rows)
-    # A sparse cell has fewer than min_points points; from here on only dense cells can be crowded.
-    sparse = materialize(placed.filter("NOT dense").drop("dense"), "sparse")
-    crowd = placed.filter("dense").select(*grid.cell, "id")
-
-    counted = _found(grid, sparse, points, boxes).groupBy(group, "id").agg(F.sum("n").alias("n"))
-    judged = materialize(
-        sparse.join(counted, [group, "id"]).withColumn("core", F.col("n") >= min_points).drop("n"), "judged"
-    )
+    cells = boxes.groupBy(*grid.cell).agg((F.sum("n") >= min_points).alias("dense"))
+    # A cell with a crowded box is dense, and holds a bounded number of items.
+    crowded = boxes.filter(F.col("n") > max(LIGHT, min_points))
+    crowded = None if crowded.isEmpty() else crowded
+    items = materialize(_items(grid, points, boxes, crowded, cells), "items")
+    homes = _homes(grid, items, range_items)
+    judged = _judged(grid, items, homes, points, boxes, min_points)
     lonely = judged.filter("NOT core")
-    lonely_ids = broadcast_if_small(lonely.select("id"))
-    core_boxes = boxes.join(cells.filter("dense").select(*grid.cell), grid.cell, "left_semi")
-    core_boxes = materialize(
-        core_boxes.unionByName(_boxes(grid, judged.filter("core"), FIRST_LEVEL)), "core-boxes"
-    )
-    reached = _found(grid, lonely, points, core_boxes, lonely_ids)
 
+    def core_boxes() -> DataFrame:
+        dense = boxes.join(cells.filter("dense").select(*grid.cell), grid.cell, "left_semi")
+        sparse = _boxes(grid, _as_points(grid, judged.filter("core AND NOT dense")), FIRST_LEVEL)
+        return materialize(dense.unionByName(sparse.select(dense.columns)), "core-boxes")
+
+    def link(pdf):
+        return link_cells(pdf, dims, eps2, reach, clusters).assign(**{group: pdf[group].iloc[0]})
+
+    rows, schema = _by_range(grid, judged, homes)
+    fields = [StructField("kind", StringType()), schema[group], *[StructField(c, LongType()) for c in ("a", "b")]]
+    fields += [StructField("own", BooleanType()), *[StructField(f"{s}{i}", LongType()) for s in "cq" for i in grid.dims]]
+    found = materialize(rows.applyInPandas(link, StructType(fields)), "found")
+    near = found.filter("kind = 'near'").select(group, F.col("a").alias("id"), F.col("b").alias("node"))
+    cut = found.filter("kind = 'cut'").select(F.col("a").alias("id"))
+    reached = None
+    if not cut.isEmpty():
+        probes = _as_points(grid, lonely.join(cut, "id", "left_semi"))
+        reached = _found(grid, probes, points, core_boxes(), broadcast_if_small(lonely.select("id")))
+
+    sliced = points.select(group, "id", *grid.columns, *grid.slices(FIRST_LEVEL)).select(group, "id", *grid.box[1:])
     if not clusters:
-        near = reached.select("id").distinct().withColumn("_near", F.lit(True))
-        single = lonely.join(near, "id", "left").select(group, "id", F.col("_near").isNull().alias("is_anomaly"))
-        core = crowd.select(group, "id").unionByName(judged.filter("core").select(group, "id"))
-        return single.unionByName(core.withColumn("is_anomaly", F.lit(False)))
-
-    ends = [e for i in grid.dims for e in (F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"))]
-    spot = [F.min_by(s, "min_id").alias(s) for s in grid.spot]
-    core_cells = core_boxes.groupBy(*grid.cell).agg(*ends, *spot, F.min("min_id").alias("min_id"))
-    core_cells = materialize(core_cells, "core-cells")
-    labels = materialize(_cell_labels(grid, core_cells, points, core_boxes, lonely_ids), "labels")
-    single = reached.join(labels, grid.cell).groupBy(group, "id").agg(F.min("label").alias("label"))
-    single = lonely.select(group, "id").join(single, [group, "id"], "left")
-    core = hot_safe_join(crowd, labels, grid.cell, "inner", hot_rows)
-    core = core.unionByName(judged.filter("core").select(*grid.cell, "id").join(labels, grid.cell))
-    every = single.unionByName(core.select(group, "id", "label"))
+        near = near.select("id") if reached is None else near.select("id").union(reached.select("id"))
+        noise = lonely.join(near, "id", "left_anti").select("id", F.lit(True).alias("_alone"))
+        every = judged.filter("n = 1").select(group, "id").join(noise, "id", "left")
+        every = every.select(group, "id", F.col("_alone").isNotNull().alias("is_anomaly"))
+        if crowded is not None:
+            inside = hot_safe_join(sliced, crowded.select(*grid.box), grid.box, "inner", hot_rows)
+            every = every.unionByName(inside.select(group, "id", F.lit(False).alias("is_anomaly")))
+        return every
+
+    labels = materialize(_labels(grid, found, points, core_boxes, broadcast_if_small(lonely.select("id"))), "labels")
+    around = near.join(labels.select("node", F.col("root").alias("label")), "node").select(group, "id", "label")
+    of_cell = labels.select(*grid.cell, F.col("root").alias("label"))
+    if reached is not None:
+        around = around.unionByName(reached.join(of_cell, grid.cell).select(group, "id", "label"))
+    around = around.groupBy(group, "id").agg(F.min("label").alias("label"))
+    every = lonely.select(group, "id").join(around, [group, "id"], "left")
+    core = judged.filter("core AND n = 1").join(of_cell, grid.cell)
+    every = every.unionByName(core.select(group, "id", "label"))
+    if crowded is not None:
+        named = crowded.select(*grid.box, *grid.cell[1:]).join(of_cell, grid.cell).select(*grid.box, "label")
+        every = every.unionByName(hot_safe_join(sliced, named, grid.box, "inner", hot_rows).select(group, "id", "label"))
     label = F.coalesce("label", F.lit(NOISE)).alias("label")
     return every.select(group, "id", label).withColumn("is_anomaly", F.col("label") == NOISE)

@@ -47,6 +47,29 @@ def test_dbscan_noise_on_mixed_densities(spark):
     check_dbscan(spark, mixed_rows(), clusters=False)
 
 
+@pytest.mark.parametrize("clusters", [True, False])
+def test_dbscan_over_many_ranges(spark, clusters):
+    """Clusters that cross ranges of a few items are one, and a chain of them too."""
+    chain = [("a", 1000 + i, 5.0 + 0.12 * i, 0.1 * (i % 3), -2.0, 0.07 * i) for i in range(120)]
+    check_dbscan(spark, mixed_rows() + chain, clusters=clusters, range_items=25)
+
+
+def test_dbscan_cuts_crowded_boxes_only_where_needed(spark, monkeypatch):
+    """Points and pairs of cells that a range's boxes leave open are decided by smaller boxes."""
+    calls = []
+    for name in ("_found", "_linked"):
+        whole = getattr(dbscan, name)
+        monkeypatch.setattr(dbscan, name, lambda *a, _whole=whole, _name=name: (calls.append(_name), _whole(*a))[1])
+    rng = np.random.default_rng(11)
+    left = rng.uniform(0.0, [0.24, 0.05, 0.05, 0.05], (400, 4))
+    right = rng.uniform([0.7, 0, 0, 0], [0.95, 0.05, 0.05, 0.05], (400, 4))
+    lone = [(0.47, 0.42, 0.0, 0.0), (0.1, 0.52, 0.0, 0.1), (0.1, 0.0, 0.53, 0.01)]
+    rows = [("a", i, *map(float, p)) for i, p in enumerate(np.vstack([left, right, lone]))]
+    check_dbscan(spark, rows)
+    check_dbscan(spark, rows, range_items=10)
+    assert {"_found", "_linked"} <= set(calls)
+
+
 def test_dbscan_borders(spark):
     """By type: crowded cells whose nearest points are just inside (a) or outside (b) the radius; copies and lone
     points (c); a border point exactly on the radius of two clusters (d)."""
