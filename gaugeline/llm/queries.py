@@ -20,4 +20,10 @@ QUERIES = {
         phrases.op13_collocations,
     )
 }
-ORACLES = {"op3_url_filters": urls.SQL, "op9_warc": warc.SQL, "op11_hard_negatives": negatives.SQL, "op13_collocations": phrases.SQL}
+ORACLES = {
+    "op3_url_filters": urls.SQL,
+    "op6_suffixes": suffixes.SQL,
+    "op9_warc": warc.SQL,
+    "op11_hard_negatives": negatives.SQL,
+    "op13_collocations": phrases.SQL,
+}

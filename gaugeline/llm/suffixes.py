@@ -14,10 +14,9 @@ meet.
   more than `HOT_RUNS` runs are cut into single windows, which go to the shard of their own hash.
 - A shard merges runs with equal bytes, then sorts the suffixes of the anchors that still have several different
   runs, a block of buckets at a time. Suffixes are sorted by their first `PERIOD` bytes; longer ties are resolved by
-  ranks of a difference cover sample: of each suffix and the next few bytes, one position is in the sample, whose
-  ranks over four periods were computed before. Places are counted from the anchor, so equal windows look at the
-  same sample position. Neighbours in the sorted order are compared byte by byte, and equal ones get the smallest
-  doc_id that has them.
+  ranks of a difference cover sample over four periods, computed before: for any two residues there is a step of
+  less than a period that takes both suffixes into the sample, where their ranks compare them. Neighbours in the
+  sorted order are compared byte by byte, and equal ones get the smallest doc_id that has them.
 
 Defined cases: a null text is empty. Texts under `LENGTH` bytes lose nothing. A null doc_id has no place in the
 order: its text removes nothing and keeps everything. Rows with one doc_id do not remove from each other. A string
@@ -44,7 +43,20 @@ HOT_RUNS = 4_000
 BLOCK_BYTES = 256 << 10
 #: A difference cover: every difference modulo the period is one of two of its members.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-_TO_SAMPLE = np.array([next(d for d in range(PERIOD) if (r + d) % PERIOD in COVER) for r in range(PERIOD)])
+
+
+def cover_steps(period: int, cover: tuple[int, ...]) -> np.ndarray:
+    """For two residues the least step that takes both into the cover; an error if the set is no difference cover."""
+    steps = np.empty((period, period), np.int64)
+    for r, s in np.ndindex(period, period):
+        both = [d for d in range(period) if (r + d) % period in cover and (s + d) % period in cover]
+        if not both:
+            raise ValueError(f"{cover} does not cover the difference {abs(r - s)} modulo {period}")
+        steps[r, s] = both[0]
+    return steps
+
+
+_STEPS = cover_steps(PERIOD, COVER)
 ANCHORS = "shard int, group int, anchors binary, runs binary"
 FLAGS = "group int, shard int, flags binary"
 RUNS = "shard int, group int, ids binary, rows binary, starts binary, counts binary, offsets binary, data binary, covered boolean"
@@ -154,8 +166,9 @@ def _lister(shards: int):
         np.minimum.at(low, place, ids)
         np.maximum.at(high, place, ids)
         count = np.bincount(place, minlength=len(found)).astype(np.uint32) | ((low < high).astype(np.uint32) << np.uint32(31))
-        at = np.searchsorted(_shard(found, shards), np.arange(shards + 1))
-        return _table([(s, number, planes(found[at[s] : at[s + 1]], np.uint64), planes(count[at[s] : at[s + 1]], np.uint32)) for s in np.flatnonzero(np.diff(at)).tolist()], ANCHORS)
+        held, at = np.unique(_shard(found, shards), return_index=True)
+        lists = zip(held.tolist(), np.split(found, at[1:]), np.split(count, at[1:]), strict=True) if len(held) else ()
+        return _table([(s, number, planes(a, np.uint64), planes(c, np.uint32)) for s, a, c in lists], ANCHORS)
 
     return anchors
 
@@ -205,9 +218,9 @@ def _sender(shards: int):
         out = [(number % shards, number, *_packed(covered)[:-1], b"", True)] if covered else []
         shard = _shard(np.array([e[6] for e in sent], np.uint64), shards)
         order = np.argsort(shard, kind="stable")
-        at = np.searchsorted(shard[order], np.arange(shards + 1))
-        for s in np.flatnonzero(np.diff(at)).tolist():
-            out.append((s, number, *_packed([sent[i] for i in order[at[s] : at[s + 1]].tolist()]), False))
+        held, at = np.unique(shard[order], return_index=True)
+        for s, part in zip(held.tolist(), np.split(order, at[1:])):
+            out.append((s, number, *_packed([sent[i] for i in part.tolist()]), False))
         return _table(out, RUNS)
 
     return send
@@ -239,6 +252,42 @@ def _ranks(keys: list[np.ndarray]) -> np.ndarray:
     return rank
 
 
+def _in_order(first: np.ndarray, second: np.ndarray, residue: np.ndarray, window: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The order of the windows as suffixes, from their first PERIOD bytes and the ranks of the sample.
+
+    Windows with equal first bytes and equal residues are sorted by one rank. A window's place among those of another
+    residue is found by binary search over the ranks at the step that the two residues share.
+    """
+    own = rank[window + _STEPS[residue, residue]]
+    order = np.lexsort((own, residue, second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+    tie, begin = np.cumsum(new) - 1, np.flatnonzero(new)
+    kind = residue[order]
+    turns = np.zeros(len(begin), np.int64)
+    np.add.at(turns, tie[1:], (kind[1:] != kind[:-1]) & ~new[1:])
+    mixed_ties = np.flatnonzero(turns[tie] > 0)  # positions in `order`, whole ties
+    if not len(mixed_ties):
+        return order
+    tied, at = tie[mixed_ties], window[order[mixed_ties]]
+    kind, room = kind[mixed_ties], int(rank.max()) + 1
+    members = [np.flatnonzero(kind == r) for r in range(PERIOD)]
+    place = np.zeros(len(mixed_ties), np.int64)
+    for r, rows in enumerate(members):
+        for s, others in enumerate(members):
+            if not len(rows) or not len(others):
+                continue
+            if r == s:  # sorted already: the place in one's own run
+                place[rows] += np.arange(len(rows)) - np.searchsorted(tied[rows], tied[rows])
+                continue
+            step = _STEPS[r, s]
+            keys = np.sort(tied[others] * room + rank[at[others] + step])
+            smaller = np.searchsorted(keys, tied[rows] * room + rank[at[rows] + step], "right" if s < r else "left")
+            place[rows] += smaller - np.searchsorted(keys, tied[rows] * room)
+    order[mixed_ties] = order[mixed_ties][np.lexsort((place, tied))]
+    return order
+
+
 def equal_windows(pieces: list[bytes], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(piece, place, class) of all windows of `pieces`; equal windows have equal classes.
 
@@ -271,8 +320,7 @@ def equal_windows(pieces: list[bytes], offsets: np.ndarray) -> tuple[np.ndarray,
         span *= 2
     window = np.flatnonzero(left >= LENGTH)
     first, second = _words(text, window)
-    tie = rank[window + _TO_SAMPLE[residue[window]]]
-    order = np.lexsort((tie, residue[window], second, first))
+    order = _in_order(first, second, residue[window], window, rank)
     ordered = window[order]
     same = (first[order][1:] == first[order][:-1]) & (second[order][1:] == second[order][:-1])
     near = np.flatnonzero(same)
@@ -394,3 +442,26 @@ def remove_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, shard_bytes:
 def op6_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
 
+
+
+#: Bytes as hex digits; strings meet by their md5. Runs of covered bytes are islands of starts at most 50 apart.
+SQL = """
+    WITH docs AS (
+      SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+      FROM documents),
+    starts AS (SELECT r, doc_id, i, md5_number(substr(h, 2 * i + 1, 100)) AS w
+      FROM (SELECT r, doc_id, h, unnest(range(0, n - 49)) AS i FROM docs)),
+    smallest AS (SELECT w, min(doc_id) AS m FROM starts GROUP BY w HAVING min(doc_id) < max(doc_id)),
+    hit AS (SELECT r, i FROM starts JOIN smallest USING (w) WHERE doc_id > m),
+    cut AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, true) AS new FROM hit),
+    numbered AS (SELECT r, i, sum(CAST(new AS INTEGER)) OVER (PARTITION BY r ORDER BY i) AS island FROM cut),
+    spans AS (SELECT r, island, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY r, island),
+    parts AS (SELECT r, b, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY b), 0) AS after FROM spans),
+    kept AS (
+      SELECT r, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS last,
+        string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS h
+      FROM parts JOIN docs USING (r) GROUP BY r)
+    SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+      coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(CASE WHEN last IS NULL THEN docs.h ELSE kept.h || substr(docs.h, 2 * last + 1) END)) AS kept_sha256
+    FROM docs LEFT JOIN kept USING (r)"""

@@ -387,6 +387,36 @@ def test_equal_windows_equal_grouping():
     assert len(found) == len({next(iter(x)) for x in found.values()})
 
 
+def windows_in_order(pieces, offsets):
+    """The 50 bytes of all windows by their class, and whether windows share a class exactly if they are equal."""
+    piece, place, classes = suffixes.equal_windows(pieces, np.array(offsets))
+    seen = {}
+    for p, j, c in zip(piece.tolist(), place.tolist(), classes.tolist()):
+        seen.setdefault(c, set()).add(pieces[p][j : j + 50])
+    once = all(len(x) == 1 for x in seen.values()) and len(seen) == len({next(iter(x)) for x in seen.values()})
+    return [min(seen[c]) for c in sorted(seen)], once
+
+
+def test_suffixes_of_all_residues_are_in_byte_order(monkeypatch):
+    """Equal and nearly equal windows at any place from their anchors; without the cover's steps the order is wrong."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(97, 99, 40, dtype=np.uint8).tobytes() * 6 + rng.integers(97, 99, 200, dtype=np.uint8).tobytes()
+    at = rng.integers(0, len(base) - 120, 60).tolist()
+    pieces = [base[i : i + 50 + int(n)] for i, n in zip(at, rng.integers(0, 60, 60))]
+    offsets = rng.integers(0, 40, 60)
+    order, once = windows_in_order(pieces, offsets)
+    assert once and order == sorted(order)
+    monkeypatch.setattr(suffixes, "_STEPS", np.zeros_like(suffixes._STEPS))
+    order, once = windows_in_order(pieces, offsets)
+    assert not once or order != sorted(order)
+
+
+@pytest.mark.parametrize("cover", [(0,), (0, 1), (5,), (0, 1, 3)])
+def test_a_set_that_covers_nothing_is_refused(cover):
+    with pytest.raises(ValueError):
+        suffixes.cover_steps(13, cover)
+
+
 # ---- language model ------------------------------------------------------------------------------------------------
 
 
