@@ -6,10 +6,10 @@ the hash, a boundary depends on the text near it alone, so an insertion shifts t
 change them. A fingerprint is the set of chunk digests with chunk lengths; the likeness of a document to another is
 the share of its distinct chunk bytes that the other has too (containment, 0 to 1).
 
-Editing needs the next document in the order of doc_id. Ids are cut into ranges of about `block_documents`; every
-row goes to the partition of its range, once, and the first row of a range also to the range before it (of the first
-to the last). A partition is sorted by Spark and read as a stream that holds two documents at a time. What the
-driver sees is the cut points, two numbers a range.
+Editing needs the next document in the order of doc_id. Pairs of doc_id and a hash of the text are cut into ranges of
+about `block_documents`, so rows that share an id are spread too; every row goes to the partition of its range, once, and
+one first row of a range also to the range before it (of the first to the last). A partition is sorted by Spark and
+read as a stream that holds two documents at a time. What the driver sees is the first pair of each range.
 
 Defined cases: a null text is empty and has an empty fingerprint. Two empty fingerprints have likeness 1, an empty
 one to another 0. A null doc_id comes before all others. Rows with one doc_id are ordered by a hash of their texts,
@@ -18,7 +18,7 @@ so equal rows follow each other. A single document is its own next one. An empty
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -128,36 +128,44 @@ def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(rows)
 
 
-def _ranges(ids: DataFrame, block_documents: int) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
-    """First id of every range that has rows, and a function from ids to ranges. Nulls are filled by the caller."""
-    count = ids.count()
-    parts = max(1, -(-count // block_documents))
-    shares = [i / parts for i in range(1, parts)]
-    cuts = ids.agg(F.percentile_approx("doc_id", shares, 10 * parts)).first()[0] if shares else []
-    cuts = np.unique(np.array(cuts or [], np.int64))
-    return cuts, lambda values: np.searchsorted(cuts, values, side="right").astype(np.int32)
+def _keys(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    """Ids and hashes as bytes in the order of (id with nulls first, hash)."""
+    out = np.zeros(len(ids), np.dtype([("known", "u1"), ("id", ">u8"), ("hash", ">u8")]))
+    out["known"] = np.asarray(ids.is_valid())
+    sign = np.uint64(1 << 63)
+    out["id"] = np.asarray(ids.fill_null(-(2**63))).astype(np.int64).view(np.uint64) ^ sign
+    out["hash"] = np.asarray(hashes).astype(np.int64).view(np.uint64) ^ sign
+    return out.view(f"S{out.dtype.itemsize}")
+
+
+def _first_keys(keys: DataFrame, block_documents: int) -> pa.Table:
+    """The first (doc_id, hash) of every range that has rows, in order."""
+    parts = max(1, -(-keys.count() // block_documents))
+    ranged = keys.repartitionByRange(parts, "doc_id", "hash") if parts > 1 else keys
+    part = F.spark_partition_id() if parts > 1 else F.lit(0)
+    firsts = ranged.withColumn("part", part).groupBy("part").agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+    return firsts.orderBy("part").select("first.*").toArrow()
 
 
 def with_next(docs: DataFrame, block_documents: int = BLOCK_DOCUMENTS) -> DataFrame:
-    """(doc_id, text, is_next) of `docs` in one sorted partition for each range of ids; see `_pairs`."""
-    lowest = np.iinfo(np.int64).min
-    ids = docs.select(F.coalesce("doc_id", F.lit(int(lowest))).alias("doc_id"))
-    cuts, range_of = _ranges(ids, block_documents)
-    block = F.arrow_udf(lambda v: pa.array(range_of(v.to_numpy(zero_copy_only=False))), "int")
-    found = ids.groupBy(block("doc_id").alias("block")).agg(F.min("doc_id").alias("first")).orderBy("block").collect()
-    blocks, firsts = np.array([r["block"] for r in found], np.int32), np.array([r["first"] for r in found], np.int64)
-
-    def places(values: pa.Array) -> pa.Array:
-        """The place of an id among the ranges that have rows, and the place before it if the id is a first one."""
-        v = values.to_numpy(zero_copy_only=False)
-        at = np.searchsorted(blocks, range_of(v))
-        first = firsts[at] == v
-        return pa.array([[a, (a - 1) % len(blocks)] if f else [a] for a, f in zip(at.tolist(), first.tolist(), strict=True)], pa.list_(pa.int32()))
-
-    where = F.arrow_udf(places, "array<int>")(F.coalesce("doc_id", F.lit(int(lowest))))
-    rows = docs.select("doc_id", "text", F.posexplode(where).alias("nth", "place"))
-    rows = rows.select("doc_id", "text", (F.col("nth") == 1).alias("is_next"), "place")
-    rows = rows.repartitionById(max(1, len(blocks)), "place")
+    """(doc_id, text, is_next) of `docs` in one sorted partition for each range of (doc_id, hash); see `_pairs`."""
+    hashed = F.xxhash64("text").alias("hash")
+    found = _first_keys(docs.select("doc_id", hashed), block_documents)
+    ranges = max(1, len(found))
+    firsts = _keys(*[found.column(c).combine_chunks() for c in ("doc_id", "hash")])
+
+    def places(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        """Twice the place of a row's range, and one more if the row is a first one."""
+        keys = _keys(ids, hashes)
+        at = np.searchsorted(firsts, keys, side="right") - 1
+        return pa.array(2 * at + (firsts[at] == keys), pa.int32())
+
+    coded = docs.select("doc_id", "text", F.arrow_udf(places, "int")("doc_id", hashed).alias("code"))
+    own = coded.select("doc_id", "text", F.lit(False).alias("is_next"), F.shiftright("code", 1).alias("place"))
+    # Of equal first rows, one goes to the range before.
+    sent = coded.filter(F.col("code").bitwiseAND(1) == 1).dropDuplicates(["code"])
+    sent = sent.select("doc_id", "text", F.lit(True), F.pmod(F.shiftright("code", 1) - 1, F.lit(ranges)))
+    rows = own.union(sent).repartitionById(ranges, "place")
     ordered = rows.sortWithinPartitions("is_next", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return ordered.select("doc_id", "text", "is_next")
 

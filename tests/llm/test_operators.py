@@ -293,6 +293,12 @@ def test_boundaries_equal_a_rolling_hash():
     assert chunking.boundaries(b"a" * 3000) == plain_boundaries(b"a" * 3000)
 
 
+def plain_likeness(a, b):
+    """The share of the distinct chunks' bytes of `a` that `b` has, from the chunks themselves."""
+    a, b = ({x[i:j] for i, j in zip([0, *ends], ends)} for x in (a, b) for ends in [chunking.boundaries(x)])
+    return sum(map(len, a & b)) / sum(map(len, a)) if a else float(not b)
+
+
 def check_edits(rows, got):
     rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     for i, (doc_id, text) in enumerate(rows):
@@ -302,7 +308,8 @@ def check_edits(rows, got):
         want = (len(text), hashlib.sha256(changed).hexdigest(), chunking.as_text(chunking.chunk_set(text.encode())), chunking.as_text(chunking.chunk_set(changed)))
         r = got[doc_id]
         assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == want
-        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        likeness = (plain_likeness(text.encode(), changed), plain_likeness(text.encode(), after.encode()))
+        assert (r["near_edited"], r["near_next"]) == pytest.approx(likeness)
 
 
 @pytest.mark.parametrize("block_documents", [5_000, 7])
@@ -319,6 +326,10 @@ def test_chunk_fingerprints_of_awkward_documents(spark):
     assert by_id(got)[0]["near_next"] == 1
     repeated = chunking.fingerprint_documents(documents(spark), 2).collect()
     assert len(repeated) == len(ROWS)
+    hot = chunking.with_next(documents(spark, [(i % 2 * 5, f"text {i} " * 9, "en", "a") for i in range(60)]).select("doc_id", "text"), 4)
+    sizes = hot.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_if("is_next").alias("sent")).collect()
+    assert sum(r["n"] - r["sent"] for r in sizes) == 60 and max(r["n"] for r in sizes) < 25
+    assert [r["sent"] for r in sizes] == [1] * len(sizes)
     one = chunking.fingerprint_documents(documents(spark, ROWS[:1])).first()
     assert one["near_next"] == 1
     assert chunking.fingerprint_documents(empty(spark)).count() == 0
