@@ -46,8 +46,11 @@ def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int32)
 
 
-def _slices(shard: np.ndarray, shards: int) -> np.ndarray:
-    return np.searchsorted(shard, np.arange(shards + 1))
+def _slices(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The shards that occur in a sorted array, and where."""
+    held, at = np.unique(shard, return_index=True)
+    for s, begin, end in zip(held.tolist(), at.tolist(), [*at[1:].tolist(), len(shard)], strict=False):
+        yield s, slice(begin, end)
 
 
 class Tokens:
@@ -90,18 +93,14 @@ class Tokens:
 
     def lists(self, shards: int) -> Iterator[tuple[int, bool, bytes, bytes, bytes, bytes]]:
         words, pairs = self.counts()
-        at = _slices(_shard(self.words, shards), shards)
-        for s in np.flatnonzero(np.diff(at)):
-            part = slice(at[s], at[s + 1])
-            yield int(s), False, planes(self.words[part], np.uint64), b"", b"", planes(words[part], np.uint32)
-        at = _slices(self.pair_shard, shards)
-        for s in np.flatnonzero(np.diff(at)):
-            part = slice(at[s], at[s + 1])
+        for s, part in _slices(_shard(self.words, shards)):
+            yield s, False, planes(self.words[part], np.uint64), b"", b"", planes(words[part], np.uint32)
+        for s, part in _slices(self.pair_shard):
             contexts = self.contexts[part]
             begins = np.flatnonzero(np.diff(contexts, prepend=~contexts[0]))
             runs = planes(np.diff(begins, append=len(contexts)), np.uint32)
             more = planes(self.followers[part], np.uint64, _SHORT)
-            yield int(s), True, planes(contexts[begins], np.uint64), runs, more, planes(pairs[part], np.uint32)
+            yield s, True, planes(contexts[begins], np.uint64), runs, more, planes(pairs[part], np.uint32)
 
 
 def _column(rows: pa.Table, name: str) -> list:
@@ -216,10 +215,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not keys:
             continue
         keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-        shard = _shard(keys, 256)
-        at = _slices(shard, 256)
-        some = [s for s in range(256) if at[s + 1] > at[s]]
-        columns = [some, *[[planes(a[at[s] : at[s + 1]], t) for s in some] for a, t in ((keys, np.uint64), (counts, np.uint32))]]
+        some = list(_slices(_shard(keys, 256)))
+        columns = [[s for s, _ in some], *[[planes(a[part], t) for _, part in some] for a, t in ((keys, np.uint64), (counts, np.uint32))]]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["part", "keys", "counts"])
 
 
