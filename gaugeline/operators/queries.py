@@ -73,13 +73,13 @@ def statistics(df: DataFrame, time: str = "ts") -> Statistics:
     """One row with the number of readings, of sensors, and the latest reading (the highest id among equal times), and
     the sensors as rows of their own: a list of unknown length stays distributed."""
     names = [c for c in TABLE_COLUMNS if c != "ts"] + [time]
-    newest = F.max_by(F.struct(*names), F.struct(time, "id")).alias("latest")
+    newest = [F.max_by(F.struct(*names), F.struct(time, "id")).alias("latest"), F.max(F.struct(time, "id")).alias("at")]
     # One scan: a row per sensor, then one row over these; readings without a sensor make a row that counts as a sensor.
-    by_sensor = df.groupBy("sensor_id").agg(F.count("*").alias("n"), newest)
+    by_sensor = df.groupBy("sensor_id").agg(F.count("*").alias("n"), *newest)
     merged = by_sensor.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_readings"),
         F.count("*").alias("unique_sensors"),
-        F.max_by("latest", F.struct(f"latest.{time}", "latest.id")).alias("latest"),
+        F.max_by("latest", "at").alias("latest"),
     )
     latest = [F.col(f"latest.{c}").alias(f"latest_{c}") for c in names]
     return Statistics(merged.select("total_readings", "unique_sensors", *latest), distinct_sensors(df))
