@@ -45,6 +45,7 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str = "id") -> Appli
     # Ids are unique in the table, so at most one row per changed key exists.
     existing = side(base.join(touched, key, "left_semi").select(key, F.lit(True).alias("_in_base")))
     state = folded.join(existing, key, "left").withColumn("_in_base", F.coalesce("_in_base", F.lit(False)))
+    state = materialize(state, "changes-state")  # else each of the outputs looks the keys up in the table again
     made, updated_after = F.col("_made"), F.col("_updated_at") > F.coalesce("_made_at", F.lit(-1))
     alive = F.when(made.isNull(), F.col("_in_base")).otherwise(made == INSERT)
     written = state.filter(alive & F.col("_row").isNotNull())

@@ -28,6 +28,7 @@ from gaugeline.plans.scratch import claim, materialize, path_exists, remove_path
 
 IDS_PER_RANGE = 1_000_000
 LISTED_FOLDERS = 1_000
+LISTED_WRITES = 1_000
 ATTEMPTS = 20
 KEPT_RESERVATIONS = 100
 T_ = TypeVar("T_")
@@ -91,7 +92,8 @@ class StoredTable:
         return F.floor(F.col(self.key) / F.lit(self.ids_per_range)).cast("bigint").alias("range")
 
     def _rows(self, entries: DataFrame) -> DataFrame:
-        """Rows of the folders in a manifest. A few are opened by name; of many, Spark prunes the others by a join."""
+        """Rows of the folders in a manifest. A few are opened by name; of many, only the writes they belong to are listed,
+        not those of other versions, and Spark prunes the rest by a join."""
         schema = self.schema
         listed = T.StructType([*schema.fields, T.StructField("write", T.StringType()), T.StructField("range", T.LongType())])
         root = f"{self.path}/data"
@@ -102,7 +104,9 @@ class StoredTable:
         if len(few) <= LISTED_FOLDERS:
             rows = reader.parquet(*[f"{root}/write={e['write']}/range={e['range']}" for e in few])
         else:
-            rows = reader.parquet(root).join(broadcast_if_small(entries.select("write", "range")), ["write", "range"], "left_semi")
+            writes = [e["write"] for e in entries.select("write").distinct().limit(LISTED_WRITES + 1).collect()]
+            places = [f"{root}/write={w}" for w in writes] if len(writes) <= LISTED_WRITES else [root]
+            rows = reader.parquet(*places).join(broadcast_if_small(entries.select("write", "range")), ["write", "range"], "left_semi")
         return rows.select(*schema.fieldNames())
 
     def read(self, version: int | None = None) -> DataFrame:

@@ -175,6 +175,14 @@ def test_many_folders_are_read_through_a_join(table, monkeypatch):
     assert content(table) == want
 
 
+def test_folders_of_writes_that_were_replaced_are_not_listed(table, monkeypatch):
+    first = {w for _, w in folders(table)}
+    table.update(table.spark.createDataFrame([(i, -float(i)) for i in range(1, 41)], SCHEMA))
+    monkeypatch.setattr(stored, "LISTED_FOLDERS", 1)
+    assert content(table) == {i: -float(i) for i in range(1, 41)}
+    assert not any(f"write={w}/" in f for f in table.read().inputFiles() for w in first)
+
+
 def test_one_claim_wins(spark, folder):
     for name in ("a", "b"):
         spark.range(1).write.parquet(f"{folder}/{name}")
