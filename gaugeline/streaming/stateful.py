@@ -16,6 +16,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -25,7 +26,7 @@ from gaugeline.sources.topics import start
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-WAITING = "us bigint, id bigint, value double, row string"
+WAITING = "rows binary"
 HISTORY = "value double, square double"
 RELEASED = "row string, rolling_mean double, rolling_std double, z_score double"
 ROWS_AT_ONCE = 20_000
@@ -60,8 +61,21 @@ def _number(x: float) -> float | None:
     return None if np.isnan(x) else float(x)
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    """Rows as one element of the state: a call for each row would cost far more than the row."""
+    sink = pa.BufferOutputStream()
+    table = pa.Table.from_pandas(rows, preserve_index=False)
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(bytes(data)).read_all().to_pandas()
+
+
 class RollingState(StatefulProcessor):
-    """Waiting rows and history of one group."""
+    """Waiting rows, packed by the batch, and history of one group."""
 
     def __init__(self, preceding: int = PRECEDING):
         self.preceding = preceding
@@ -85,30 +99,31 @@ class RollingState(StatefulProcessor):
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         for part in rows:
-            values = (None if pd.isna(v) else float(v) for v in part["value"])
-            new = list(zip(part["us"].tolist(), part["id"].tolist(), values, part["row"].tolist(), strict=True))
-            self.waiting.appendList(new)
-            self._wake(min(r[0] for r in new))
+            self.waiting.appendValue((_packed(part[["us", "id", "value", "row"]]),))
+            self._wake(int(part["us"].min()))
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1]))
-        ready = [r for r in rows if r[0] <= until]
-        rest = [tuple(r) for r in rows[len(ready) :]]
+        parts = [_unpacked(r[0]) for r in self.waiting.get()]
+        rows = pd.concat(parts, ignore_index=True).sort_values(["us", "id"], kind="stable", ignore_index=True)
+        count = int(rows["us"].searchsorted(until, "right"))
+        ready, rest = rows.iloc[:count], rows.iloc[count:]
         self.timer.clear()
-        if rest:
-            self.waiting.put(rest)
-            self._wake(rest[0][0])
+        if len(rest):
+            self.waiting.put([(_packed(rest.iloc[at : at + ROWS_AT_ONCE]),) for at in range(0, len(rest), ROWS_AT_ONCE)])
+            self._wake(int(rest["us"].iloc[0]))
         else:
             self.waiting.clear()
-        if not ready:
+        if not len(ready):
             return
         history = np.array([[np.nan if x is None else x for x in r] for r in self.history.get()] if self.history.exists() else [], float)
-        values = np.array([np.nan if r[2] is None else r[2] for r in ready], float)
+        values = ready["value"].to_numpy(float)
         means, deviations, z, left = score_after(history.reshape(-1, 2), values, self.preceding)
         self.history.put([(_number(v), _number(s)) for v, s in left])
-        yield pd.DataFrame({"row": [r[3] for r in ready], "rolling_mean": means, "rolling_std": deviations, "z_score": z})
+        out = pd.DataFrame({"row": ready["row"].to_numpy(), "rolling_mean": means, "rolling_std": deviations, "z_score": z})
+        for at in range(0, count, ROWS_AT_ONCE):
+            yield out.iloc[at : at + ROWS_AT_ONCE]
 
     def close(self) -> None:
         pass

@@ -3,12 +3,14 @@
 from datetime import timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import T0, frame, random_readings, reading, same_rows
 from pyspark.sql import functions as F
 from test_streaming import add_file, in_time_order, instants, stream
 
 from gaugeline.operators.rolling import detect_anomalies
+from gaugeline.streaming import stateful
 from gaugeline.streaming.stateful import score_after, start_state_scoring
 
 
@@ -51,6 +53,18 @@ def test_null_keys_values_and_times(spark, folder):
     same_rows(detect_anomalies(instants(frame(spark, rows + nan))), got, digits=9)
 
 
+def test_waiting_rows_are_packed_by_the_batch(monkeypatch):
+    """One call of the state for a batch of rows, not one element a row."""
+    calls = []
+    state = stateful.RollingState()
+    state.waiting = type("L", (), {"appendValue": lambda _, v: calls.append(v), "appendList": lambda _, v: calls.extend(v)})()
+    monkeypatch.setattr(state, "_wake", lambda us: None)
+    rows = pd.DataFrame({"us": range(500), "id": range(500), "value": [1.0, np.nan] * 250, "row": ["{}"] * 500})
+    list(state.handleInputRows("k", iter([rows]), None))
+    assert len(calls) == 1
+    pd.testing.assert_frame_equal(stateful._unpacked(calls[0][0]), rows)
+
+
 @pytest.mark.parametrize("cuts", [[], [1], [3, 3, 50], list(range(0, 400, 7))])
 def test_numbers_do_not_depend_on_where_batches_end(cuts):
     rng = np.random.default_rng(4)
