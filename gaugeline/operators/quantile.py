@@ -4,6 +4,8 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
+from gaugeline.plans.scratch import local_table
+
 ACCURACY = 10_000
 FEW_VALUES = 5_000
 MAX_GROUPS = 10_000
@@ -33,7 +35,7 @@ def exact_quantile(df: DataFrame, group: str, value: str, q: float) -> dict:
         brackets[g] = (0, n, lo, hi)  # rows below, rows inside, bounds
 
     def inside(table: list[tuple]) -> DataFrame:
-        wanted = spark.createDataFrame(table, f"g {kind}, lo double, hi double")  # MAX_GROUPS rows at most
+        wanted = local_table(spark, table, f"g {kind}, lo double, hi double")  # MAX_GROUPS rows at most
         return rows.join(F.broadcast(wanted), rows["g"].eqNullSafe(wanted["g"])).drop(wanted["g"]).filter("v BETWEEN lo AND hi")
 
     while brackets:
@@ -59,7 +61,7 @@ def exact_quantile(df: DataFrame, group: str, value: str, q: float) -> dict:
             cut = inside(some).groupBy("g").agg(F.percentile_approx("v", list(wanted), ACCURACY).alias("cut"))
             picked |= {r["g"]: tuple(r["cut"]) for r in cut.collect()}
         table = [(g, brackets[g][2], brackets[g][3], *picked[g]) for g in brackets]
-        wanted = spark.createDataFrame(table, f"g {kind}, lo double, hi double, a double, b double")
+        wanted = local_table(spark, table, f"g {kind}, lo double, hi double, a double, b double")
         joined = rows.join(F.broadcast(wanted), rows["g"].eqNullSafe(wanted["g"])).drop(wanted["g"]).filter("v BETWEEN lo AND hi")
         under, within = F.col("v") < F.col("a"), F.col("v").between(F.col("a"), F.col("b"))
         tops = [F.max(F.when(under, F.col("v"))), F.min(F.when(F.col("v") > F.col("b"), F.col("v")))]
@@ -91,6 +93,5 @@ def quantile_table(df: DataFrame, group: str, value: str, q: float, approximate:
     if approximate:
         return df.groupBy(group).agg(F.percentile_approx(value, q, 100_000).alias("quantile"))
     pairs = list(exact_quantile(df, group, value, q).items())
-    return df.sparkSession.createDataFrame(
-        pairs, f"{group} {df.schema[group].dataType.simpleString()}, quantile double"
-    )
+    schema = f"{group} {df.schema[group].dataType.simpleString()}, quantile double"
+    return local_table(df.sparkSession, pairs, schema)

@@ -12,7 +12,7 @@ from gaugeline.operators.quantile import quantile_table
 from gaugeline.operators.rolling import FEATURES
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans.joins import broadcast_if_small
-from gaugeline.plans.scratch import claim, materialize, path_exists, remove_path, subfolders
+from gaugeline.plans.scratch import claim, local_table, materialize, path_exists, remove_path, subfolders
 
 ISOLATION, DBSCAN = "isolation", "dbscan"
 TABLES = ("scaler_params", "iforest_nodes", "iforest_meta", "dbscan_meta", "sensor_stats")
@@ -69,9 +69,9 @@ def train(
     params = materialize(fit_scaler(features, FEATURES), "scaler")
     scaled = apply_scaler(features, params, FEATURES).select("id", "sensor_type", *FEATURES)
 
-    nodes = spark.createDataFrame([], forest.NODE_SCHEMA)
-    meta = spark.createDataFrame(
-        [], "sensor_type string, threshold double, rows bigint, anomaly_ratio double, model_key string"
+    nodes = local_table(spark, [], forest.NODE_SCHEMA)
+    meta = local_table(
+        spark, [], "sensor_type string, threshold double, rows bigint, anomaly_ratio double, model_key string"
     )
     if ISOLATION in models:
         sizes = dict(features.groupBy("sensor_type").count().collect())
@@ -85,13 +85,13 @@ def train(
         judged = judged.withColumn("is_anomaly", F.col("score_sample") - F.col("threshold") < 0)
         meta = materialize(limits.join(_ratio(judged, ISOLATION), "sensor_type"), "forest-meta")
 
-    density = spark.createDataFrame([], "sensor_type string, rows bigint, anomaly_ratio double, model_key string")
+    density = local_table(spark, [], "sensor_type string, rows bigint, anomaly_ratio double, model_key string")
     if DBSCAN in models:
         points = scaled.select("sensor_type", "id", *dbscan.FEATURES)
         flags = dbscan.dbscan(materialize(points, "points"), clusters=False)
         density = materialize(_ratio(flags, DBSCAN), "dbscan-meta")
     density = density.withColumns({"eps": F.lit(dbscan.EPS), "min_points": F.lit(dbscan.MIN_POINTS)})
-    return Models(params, nodes, meta, density, spark.createDataFrame([], "sensor_id string"))
+    return Models(params, nodes, meta, density, local_table(spark, [], "sensor_id string"))
 
 
 def predict(models: Models, readings: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def predict(models: Models, readings: DataFrame) -> DataFrame:
     )
     scaled = apply_scaler(features, models.scaler_params, FEATURES).select("id", "sensor_id", "sensor_type", *FEATURES)
     # Each model answers only where the store holds one.
-    answers = [readings.sparkSession.createDataFrame([], PREDICTION_SCHEMA)]
+    answers = [local_table(readings.sparkSession, [], PREDICTION_SCHEMA)]
     if not models.iforest_meta.isEmpty():
         known = models.iforest_meta.select("sensor_type", "threshold")
         rows = scaled.join(broadcast_if_small(known), "sensor_type")
@@ -163,7 +163,7 @@ def load_models(spark: SparkSession, path: str, version: int | None = None) -> M
     tables = {}
     for name in TABLES:
         if name == "sensor_stats" and not path_exists(spark, f"{place}/{name}"):
-            tables[name] = spark.createDataFrame([], "sensor_id string")
+            tables[name] = local_table(spark, [], "sensor_id string")
         else:
             tables[name] = spark.read.parquet(f"{place}/{name}").drop("saved_at")
     return Models(**tables)

@@ -3,8 +3,10 @@
 import tempfile
 import uuid
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +33,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a table. They go as Arrow: a plain list is unpickled by Python workers, which start for
+    that and stay beside those of the real work. Arrow would move local times, so these stay a list."""
+    if "timestamp" in schema:
+        return spark.createDataFrame(rows, schema)
+    names = StructType.fromDDL(schema).names
+    columns = zip(*rows) if rows else [()] * len(names)
+    return spark.createDataFrame(pa.table([pa.array(c) for c in columns], names=names), schema)
+
+
 SMALL_ROWS = 1_000_000
 
 

@@ -13,6 +13,7 @@ from gaugeline.operators.rolling import FEATURES
 from gaugeline.operators.scaler import apply_scaler, fit_scaler
 from gaugeline.plans import outliers
 from gaugeline.plans.components import connected_components
+from gaugeline.plans.scratch import local_table
 
 XS = ["x0", "x1", "x2", "x3"]
 
@@ -223,6 +224,17 @@ def test_stored_models_find_obvious_outliers(spark, trained, folder):
     assert by_forest.count() == 100 and got.count() == 200
 
 
+def test_tables_of_the_driver_start_no_python_workers(spark):
+    rows = [("a", 1.5, -1.0), (None, float("inf"), 2.0)]
+    df = local_table(spark, rows, "g string, lo double, hi double")
+    assert [tuple(r) for r in df.collect()] == rows
+    limits = quantile_table(df, "g", "lo", 0.5)
+    empty = local_table(spark, [], forest.NODE_SCHEMA)
+    assert empty.isEmpty() and empty.schema.simpleString() == spark.createDataFrame([], forest.NODE_SCHEMA).schema.simpleString()
+    for table in (df, limits, empty):
+        assert "ExistingRDD" not in table._jdf.queryExecution().toString()
+
+
 def test_a_reader_during_a_save_sees_one_whole_version(spark, trained, folder, monkeypatch):
     path, seen = f"{folder}/models", []
     first = outliers.save_models(trained, path)
