@@ -502,11 +502,14 @@ def forest_training(spark, folder):
 
 
 def outlier_predictions(spark, folder):
-    """Both models, trained on all readings, stored, loaded again, and applied to them."""
+    """Both models, trained on all readings, stored, loaded again, and applied to them. Features and DBSCAN's labels of
+    these readings are the same in training and after it, so they are computed once."""
     readings = _readings(spark, folder)
     path = scratch_path(spark, "models")
-    outliers.save_models(outliers.train(readings), path)
-    return outliers.predict(outliers.load_models(spark, path), readings)
+    same = {"features": outliers.prepared(readings)}
+    same["labels"] = outliers.clustered(same["features"])
+    outliers.save_models(outliers.train(readings, **same), path)
+    return outliers.predict(outliers.load_models(spark, path), readings, **same)
 
 
 def outlier_facts(spark, folder):

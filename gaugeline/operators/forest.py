@@ -132,12 +132,13 @@ def _scorer(nodes: pd.DataFrame, columns: Sequence[str]):
         base = table["tree"].map(start).to_numpy()
         inner = table["feature"].to_numpy() >= 0
         own = base + table["node"].to_numpy()
+        # A leaf is its own child on both sides. The children of a node are at 2 * node and 2 * node + 1.
+        children = np.column_stack([np.where(inner, base + table[side].to_numpy(), own) for side in ("left", "right")])
         forests[kind] = (
-            start.to_numpy(),
-            np.where(inner, table["feature"].to_numpy(), 0),
+            start.to_numpy(np.intp),
+            np.where(inner, table["feature"].to_numpy(), 0).astype(np.intp),
             np.where(inner, table["threshold"].to_numpy(), np.inf),
-            np.where(inner, base + table["left"].to_numpy(), own),
-            np.where(inner, base + table["right"].to_numpy(), own),
+            children.ravel().astype(np.intp),
             table["path"].to_numpy(),
             float(average_path(table["sample_size"].max())),
         )
@@ -148,17 +149,19 @@ def _scorer(nodes: pd.DataFrame, columns: Sequence[str]):
         for k, where in kind.groupby(kind).indices.items():
             if k not in forests:
                 continue
-            roots, feature, threshold, left, right, path, norm = forests[k]
-            x, rows = x_all[where], np.arange(len(where))
+            roots, feature, threshold, children, path, norm = forests[k]
+            x = x_all[where]
+            first, x = np.arange(len(where)) * x.shape[1], x.ravel()
             depth = np.zeros(len(where))
             for root in roots:
                 at = np.full(len(where), root)
                 while True:
-                    nxt = np.where(x[rows, feature[at]] <= threshold[at], left[at], right[at])
+                    right = ~(x.take(first + feature.take(at)) <= threshold.take(at))
+                    nxt = children.take(2 * at + right)
                     if (nxt == at).all():
                         break
                     at = nxt
-                depth += path[at]
+                depth += path.take(at)
             out[where] = -np.exp2(-depth / (len(roots) * max(norm, 1e-12)))
         return pd.Series(out)
 

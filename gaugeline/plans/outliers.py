@@ -51,6 +51,23 @@ def _ratio(flags: DataFrame, model: str) -> DataFrame:
     return flags.groupBy("sensor_type").agg(F.count("*").alias("rows"), share).withColumn("model_key", _key(model))
 
 
+def prepared(readings: DataFrame) -> DataFrame:
+    """The features of `readings` (id, sensor_id, sensor_type, ts, value), written: `train` and `predict` take them where
+    both are called on the same readings."""
+    return materialize(prepare_features(readings.select("id", "sensor_id", "sensor_type", "ts", "value")), "features")
+
+
+def _points(scaled: DataFrame) -> DataFrame:
+    return materialize(scaled.select("sensor_type", "id", *dbscan.FEATURES), "points")
+
+
+def clustered(features: DataFrame) -> DataFrame:
+    """DBSCAN's labels of all rows of `features`, scaled by these rows, written. DBSCAN has no model to apply: who trains on
+    rows and asks for the labels of the same rows gets both from one run."""
+    params = fit_scaler(features, dbscan.FEATURES)
+    return materialize(dbscan.dbscan(_points(apply_scaler(features, params, dbscan.FEATURES))), "clustered")
+
+
 def train(
     readings: DataFrame,
     models: tuple[str, ...] = (ISOLATION, DBSCAN),
@@ -58,14 +75,16 @@ def train(
     contamination: float = forest.CONTAMINATION,
     seed: int = forest.SEED,
     approximate_threshold: bool = False,
+    features: DataFrame | None = None,
+    labels: DataFrame | None = None,
 ) -> Models:
     """Fit scalers and models for every sensor type of `readings` (id, sensor_id, sensor_type, ts, value).
 
-    Features are computed once and written, because scaling, sampling and scoring each read them.
+    Features are computed once and written, because scaling, sampling and scoring each read them. `features` and `labels`
+    are what `prepared` and `clustered` gave for these readings, if they are there already.
     """
     spark = readings.sparkSession
-    slim = readings.select("id", "sensor_id", "sensor_type", "ts", "value")
-    features = materialize(prepare_features(slim), "features")
+    features = prepared(readings) if features is None else features
     params = materialize(fit_scaler(features, FEATURES), "scaler")
     scaled = apply_scaler(features, params, FEATURES).select("id", "sensor_type", *FEATURES)
 
@@ -87,20 +106,20 @@ def train(
 
     density = local_table(spark, [], "sensor_type string, rows bigint, anomaly_ratio double, model_key string")
     if DBSCAN in models:
-        points = scaled.select("sensor_type", "id", *dbscan.FEATURES)
-        flags = dbscan.dbscan(materialize(points, "points"), clusters=False)
+        flags = dbscan.dbscan(_points(scaled), clusters=False) if labels is None else labels
         density = materialize(_ratio(flags, DBSCAN), "dbscan-meta")
     density = density.withColumns({"eps": F.lit(dbscan.EPS), "min_points": F.lit(dbscan.MIN_POINTS)})
     return Models(params, nodes, meta, density, local_table(spark, [], "sensor_id string"))
 
 
-def predict(models: Models, readings: DataFrame) -> DataFrame:
+def predict(
+    models: Models, readings: DataFrame, features: DataFrame | None = None, labels: DataFrame | None = None
+) -> DataFrame:
     """One row per reading and model of its type: prediction (-1 anomaly; otherwise 1, or the cluster label), score of
     the isolation forest (negative is anomalous), and the flag. Features come from `readings` alone; types without a
-    model give no rows."""
-    features = materialize(
-        prepare_features(readings.select("id", "sensor_id", "sensor_type", "ts", "value")), "features"
-    )
+    model give no rows. `features` are what `prepared` gave for these readings. `labels` are what `clustered` gave for
+    them; they hold only where the models were trained on the same readings."""
+    features = prepared(readings) if features is None else features
     scaled = apply_scaler(features, models.scaler_params, FEATURES).select("id", "sensor_id", "sensor_type", *FEATURES)
     # Each model answers only where the store holds one.
     answers = [local_table(readings.sparkSession, [], PREDICTION_SCHEMA)]
@@ -116,8 +135,9 @@ def predict(models: Models, readings: DataFrame) -> DataFrame:
             by_forest.withColumn("prediction", F.when(F.col("is_anomaly"), -1).otherwise(1).cast("bigint"))
         )
     if not models.dbscan_meta.isEmpty():
-        dense = scaled.join(broadcast_if_small(models.dbscan_meta.select("sensor_type")), "sensor_type")
-        labels = dbscan.dbscan(materialize(dense.select("sensor_type", "id", *dbscan.FEATURES), "points"))
+        kinds = broadcast_if_small(models.dbscan_meta.select("sensor_type"))
+        dense = scaled.join(kinds, "sensor_type")
+        labels = dbscan.dbscan(_points(dense)) if labels is None else labels.join(kinds, "sensor_type", "left_semi")
         answers.append(
             labels.join(dense.select("id", "sensor_id"), "id").withColumns(
                 {"model": F.lit("dbscan"), "prediction": F.col("label"), "score": F.lit(None).cast("double")}

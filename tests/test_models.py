@@ -7,6 +7,7 @@ import pytest
 from helpers import brute_dbscan, frame, reading
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from gaugeline.operators import dbscan, forest, quantile
 from gaugeline.operators.quantile import exact_quantile, quantile_table
 from gaugeline.operators.rolling import FEATURES
@@ -224,6 +225,20 @@ def test_stored_models_find_obvious_outliers(spark, trained, folder):
     assert by_forest.count() == 100 and got.count() == 200
 
 
+def test_training_and_applying_to_the_same_readings_share_features_and_labels(spark, monkeypatch):
+    rows = minute_frame(600) + [reading(5000 + i, float(i % 9), "P1", "pressure") for i in range(200)]
+    readings = frame(spark, rows)
+    apart = outliers.predict(outliers.train(readings), readings).collect()
+    calls = []
+    for module, name in ((outliers, "prepare_features"), (outliers.dbscan, "dbscan")):
+        whole = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, _whole=whole, _name=name, **o: (calls.append(_name), _whole(*a, **o))[1])
+    monkeypatch.setattr(entry, "_readings", lambda spark, folder: readings)
+    together = entry.outlier_predictions(spark, "").collect()
+    assert sorted(calls) == ["dbscan", "prepare_features"]
+    assert sorted(map(str, together)) == sorted(map(str, apart)) and len(apart) == 1600
+
+
 def test_tables_of_the_driver_start_no_python_workers(spark):
     rows = [("a", 1.5, -1.0), (None, float("inf"), 2.0)]
     df = local_table(spark, rows, "g string, lo double, hi double")
