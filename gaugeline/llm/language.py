@@ -10,7 +10,8 @@ hash of their id, and of each `spans_per_document` spans of `span_words` words s
 the spans give the lexicons, the other half the weights, so lexicon features are not trained on their own words. The
 sample is fitted on the driver, its size is the product of these parameters and the number of languages. Prediction
 maps over all documents and all their words; words run in chains of at most `CHAIN_WORDS`. A run of more than
-`RUN_LETTERS` letters is cut into pieces, so that every letter of a script without spaces counts.
+`RUN_LETTERS` letters is cut into pieces, so that every letter of a script without spaces counts. Features of words that
+a task meets for the first time are hashed in arrays, up to `WORDS_AT_ONCE` words together.
 
 Defined cases: a null text or one without a letter is `und` with score 0, and so is every text if nothing is
 labelled. Rows without a language teach nothing. Ties go to the language first in code point order. Repeated rows
@@ -20,8 +21,10 @@ Columns of the input stay; the new ones have the names the caller gives.
 
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -38,7 +41,10 @@ FAMILIAR, SUPPORTED = 0.75, 0.5
 FEATURES = 1 << 17
 ROUNDS, STEP, RIDGE = 60, 0.15, 2e-5
 CACHED_WORDS, CHARACTERS_PER_CALL, WORDS_AT_ONCE = 300_000, 2 << 20, 10_000
+AFFIX = 4
 _RUN = re.compile(r"[^\W\d_]+")
+#: CRC-32 of every byte after a zero state: one step of the sum is a look-up and a shift.
+_CRC = np.array([zlib.crc32(bytes([b ^ 0xFF])) ^ zlib.crc32(b"\xff") for b in range(256)], np.uint32)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -50,51 +56,120 @@ def words_of(text: str | None) -> list[str]:
 
 
 def features(word: str, lexicon: dict[str, tuple[int, ...]]) -> list[int]:
-    """Hashed features of a word: affixes up to 4 letters, n-grams of 2 and 3 letters, the word, and its lexicons."""
+    """Hashed features of a word: affixes up to AFFIX letters, n-grams of 2 and 3 letters, the word, and its lexicons."""
     edged = f"^{word}$"
     names = [f"w{word}"]
-    names += [f"p{word[:n]}" for n in range(1, min(4, len(word)) + 1)]
-    names += [f"s{word[-n:]}" for n in range(1, min(4, len(word)) + 1)]
+    names += [f"p{word[:n]}" for n in range(1, min(AFFIX, len(word)) + 1)]
+    names += [f"s{word[-n:]}" for n in range(1, min(AFFIX, len(word)) + 1)]
     names += [f"2{edged[i : i + 2]}" for i in range(len(edged) - 1)]
     names += [f"3{edged[i : i + 3]}" for i in range(len(edged) - 2)]
     names += [f"l{label}" for label in lexicon.get(word, ())]
     return [zlib.crc32(name.encode()) % FEATURES for name in names]
 
 
-def feature_sums(rows: list[list[int]], weights: np.ndarray) -> np.ndarray:
-    """Sum of the weights of each row's features."""
-    if not rows:
-        return np.zeros((0, weights.shape[1]), np.float32)
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    flat = np.fromiter((f for r in rows for f in r), np.int64, int(sizes.sum()))
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    return np.add.reduceat(weights[flat], starts, axis=0).astype(np.float32)
-
-
-def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray):
-    """Posteriors of all words, and expected transitions and first labels, of chains laid end to end in `scores`."""
-    peak = scores.max(axis=1, keepdims=True)
-    emit = np.exp(scores - peak)
+class _Hashes:
+    """CRC-32 of many strings at once, letter by letter; `letters` are code points, a string is known by its places there."""
+
+    def __init__(self, letters: np.ndarray):
+        parts = [letters, letters >> 6, letters >> 12, letters >> 18]
+        self.more = np.searchsorted([0x80, 0x800, 0x10000], letters, side="right")
+        first = [parts[0], 0xC0 | parts[1], 0xE0 | parts[2], 0xF0 | parts[3]]
+        self.bytes = [np.choose(self.more, first)]
+        self.bytes += [0x80 | (0x3F & np.choose(np.maximum(self.more - n, 0), parts)) for n in (1, 2, 3) if (self.more >= n).any()]
+
+    def begun(self, name: str, strings: int) -> np.ndarray:
+        """The states of so many strings that begin with `name`."""
+        return np.full(strings, zlib.crc32(name.encode()) ^ 0xFFFFFFFF, np.uint32)
+
+    def then(self, states: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The states after one more letter each, its UTF-8 bytes in order."""
+        states = _CRC[(states ^ self.bytes[0][places]) & 0xFF] ^ (states >> 8)
+        for n, trail in enumerate(self.bytes[1:], 1):
+            at = np.flatnonzero(self.more[places] >= n)
+            states[at] = _CRC[(states[at] ^ trail[places[at]]) & 0xFF] ^ (states[at] >> 8)
+        return states
+
+
+def features_of(words: list[str], lexicon: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    """The `features` of all words end to end in the same order, and their number for each word, hashed in arrays."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    letters = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32)
+    hashes = _Hashes(letters)
+    begins = np.cumsum(sizes + 2) - sizes - 1  # of the word, after its edge
+    ends, affixes = begins + sizes, np.minimum(sizes, AFFIX)
+    known = [(i, labels) for i, labels in enumerate(map(lexicon.get, words)) if labels]
+    counts = 2 + 2 * affixes + 2 * sizes
+    for i, labels in known:
+        counts[i] += len(labels)
+    starts = np.cumsum(counts) - counts
+    flat = np.empty(int(counts.sum()), np.uint32)
+    word = zlib.crc32(b"w")
+    flat[starts] = np.fromiter((zlib.crc32(w.encode(), word) for w in words), np.uint32, len(words))
+    prefix = hashes.begun("p", len(words))
+    for n in range(1, AFFIX + 1):
+        at = np.flatnonzero(sizes >= n)
+        prefix[at] = hashes.then(prefix[at], begins[at] + n - 1)
+        suffix = hashes.begun("s", len(at))
+        for back in range(n, 0, -1):
+            suffix = hashes.then(suffix, ends[at] - back)
+        flat[starts[at] + n], flat[starts[at] + affixes[at] + n] = ~prefix[at], ~suffix
+    owner = np.repeat(np.arange(len(words)), sizes + 2)
+    place = np.arange(len(letters)) - (begins - 1)[owner]
+    target = (starts + 1 + 2 * affixes)[owner] + place
+    for n in (2, 3):
+        at = np.flatnonzero(place <= sizes[owner] + 2 - n)
+        grams = hashes.begun(str(n), len(at))
+        for k in range(n):
+            grams = hashes.then(grams, at + k)
+        flat[target[at]] = ~grams
+        target += sizes[owner] + 1
+    for i, labels in known:
+        end = starts[i] + counts[i]
+        flat[end - len(labels) : end] = [zlib.crc32(f"l{label}".encode()) for label in labels]
+    return (flat % FEATURES).astype(np.int64), counts
+
+
+def _runs(words: list[str]) -> Iterator[list[str]]:
+    return (words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE))
+
+
+def feature_sums(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each row's features; the rows lie end to end in `flat`, none is empty."""
+    return np.add.reduceat(weights[flat], np.cumsum(sizes) - sizes, axis=0).astype(np.float32)
+
+
+def forward_backward(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, start: np.ndarray, pairs: bool = True):
+    """Posteriors of all words, and expected transitions and first labels, of chains laid end to end in `scores`.
+
+    The words are taken place by place: those first in their chains, then the second ones. Without `pairs` the expected
+    transitions, which only fitting needs, stay zero.
+    """
     move, first = np.exp(transitions), np.exp(start)
     order = np.argsort(-lengths, kind="stable")
     begins = (np.cumsum(lengths) - lengths)[order]
     sorted_lengths = lengths[order]
     active = np.searchsorted(-sorted_lengths, -np.arange(int(sorted_lengths[0])), side="left")
+    at = np.concatenate([begins[:n] + t for t, n in enumerate(active)])
+    scores = scores[at]
+    emit = np.exp(scores - scores.max(axis=1, keepdims=True))
     forward, backward = np.empty_like(emit), np.ones_like(emit)
-    for t, n in enumerate(active):
-        at = begins[:n] + t
-        reach = emit[at] * (first if t == 0 else forward[at - 1] @ move)
-        forward[at] = reach / reach.sum(axis=1, keepdims=True)
+    places = np.cumsum(active) - active
+    for t, (n, place) in enumerate(zip(active, places, strict=True)):
+        reach = emit[place : place + n] * (first if t == 0 else forward[places[t - 1] : places[t - 1] + n] @ move)
+        forward[place : place + n] = reach / reach.sum(axis=1, keepdims=True)
     expected = np.zeros_like(move)
     for t in range(len(active) - 2, -1, -1):
-        after = begins[: active[t + 1]] + t + 1
+        n = active[t + 1]
+        now, after = slice(places[t], places[t] + n), slice(places[t + 1], places[t + 1] + n)
         message = emit[after] * backward[after]
-        pairs = forward[after - 1][:, :, None] * move[None] * message[:, None, :]
-        expected += (pairs / pairs.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        if pairs:
+            joint = forward[now][:, :, None] * move[None] * message[:, None, :]
+            expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         back = message @ move.T
-        backward[after - 1] = back / back.sum(axis=1, keepdims=True)
-    posterior = forward * backward
-    posterior /= posterior.sum(axis=1, keepdims=True)
+        backward[now] = back / back.sum(axis=1, keepdims=True)
+    found = forward * backward
+    posterior = np.empty_like(found)
+    posterior[at] = found / found.sum(axis=1, keepdims=True)
     return posterior, expected, posterior[begins].sum(axis=0)
 
 
@@ -129,9 +204,9 @@ def fit(spans: list[tuple[str, list[str]]], rounds: int = ROUNDS) -> Field | Non
         truth += [number[label] for label, words in chain for _ in words]
         lengths.append(sum(len(words) for _, words in chain))
     ids, truth, lengths = np.array(ids), np.array(truth), np.array(lengths)
-    rows = [features(w, lexicon) for w in index]
-    sizes = np.array([len(r) for r in rows])
-    flat, owner = np.array([f for r in rows for f in r]), np.repeat(np.arange(len(rows)), sizes)
+    runs = [features_of(run, lexicon) for run in _runs(list(index))]
+    flat, sizes = np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs])
+    owner = np.repeat(np.arange(len(index)), sizes)
     starts = np.cumsum(sizes) - sizes
     k, n = len(labels), len(ids)
     begins = np.cumsum(lengths) - lengths
@@ -148,7 +223,7 @@ def fit(spans: list[tuple[str, list[str]]], rounds: int = ROUNDS) -> Field | Non
         emissions = np.add.reduceat(weights[flat], starts, axis=0)
         posterior, pairs, firsts = forward_backward(emissions[ids], lengths, transitions, start)
         off = one_hot - posterior
-        by_word = np.stack([np.bincount(ids, off[:, j], len(rows)) for j in range(k)], axis=1)
+        by_word = np.stack([np.bincount(ids, off[:, j], len(index)) for j in range(k)], axis=1)
         by_feature = np.stack([np.bincount(flat, by_word[owner, j], FEATURES) for j in range(k)], axis=1)
         slopes = [by_feature / n, (seen_pairs - pairs) / n, (seen_first - firsts) / n]
         for i, slope in enumerate(slopes):
@@ -168,7 +243,7 @@ class Labeller:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = defaultdict(count().__next__)
         self.scores = np.zeros((0, len(self.field.labels)), np.float32)
         self.letters, self.familiar = np.zeros(0, bool), np.zeros(0, bool)
 
@@ -177,16 +252,15 @@ class Labeller:
             self.forget()
         known = len(self.index)
         index = self.index
-        ids = np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words))
-        fresh = list(index)[known:] if len(index) > known else []
+        ids = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+        fresh = list(islice(index, known, None))
         if fresh:
-            runs = (fresh[at : at + WORDS_AT_ONCE] for at in range(0, len(fresh), WORDS_AT_ONCE))
-            for run in runs:
-                rows = [features(w, self.field.lexicon) for w in run]
-                self.scores = np.concatenate([self.scores, feature_sums(rows, self.field.weights)])
-                known = feature_sums(rows, self.taught[:, None].astype(np.float32))[:, 0] / [len(r) for r in rows]
+            for run in _runs(fresh):
+                flat, sizes = features_of(run, self.field.lexicon)
+                self.scores = np.concatenate([self.scores, feature_sums(flat, sizes, self.field.weights)])
+                known = feature_sums(flat, sizes, self.taught[:, None].astype(np.float32))[:, 0] / sizes
                 self.familiar = np.concatenate([self.familiar, known >= FAMILIAR])
-            self.letters = np.concatenate([self.letters, [any(c.isalpha() for c in w) for w in fresh]])
+            self.letters = np.concatenate([self.letters, [w.isalpha() or any(map(str.isalpha, w)) for w in fresh]])
         return ids
 
     def posteriors(self, texts: list[str | None]) -> tuple[list[list[str]], list[np.ndarray], list[np.ndarray]]:
@@ -205,7 +279,7 @@ class Labeller:
         whole, rest = counts // CHAIN_WORDS, counts % CHAIN_WORDS
         chains = [x for w, r in zip(whole.tolist(), rest.tolist(), strict=True) for x in [CHAIN_WORDS] * w + [r] * (r > 0)]
         posterior, _, _ = forward_backward(
-            self.scores[ids].astype(np.float64), np.array(chains), self.field.transitions, self.field.start
+            self.scores[ids].astype(np.float64), np.array(chains), self.field.transitions, self.field.start, pairs=False
         )
         ends = np.cumsum(counts)[:-1]
         return found, np.split(posterior, ends), np.split(self.familiar[ids], ends)

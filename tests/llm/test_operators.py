@@ -95,6 +95,43 @@ def test_long_runs_count_whole():
     assert len(sets[0] ^ sets[1]) > 20
 
 
+def test_features_of_many_words_equal_those_of_each():
+    rng = np.random.default_rng(3)
+    letters = list("abcxyz^$\x7f\x80éßñя\u07ff\u0800中한ไ\uffff\U00010000\U0001f600\U0010ffff")
+    found = ["".join(rng.choice(letters, n)) for n in rng.integers(1, 25, 400)] + ["a", "é", "中", "\U0001f600", "abcd", "abcde"]
+    lexicon = {w: tuple(range(i % 4)) for i, w in enumerate(found[::2])}
+    for part in (found, ["abc"], ["\U0001f600"]):
+        flat, sizes = language.features_of(part, lexicon)
+        plain = [language.features(w, lexicon) for w in part]
+        assert sizes.tolist() == [len(x) for x in plain] and flat.tolist() == [f for x in plain for f in x]
+    assert [x.tolist() for x in language.features_of([], lexicon)] == [[], []]
+
+
+def test_words_are_scored_together_not_one_by_one(monkeypatch):
+    spans = [("en", "the of and that with".split()), ("de", "der die und nicht größe".split())] * 40
+    field = language.fit(spans, 20)
+    texts = ["the größe of \U00010400 x² and 中文 that", None, "", "der " * 600 + "и die", "the of"]
+    plain = [language.features(w, field.lexicon) for t in texts for w in language.words_of(t)]
+    scores = np.array([field.weights[f].sum(axis=0, dtype=np.float64) for f in plain])
+    monkeypatch.setattr(language, "features", lambda *_: pytest.fail("a call for each word"))
+    labeller = language.Labeller(field)
+    ids = labeller.word_ids([w for t in texts for w in language.words_of(t)])
+    assert np.allclose(labeller.scores[ids], scores, atol=1e-4)
+    found, posterior, _ = labeller.posteriors(texts)
+    assert [len(p) for p in posterior] == [len(x) for x in found] == [8, 0, 0, 602, 2]
+    alone = [language.Labeller(field).posteriors([t])[1][0] for t in texts]
+    assert all(np.allclose(a, b) for a, b in zip(posterior, alone, strict=True))
+
+
+def test_posteriors_without_pairs_are_the_same():
+    rng = np.random.default_rng(4)
+    lengths = np.array([3, 7, 1, 7, 2])
+    given = rng.normal(size=(20, 3)), lengths, rng.normal(size=(3, 3)), rng.normal(size=3)
+    whole, pairs, _ = language.forward_backward(*given)
+    plain, none, _ = language.forward_backward(*given, pairs=False)
+    assert np.array_equal(whole, plain) and math.isclose(pairs.sum(), (lengths - 1).sum()) and not none.any()
+
+
 def test_letters_without_order_go_and_switched_text_stays(spark):
     rng = np.random.default_rng(0)
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source")
